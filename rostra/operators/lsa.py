@@ -23,6 +23,7 @@ OVERSAMPLES = 10
 POWER_ITERATIONS = 5
 DOCS_PER_BLOCK = 2_000
 _ENTRIES_PER_STEP = 16_384  # entries multiplied at a time: bounds the memory of a product
+_ROWS_PER_BUCKET = 100_000  # vectors summed in one task
 _RANK_TOLERANCE = 1e-12
 QUERIES_PER_BLOCK = 1_024
 VECTORS_PER_BLOCK = 20_000
@@ -45,6 +46,26 @@ def _lists(matrix: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix).ravel()))
 
 
+def _unpack(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """A column of packed doubles as a matrix, without copying the numbers one by one."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    data = column.buffers()[2]
+    if not len(column) or data is None:
+        return np.zeros((0, width))
+    numbers = np.frombuffer(data, np.uint8)
+    start = column.offset * width * 8
+    return numbers[start : start + len(column) * width * 8].view(np.float64).reshape(-1, width)
+
+
+def _pack(matrix: np.ndarray) -> pa.Array:
+    """Rows of a matrix as binary values: Spark moves each as one block of bytes."""
+    rows, width = matrix.shape
+    offsets = pa.py_buffer(np.arange(0, (rows + 1) * width * 8, width * 8, dtype=np.int32))
+    data = pa.py_buffer(np.ascontiguousarray(matrix, np.float64))
+    return pa.Array.from_buffers(pa.binary(), rows, [None, offsets, data])
+
+
 def _grouped_sums(
     group: np.ndarray, n_groups: int, index: np.ndarray, weights: np.ndarray, dense: np.ndarray
 ) -> np.ndarray:
@@ -60,12 +81,12 @@ def _grouped_sums(
     return out
 
 
-def _block_entries(docs: pa.Table, terms: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block_entries(docs: pa.Table, term_ids: np.ndarray) -> tuple[np.ndarray, ...]:
     """Row, column and weight of every entry of a block of documents."""
     entries = docs.column("entries").combine_chunks()
     row = np.repeat(np.arange(len(entries)), np.diff(entries.offsets.to_numpy()))
     flat = entries.flatten()
-    column = pc.index_in(flat.field("term_id"), terms.column("term_id").combine_chunks())
+    column = pc.index_in(flat.field("term_id"), pa.array(term_ids))
     return row, column.to_numpy(zero_copy_only=False), flat.field("weight").to_numpy()
 
 
@@ -82,16 +103,50 @@ class Lsa:
     kept: int
 
 
-def _gram_step(mix: np.ndarray | None) -> Callable:
+def _start(term_ids: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Reproducible uniform numbers in [-1, 1) from term number, column and seed."""
+    x = term_ids.astype(np.uint64)[:, None] * np.uint64(width) + np.arange(width, dtype=np.uint64)
+    x = x + np.uint64(seed + 1) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    x = x ^ (x >> np.uint64(31))
+    return x.astype(np.float64) / 2.0**63 - 1.0
+
+
+def _basis_rows(terms: pa.Table, mix: np.ndarray | None, width: int, seed: int) -> np.ndarray:
+    if mix is None:
+        return _start(terms.column("term_id").to_numpy(), width, seed)
+    return _unpack(terms.column("vec"), mix.shape[0]) @ mix
+
+
+def _gram_step(mix: np.ndarray | None, width: int, seed: int) -> Callable:
     """Per block of documents X: the part of ``X'X (Z mix)`` that the block adds."""
 
     def step(docs: pa.Table, terms: pa.Table) -> pa.Table:
-        row, column, weight = _block_entries(docs, terms)
-        basis = _matrix(terms.column("vec"))
-        basis = basis if mix is None else basis @ mix
+        if not docs.num_rows:
+            return _EMPTY_BASIS
+        term_ids = terms.column("term_id").to_numpy()
+        row, column, weight = _block_entries(docs, term_ids)
+        basis = _basis_rows(terms, mix, width, seed)
         image = _grouped_sums(row, docs.num_rows, column, weight, basis)
-        back = _grouped_sums(column, terms.num_rows, row, weight, image)
-        return pa.table({"term_id": terms.column("term_id"), "vec": _lists(back)})
+        back = _grouped_sums(column, len(term_ids), row, weight, image)
+        return pa.table({"term_id": term_ids, "vec": _pack(back)})
+
+    return step
+
+
+_EMPTY_BASIS = pa.table({"term_id": pa.array([], pa.int64()), "vec": pa.array([], pa.binary())})
+
+
+def _sum_step(width: int) -> Callable:
+    """Sum the rows of each term within a bucket of terms."""
+
+    def step(parts: pa.Table) -> pa.Table:
+        ids = parts.column("term_id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids, first = np.unique(ids[order], return_index=True)
+        sums = np.add.reduceat(_unpack(parts.column("vec"), width)[order], first, axis=0)
+        return pa.table({"term_id": ids, "vec": _pack(sums)})
 
     return step
 
@@ -100,10 +155,12 @@ def _project_step(mix: np.ndarray) -> Callable:
     """Per block of documents X: the rows of ``X (Z mix)``."""
 
     def step(docs: pa.Table, terms: pa.Table) -> pa.Table:
-        row, column, weight = _block_entries(docs, terms)
-        basis = _matrix(terms.column("vec")) @ mix
+        if not docs.num_rows:
+            return pa.table({"doc_id": pa.array([], pa.int64()), "vec": pa.array([], pa.binary())})
+        row, column, weight = _block_entries(docs, terms.column("term_id").to_numpy())
+        basis = _basis_rows(terms, mix, 0, 0)
         image = _grouped_sums(row, docs.num_rows, column, weight, basis)
-        return pa.table({"doc_id": docs.column("doc_id"), "vec": _lists(image)})
+        return pa.table({"doc_id": docs.column("doc_id"), "vec": _pack(image)})
 
     return step
 
@@ -114,16 +171,18 @@ def _small_gram(vectors: DataFrame, width: int) -> np.ndarray:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            block = _matrix(batch.column("vec"))
-            if len(block):
-                total += block.T @ block
+            block = _unpack(batch.column("vec"), width)
+            total += block.T @ block
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(width), pa.int32()), _lists(total)], names=["i", "vec"]
+            [pa.array(np.arange(width), pa.int64()), _pack(total)], names=["term_id", "vec"]
         )
 
-    parts = vectors.select("vec").mapInArrow(partial, "i int, vec array<double>")
-    sums = parts.groupBy("i").agg(_vector_sum(F.col("vec"), width).alias("vec")).orderBy("i")
-    return np.array([row["vec"] for row in sums.collect()])
+    parts = vectors.select("vec").mapInArrow(partial, _BASIS)
+    sums = parts.groupBy("term_id").applyInArrow(_sum_step(width), _BASIS).orderBy("term_id")
+    return np.array([np.frombuffer(row["vec"]) for row in sums.collect()])
+
+
+_BASIS = "term_id long, vec binary"
 
 
 def _vector_sum(vec: Column, width: int) -> Column:
@@ -138,27 +197,47 @@ def _whiten(gram: np.ndarray) -> np.ndarray:
     return vectors[:, keep] / np.sqrt(values[keep])
 
 
-def _map_vectors(df: DataFrame, mix: np.ndarray, column: str = "vec") -> DataFrame:
-    """Multiply every vector of a table by a small matrix."""
+def _unpacked(df: DataFrame, mix: np.ndarray, key: str, name: str) -> DataFrame:
+    """``(key, name)``: the packed vectors times a small matrix, as arrays."""
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                product = _lists(_matrix(batch.column(column)) @ mix)
-                at = batch.schema.get_field_index(column)
-                yield batch.set_column(at, pa.field(column, product.type), product)
+            product = _unpack(batch.column("vec"), mix.shape[0]) @ mix
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), _lists(product)], names=[key, name]
+            )
+
+    return df.select(key, "vec").mapInArrow(multiply, f"{key} long, {name} array<double>")
 
-    return df.mapInArrow(multiply, df.schema)
 
+def _signs(basis: DataFrame, mix: np.ndarray) -> np.ndarray:
+    """Per component the sign of its largest entry by size, the first term winning ties.
 
-def _signs(terms: DataFrame, width: int) -> np.ndarray:
-    """Per component the sign of its largest entry by size, the first term winning ties."""
-    entry = [F.get("vec", F.lit(j)) for j in range(width)]
-    largest = [
-        F.max_by(F.signum(e), F.struct(F.round(F.abs(e), 9), -F.col("term_id"))) for e in entry
-    ]
-    row = terms.agg(F.array(*largest).alias("signs")).first()
-    return np.array([-1.0 if sign < 0 else 1.0 for sign in row["signs"]])
+    Every task sends one candidate per component.
+    """
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ids = batch.column("term_id").to_numpy()
+                entries = _unpack(batch.column("vec"), mix.shape[0]) @ mix
+                sizes = np.round(np.abs(entries), 9)
+                at = np.lexsort((np.broadcast_to(ids[:, None], sizes.shape), -sizes), axis=0)[0]
+                dims = np.arange(len(at))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(dims, pa.int32()),
+                        pa.array(sizes[at, dims]),
+                        pa.array(ids[at], pa.int64()),
+                        pa.array(np.sign(entries[at, dims])),
+                    ],
+                    names=["dim", "size", "term_id", "sign"],
+                )
+
+    found = basis.mapInArrow(candidates, "dim int, size double, term_id long, sign double")
+    first = F.max_by("sign", F.struct("size", -F.col("term_id"))).alias("sign")
+    rows = found.groupBy("dim").agg(first).orderBy("dim").collect()
+    return np.array([-1.0 if row["sign"] < 0 else 1.0 for row in rows])
 
 
 def lsa_fit(
@@ -171,6 +250,7 @@ def lsa_fit(
     oversamples: int = OVERSAMPLES,
     docs_per_block: int = DOCS_PER_BLOCK,
     seed: int = 0,
+    doc_ids: DataFrame | None = None,
 ) -> Lsa:
     """Truncated SVD of the L2-normalised TF-IDF matrix by randomised subspace iteration.
 
@@ -178,58 +258,62 @@ def lsa_fit(
     meets the basis rows of its own terms only and sends back one summed row per term, so
     the shuffle grows with the distinct terms of the blocks, not with the postings times the
     columns. The driver sees matrices of columns x columns. Every product is written to the
-    shared folder. ``vocab`` holds ``term, df, idf``.
+    shared folder. ``vocab`` holds ``term, df, idf``. Documents of ``doc_ids`` that have no
+    term get a zero vector.
     """
     width = n_components + oversamples
+    cores = postings.sparkSession.sparkContext.defaultParallelism
     numbered = materialize(with_term_id(vocab.where(F.col("df") >= min_df)), "terms")
     rows = tfidf_rows(postings, numbered, "term_id")
-    n_blocks = max(1, -(-postings.select("doc_id").distinct().count() // docs_per_block))
+    # Enough blocks for all cores, and none above docs_per_block documents on average.
+    n_docs = postings.select("doc_id").distinct().count()
+    n_blocks = max(-(-n_docs // docs_per_block), cores)
     block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block")
     docs = materialize(rows.select(block, "doc_id", "entries"), "tfidf")
     needed = materialize(
         docs.select("block", F.explode("entries.term_id").alias("term_id")).distinct(), "needed"
     )
+    n_buckets = max(-(-needed.count() // _ROWS_PER_BUCKET), cores)
+    bucket = F.pmod(F.xxhash64("term_id"), F.lit(n_buckets))
 
-    # Reproducible start: uniform numbers from a hash of term, column and seed.
-    def start(j: Column) -> Column:
-        return F.xxhash64("term", j, F.lit(seed)).cast("double") / float(2**63)
-
-    columns = F.sequence(F.lit(0), F.lit(width - 1))
-    basis = numbered.select("term_id", F.transform(columns, start).alias("vec"))
-    mix = None
+    basis, mix = None, None
     for step in range(iterations + 1):
-        back = _per_block(docs, needed, basis).applyInArrow(
-            _gram_step(mix), "term_id long, vec array<double>"
-        )
+        back = _per_block(docs, needed, basis).applyInArrow(_gram_step(mix, width, seed), _BASIS)
         rank = width if mix is None else mix.shape[1]
-        summed = back.groupBy("term_id").agg(_vector_sum(F.col("vec"), rank).alias("vec"))
+        summed = back.groupBy(bucket).applyInArrow(_sum_step(rank), _BASIS)
         basis = materialize(summed, f"basis-{step}")
         mix = _whiten(_small_gram(basis, rank))
 
     image = materialize(
         _per_block(docs, needed, basis).applyInArrow(
-            _project_step(mix), "doc_id long, vec array<double>"
+            _project_step(mix), "doc_id long, vec binary"
         ),
         "image",
     )
     values, rotation = np.linalg.eigh(_small_gram(image, mix.shape[1]))
     best = np.argsort(values)[::-1][: min(n_components, len(values))]
     rotation = rotation[:, best]
-    components = materialize(_map_vectors(basis, mix @ rotation), "components")
-    signs = _signs(components, len(best))
-    terms = _map_vectors(components, np.diag(signs)).withColumnRenamed("vec", "comp")
+    rotation = rotation * _signs(basis, mix @ rotation)
+    terms = _unpacked(basis, mix @ rotation, "term_id", "comp")
     kept = min(kept, len(best))
+    vectors = _unpacked(image, rotation[:, :kept], "doc_id", "vec")
+    if doc_ids is not None:
+        zeros = F.array_repeat(F.lit(0.0), kept)
+        vectors = doc_ids.select("doc_id").join(vectors, "doc_id", "left").select(
+            "doc_id", F.coalesce("vec", zeros).alias("vec")
+        )
     return Lsa(
-        docs=_map_vectors(image, (rotation * signs)[:, :kept]),
+        docs=vectors,
         terms=numbered.join(terms, "term_id"),
         singular_values=np.sqrt(np.maximum(values[best], 0)).tolist(),
         kept=kept,
     )
 
 
-def _per_block(docs: DataFrame, needed: DataFrame, basis: DataFrame):
+def _per_block(docs: DataFrame, needed: DataFrame, basis: DataFrame | None):
     """Each block of documents together with the basis rows of its terms."""
-    rows = needed.join(basis, "term_id")
+    # Hashing the small side saves sorting the vectors; a term has a row per block at most.
+    rows = needed if basis is None else needed.hint("shuffle_hash").join(basis, "term_id")
     return docs.groupBy("block").cogroup(rows.groupBy("block"))
 
 

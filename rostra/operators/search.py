@@ -46,27 +46,34 @@ def query_terms(
 
 def known_terms(terms: DataFrame, vocab: DataFrame) -> DataFrame:
     """Drop the terms that the vocabulary lacks."""
-    if fits_broadcast(terms.select("term").distinct()):
-        known = vocab.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
-        return terms.join(known.select("term"), "term", "left_semi")
+    wanted = terms.select("term").distinct()
+    if fits_broadcast(wanted):
+        # Cut the vocabulary down first; what is left is no larger than the queries.
+        known = vocab.select("term").join(F.broadcast(wanted), "term", "left_semi")
+        return terms.join(F.broadcast(known), "term", "left_semi")
     return terms.join(vocab.select("term"), "term", "left_semi")
 
 
 def query_postings_join(
-    terms: DataFrame, postings: DataFrame, vocab: DataFrame, buckets: int = TERM_BUCKETS
+    terms: DataFrame,
+    postings: DataFrame,
+    vocab: DataFrame,
+    buckets: int = TERM_BUCKETS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Postings of the query terms.
 
     A batch of queries of a checked size is broadcast; with postings stored by term bucket
     Spark then reads the buckets of the query terms only. A larger batch is joined by
-    shuffle, with the most frequent terms salted by document.
+    shuffle, with the most frequent terms salted by document. ``small`` passes on a check
+    that was already made.
     """
     if "term_bucket" in postings.columns:
         terms = terms.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
         keys = ["term_bucket", "term"]
     else:
         keys = ["term"]
-    if fits_broadcast(terms):
+    if fits_broadcast(terms) if small is None else small:
         return postings.join(F.broadcast(terms), keys).drop("term_bucket")
     head = F.broadcast(heavy_terms(vocab).select("term", F.lit(True).alias("_heavy")))
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS))
@@ -93,8 +100,12 @@ def search_hits(
     number of terms. ``first_pos`` is the first query position that matched.
     """
     total = count_of(vocab) if total is None else total
-    weighted = _with_query_idf(terms, vocab, total)
-    matches = query_postings_join(weighted, postings, vocab)
+    small = fits_broadcast(terms)
+    asked = F.broadcast(terms) if small else terms
+    known = vocab.select("term", "df").join(asked, "term")  # unknown terms drop out
+    weighted = known.withColumn("idf", idf_search(total, F.col("df"))).drop("df")
+    # The idf adds 8 bytes to a row, so what fits a broadcast still does.
+    matches = query_postings_join(weighted, postings, vocab, small=small)
     part = F.col("qtf") * tf_log(F.col("tf")) * F.col("idf")
     return (
         matches.groupBy(*HIT)
@@ -106,13 +117,6 @@ def search_hits(
     )
 
 
-def _with_query_idf(terms: DataFrame, vocab: DataFrame, total: Column) -> DataFrame:
-    """Query terms with their idf; unknown terms drop out."""
-    small = F.broadcast(terms) if fits_broadcast(terms) else terms
-    joined = vocab.select("term", "df").join(small, "term")
-    return joined.withColumn("idf", idf_search(total, F.col("df"))).drop("df")
-
-
 def _best_first() -> list[Column]:
     return [F.desc(rank_key(F.col("score"))), F.asc("first_pos"), F.asc("doc_id")]
 

@@ -48,14 +48,17 @@ def summarize(
     """``(doc_id, summary)``: best sentences while their words fit words / 1.5 of the text.
 
     Sentences are taken by score until the running word count passes the budget, and joined
-    in text order. The windows run per document.
+    in text order. The best sentence is always taken, so every text with a sentence has a
+    summary. The windows run per document.
     """
     scored = score_sentences(sentences(corpus, text), pre, vocab)
     words = scored.withColumn("words", word_count(F.col("sentence")))
     order = Window.partitionBy("doc_id").orderBy(F.desc(rank_key(F.col("score"))), "pos")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    taken = words.withColumn("used", F.sum("words").over(running)).where(
-        F.col("used") <= F.col("max_words")
+    taken = (
+        words.withColumn("used", F.sum("words").over(running))
+        .withColumn("rank", F.row_number().over(order))
+        .where((F.col("used") <= F.col("max_words")) | (F.col("rank") == 1))
     )
     picked = taken.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", "sentence"))).alias("s")

@@ -11,7 +11,13 @@ from rostra.functions.text import Preprocess
 from rostra.operators import clusters, groups, index, lsa, pairs
 from rostra.schemas import CLUSTERS, KMEANS_STARTS
 from rostra.sources.corpus import processed
-from rostra.sources.tables import write_keyed, write_keywords, write_table, write_term_postings
+from rostra.sources.tables import (
+    TERM_BUCKETS,
+    write_keyed,
+    write_keywords,
+    write_table,
+    write_term_postings,
+)
 
 INDEX_TABLES = ("postings", "term_postings", "vocab", "stats")
 
@@ -39,6 +45,16 @@ class Tables:
         """Postings by term bucket, for queries."""
         return self.read("term_postings")
 
+    def postings_for(self, terms: DataFrame) -> DataFrame:
+        """The layout that reads less: term buckets for few terms, document order for many.
+
+        In document order a task holds all postings of its documents, so their scores are
+        summed before the shuffle; in term order most folders are not read at all.
+        """
+        few = TERM_BUCKETS // 2
+        many_terms = terms.select("term").distinct().limit(few + 1).count() > few
+        return self.postings if many_terms else self.term_postings
+
     @property
     def vocab(self) -> DataFrame:
         """``term, df, idf``."""
@@ -90,7 +106,7 @@ def build_all(
     similar = pairs.similar_entities(tables.read("member_vectors"))
     write_table(similar, tables.path("pairs"))
 
-    model = lsa.lsa_fit(tables.postings, tables.vocab, **svd)
+    model = lsa.lsa_fit(tables.postings, tables.vocab, doc_ids=corpus, **svd)
     write_table(model.docs, tables.path("lsa_docs"))
     write_table(model.terms, tables.path("lsa_terms"))
     clustered = clusters.kmeans_fit_predict(tables.read("lsa_docs"), k, starts)

@@ -258,7 +258,9 @@ scored AS (
   FROM full_pieces p LEFT JOIN scores USING (doc_id, pos)),
 running AS (
   SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, pos
-                             ROWS UNBOUNDED PRECEDING) AS used FROM scored)"""
+                             ROWS UNBOUNDED PRECEDING) AS used,
+         row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, pos) AS rank
+  FROM scored)"""
 
 
 # Results with a year, shown as text with 'all' for none.
@@ -323,7 +325,7 @@ def oracle() -> dict[str, str]:
             "grouping = 'party' AND entity = 'fr'", "entity, rank, term"
         ),
         "entity_year_filter": _keyword_rows(
-            "grouping = 'party_year' AND entity = 'fr' AND year = 1994", "entity, year, rank, term"
+            "grouping = 'party_year' AND entity = 'en' AND year = 1990", "entity, year, rank, term"
         ),
         "period_dispatch": _with(_SPEECHES, _DATED, _YEARS, """
           SELECT kind, entity, label,
@@ -475,6 +477,8 @@ def oracle() -> dict[str, str]:
           SELECT query_id, doc_id, round(score, 6) AS score
           FROM ranked_hits WHERE rank < n_results"""),
         "search_top10": _search(f"{_RANKED} WHERE rank <= 10"),
+        "search_one_query": _search(f"""{_RANKED} WHERE rank <= 10 AND query_id =
+          (SELECT item_id FROM benchmark ORDER BY length(text) DESC, item_id LIMIT 1)"""),
         "search_by_documents": _search(
             f"{_RANKED} WHERE rank <= 10", total="(SELECT n_docs FROM n)"
         ),
@@ -495,7 +499,7 @@ def oracle() -> dict[str, str]:
                  round(similarity, 2) AS similarity_rounded FROM best"""),
         "summarize_docs": _with(_SPEECHES, _INDEX, _SUMMARY, """
           SELECT doc_id, trim(string_agg(sentence, '. ' ORDER BY pos), '"') AS summary
-          FROM running WHERE used <= max_words GROUP BY doc_id"""),
+          FROM running WHERE used <= max_words OR rank = 1 GROUP BY doc_id"""),
         "cluster_terms": _with(_VECTOR_TABLE, """
           SELECT cluster, dim_rank, term_rank, dim, term
           FROM dims JOIN terms_per_dim USING (dim)"""),

@@ -68,7 +68,7 @@ def stored_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_lsa(spark: SparkSession, sf_dir: str) -> lsa.Lsa:
     def make() -> lsa.Lsa:
         built = stored_index(spark, sf_dir)
-        model = lsa.lsa_fit(built.postings, built.vocab)
+        model = lsa.lsa_fit(built.postings, built.vocab, doc_ids=views.speeches(spark, sf_dir))
         return lsa.Lsa(
             materialize(model.docs, "lsa-docs"),
             materialize(model.terms, "lsa-terms"),
@@ -277,7 +277,7 @@ def entity_filter(spark, sf_dir):
 
 @_query
 def entity_year_filter(spark, sf_dir):
-    return catalog.entity_year_filter(stored_keywords(spark, sf_dir), "party", "fr", 1994).select(
+    return catalog.entity_year_filter(stored_keywords(spark, sf_dir), "party", "en", 1990).select(
         "entity", "year", "rank", "term", "weight"
     )
 
@@ -513,7 +513,8 @@ def _hits(spark, sf_dir, threshold=None, total=None):
     built = stored_index(spark, sf_dir)
     terms = search.query_terms(views.query_batch(spark, sf_dir), PRE)
     options = {} if threshold is None else {"threshold": threshold}
-    return search.search_hits(terms, built.term_postings, built.vocab, total, **options)
+    postings = built.postings_for(terms)
+    return search.search_hits(terms, postings, built.vocab, total, **options)
 
 
 @_query
@@ -661,7 +662,8 @@ def score_threshold(spark, sf_dir):
 def _search(spark, sf_dir, **options):
     built = stored_index(spark, sf_dir)
     queries = views.query_batch(spark, sf_dir)
-    return search.search(queries, PRE, built.term_postings, built.vocab, **options)
+    postings = built.postings_for(search.query_terms(queries, PRE))
+    return search.search(queries, PRE, postings, built.vocab, **options)
 
 
 @_query
@@ -669,6 +671,15 @@ def search_top10(spark, sf_dir):
     return _search(spark, sf_dir)
 
 
+@_query
+def search_one_query(spark, sf_dir):
+    """A single query, the longest of the batch, from the folders of its terms."""
+    built = stored_index(spark, sf_dir)
+    queries = views.query_batch(spark, sf_dir).orderBy(F.desc(F.length("text")), "query_id").limit(1)
+    postings = built.postings_for(search.query_terms(queries, PRE))
+    return search.search(queries, PRE, postings, built.vocab)
+
+
 @_query
 def search_by_documents(spark, sf_dir):
     """The search with the number of documents in the inverse document frequency."""
