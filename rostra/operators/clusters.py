@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -181,9 +181,36 @@ def top_dims(centroids: DataFrame, n: int = DIMS_PER_CLUSTER) -> DataFrame:
     return ranked.where(F.col("dim_rank") <= n).select("cluster", "dim_rank", "dim")
 
 
+def _batch_candidates(n: int) -> Callable:
+    """Per batch of term vectors: what could be among the ``n`` largest of a dimension."""
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                weights = _matrix(batch.column("comp"))
+                # entries equal to the n-th largest all stay: ties are decided later
+                at = max(len(weights) - n, 0)
+                rows, dims = np.nonzero(weights >= np.partition(weights, at, axis=0)[at])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("term").take(pa.array(rows)),
+                        pa.array(dims, pa.int32()),
+                        pa.array(weights[rows, dims]),
+                    ],
+                    names=["term", "dim", "weight"],
+                )
+
+    return candidates
+
+
 def top_terms_per_dim(terms: DataFrame, n: int = TERMS_PER_DIM) -> DataFrame:
-    """``(dim, term_rank, term)``: the terms with the largest signed weight per dimension."""
-    entries = terms.select("term", F.posexplode("comp").alias("dim", "weight"))
+    """``(dim, term_rank, term)``: the terms with the largest signed weight per dimension.
+
+    Each batch passes on its own best entries, so terms x dimensions rows are never sorted.
+    """
+    entries = terms.select("term", "comp").mapInArrow(
+        _batch_candidates(n), "term string, dim int, weight double"
+    )
     order = Window.partitionBy("dim").orderBy(F.desc("weight"), "term")
     ranked = entries.withColumn("term_rank", F.row_number().over(order))
     return ranked.where(F.col("term_rank") <= n).select("dim", "term_rank", "term")

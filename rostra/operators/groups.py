@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from rostra.functions.scores import parse_year
 from rostra.functions.text import Preprocess
 from rostra.operators.index import postings
+from rostra.runtime import materialize
 from rostra.schemas import DATE, KEYWORDS_PER_GROUP, MEMBER, PARTY, SPEECH
 
 KEY = ["grouping", "entity", "year"]
@@ -108,7 +109,7 @@ def _norms(weighted: DataFrame) -> DataFrame:
 
 def group_vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(grouping, entity, year, term, weight)``, L2-normalised per group."""
-    weighted = _weighted(counts, vocab)
+    weighted = materialize(_weighted(counts, vocab).drop("tf", "idf"), "weighted")
     joined = weighted.alias("w").join(_norms(weighted).alias("n"), _same_key("w", "n"))
     return joined.select(
         *[F.col(f"w.{k}") for k in KEY], "w.term", (F.col("raw") / F.col("norm")).alias("weight")
@@ -128,7 +129,8 @@ def top_keywords(
     that are left. ``pad`` fills short groups with weight-0 terms in vocabulary order; it
     needs ``groups``, the keys of all groups.
     """
-    weighted = _weighted(counts, vocab)
+    # Stored, because the ranking and the norms both read it.
+    weighted = materialize(_weighted(counts, vocab).drop("tf", "idf"), "weighted")
     rows = weighted.select(*KEY, "term", "raw")
     if pad:
         rows = rows.unionByName(_padding(rows, vocab, groups, k))

@@ -4,42 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rostra.functions.scores import int_truncate, rank_key
 from rostra.functions.text import Preprocess, sentence_split, strip_quotes, term_counts, word_count
-from rostra.runtime import join_vocabulary
+from rostra.runtime import join_vocabulary, materialize
 from rostra.schemas import SPEECH
 
 BUDGET_DIVISOR = 1.5
 
 
+def _parts(text: str) -> Column:
+    return F.transform(sentence_split(F.col(text)), lambda part: F.trim(part))
+
+
 def sentences(corpus: DataFrame, text: str = SPEECH) -> DataFrame:
     """``(doc_id, max_words, pos, sentence)`` of all sentences that have a word."""
     budget = int_truncate(word_count(F.col(text)) / BUDGET_DIVISOR)
-    split = corpus.where(F.col(text).isNotNull()).select(
-        "doc_id",
-        budget.alias("max_words"),
-        F.posexplode_outer(sentence_split(F.col(text))).alias("pos", "sentence"),
+    # In two steps: next to the generator the budget would be counted again per sentence.
+    whole = corpus.where(F.col(text).isNotNull()).select(
+        "doc_id", budget.alias("max_words"), _parts(text).alias("parts")
     )
-    return split.withColumn("sentence", F.trim("sentence")).where(F.length("sentence") > 0)
+    split = whole.select("doc_id", "max_words", F.posexplode_outer("parts").alias("pos", "sentence"))
+    return split.where(F.length("sentence") > 0)
 
 
 def score_sentences(rows: DataFrame, pre: Preprocess, vocab: DataFrame) -> DataFrame:
-    """Mean idf of the terms of each sentence, repeats counted; 0 without terms.
+    """``(doc_id, pos, score)``: mean idf of the terms of each sentence, repeats counted.
 
-    Terms are counted within the row and weighted through a join; only the sums travel back
-    to the sentence.
+    Terms are counted within the row and stored, because the join reads them twice.
     """
     counts = term_counts(pre.terms(F.col("sentence")))
-    terms = rows.select("doc_id", "pos", F.inline_outer(counts)).dropna(subset=["term"])
+    found = rows.select("doc_id", "pos", F.inline_outer(counts)).dropna(subset=["term"])
+    terms = materialize(found, "sentence-terms")
     weighted = join_vocabulary(terms, vocab.select("term", "df", "idf"))
-    scores = weighted.groupBy("doc_id", "pos").agg(
+    return weighted.groupBy("doc_id", "pos").agg(
         (F.sum(F.col("tf") * F.col("idf")) / F.sum("tf")).alias("score")
     )
-    return rows.join(scores, ["doc_id", "pos"], "left").fillna({"score": 0.0})
 
 
 def summarize(
@@ -49,23 +52,24 @@ def summarize(
 
     Sentences are taken by score until the running word count passes the budget, and joined
     in text order. The best sentence is always taken, so every text with a sentence has a
-    summary. The windows run per document.
+    summary. Choosing moves numbers only, in windows per document; the texts meet the chosen
+    positions at the end.
     """
-    scored = score_sentences(sentences(corpus, text), pre, vocab)
-    words = scored.withColumn("words", word_count(F.col("sentence")))
+    rows = sentences(corpus, text)
+    scores = score_sentences(rows, pre, vocab)
+    sizes = rows.select("doc_id", "pos", "max_words", word_count(F.col("sentence")).alias("words"))
+    scored = sizes.join(scores, ["doc_id", "pos"], "left").fillna({"score": 0.0})
     order = Window.partitionBy("doc_id").orderBy(F.desc(rank_key(F.col("score"))), "pos")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     taken = (
-        words.withColumn("used", F.sum("words").over(running))
+        scored.withColumn("used", F.sum("words").over(running))
         .withColumn("rank", F.row_number().over(order))
         .where((F.col("used") <= F.col("max_words")) | (F.col("rank") == 1))
     )
-    picked = taken.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "sentence"))).alias("s")
-    )
-    return picked.select(
-        "doc_id", strip_quotes(F.array_join(F.col("s.sentence"), ". ")).alias("summary")
-    )
+    chosen = taken.groupBy("doc_id").agg(F.collect_list("pos").alias("chosen"))
+    picked = corpus.select("doc_id", _parts(text).alias("parts")).join(chosen, "doc_id")
+    kept = F.filter("parts", lambda part, i: F.array_contains("chosen", i))
+    return picked.select("doc_id", strip_quotes(F.array_join(kept, ". ")).alias("summary"))
 
 
 def summarize_with(
