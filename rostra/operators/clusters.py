@@ -87,15 +87,16 @@ def _distance_sums(left: pa.Table, right: pa.Table) -> pa.Table:
     """Per vector of one block: summed distances to each cluster's members in another block."""
     ids, found_id, found_cluster, found_sum = [], [], [], []
     if left.num_rows and right.num_rows:
-        a, b = _matrix(left.column("vec")).astype(float), _matrix(right.column("vec")).astype(float)
+        a = _matrix(left.column("vec")).astype(float)
+        b = _matrix(right.column("other_vec")).astype(float)
         ids = left.column("doc_id").to_numpy()
-        clusters, member = np.unique(right.column("cluster").to_numpy(), return_inverse=True)
+        clusters, member = np.unique(right.column("other").to_numpy(), return_inverse=True)
         onehot = np.zeros((len(member), len(clusters)))
         onehot[np.arange(len(member)), member] = 1.0
         squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
         distances = np.sqrt(np.maximum(squares, 0.0))
         # a vector is at distance 0 from itself, whatever the rounding
-        distances[ids[:, None] == right.column("doc_id").to_numpy()[None, :]] = 0.0
+        distances[ids[:, None] == right.column("other_id").to_numpy()[None, :]] = 0.0
         sums = distances @ onehot
         found_id = np.repeat(ids, len(clusters))
         found_cluster = np.tile(clusters, len(ids))
@@ -121,8 +122,15 @@ def silhouette(clustered: DataFrame, per_block: int = DISTANCES_PER_BLOCK) -> Da
     n = max(-(-rows.count() // per_block), int(np.ceil(np.sqrt(cores))))
     own = F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.select(own.alias("a"), every.alias("b"), "*")
-    right = rows.select(every.alias("a"), own.alias("b"), "*")
+    # Both sides come from the same rows, so one of them gets names of its own.
+    left = rows.select(own.alias("a"), every.alias("b"), "doc_id", "vec")
+    right = rows.select(
+        every.alias("a"),
+        own.alias("b"),
+        F.col("doc_id").alias("other_id"),
+        F.col("vec").alias("other_vec"),
+        F.col("cluster").alias("other"),
+    )
     sums = (
         left.groupBy("a", "b")
         .cogroup(right.groupBy("a", "b"))

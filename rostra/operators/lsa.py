@@ -264,12 +264,11 @@ def lsa_fit(
     width = n_components + oversamples
     cores = postings.sparkSession.sparkContext.defaultParallelism
     numbered = materialize(with_term_id(vocab.where(F.col("df") >= min_df)), "terms")
-    rows = tfidf_rows(postings, numbered, "term_id")
+    rows = materialize(tfidf_rows(postings, numbered, "term_id"), "tfidf")
     # Enough blocks for all cores, and none above docs_per_block documents on average.
-    n_docs = postings.select("doc_id").distinct().count()
-    n_blocks = max(-(-n_docs // docs_per_block), cores)
+    n_blocks = max(-(-rows.count() // docs_per_block), cores)
     block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block")
-    docs = materialize(rows.select(block, "doc_id", "entries"), "tfidf")
+    docs = rows.select(block, "doc_id", "entries")
     needed = materialize(
         docs.select("block", F.explode("entries.term_id").alias("term_id")).distinct(), "needed"
     )
@@ -354,8 +353,8 @@ def _cosine_step(threshold: float, top_k: int | None) -> Callable:
         if queries.num_rows and docs.num_rows:
             right = _unit(_matrix(docs.column("vec")).astype(float))
             ids = docs.column("doc_id").to_numpy()
-            query_ids = queries.column("query_id").to_numpy()
-            left = _unit(_matrix(queries.column("query_vec")).astype(float))
+            query_ids = queries.column("asked").to_numpy()
+            left = _unit(_matrix(queries.column("asked_vec")).astype(float))
             for at, query in enumerate(left):
                 scores = right @ query
                 hits = np.flatnonzero(scores > threshold)
@@ -398,8 +397,12 @@ def query_doc_product(
     n_queries = max(1, -(-query_vectors.count() // queries_per_block))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     own = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    # The two sides may come from the same rows, so one of them gets names of its own.
     queries = query_vectors.select(
-        own("query_id", n_queries).alias("qb"), every(n_docs).alias("db"), "query_id", F.col("vec").alias("query_vec")
+        own("query_id", n_queries).alias("qb"),
+        every(n_docs).alias("db"),
+        F.col("query_id").alias("asked"),
+        F.col("vec").alias("asked_vec"),
     )
     docs = doc_vectors.select(
         every(n_queries).alias("qb"), own("doc_id", n_docs).alias("db"), "doc_id", "vec"

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from rostra.functions.scores import idf_search, int_truncate, page_count, rank_key, tf_log
 from rostra.functions.text import Preprocess
 from rostra.operators.index import count_of
-from rostra.runtime import fits_broadcast, heavy_terms, rank_within
+from rostra.runtime import fits_broadcast, heavy_terms, materialize, rank_within
 from rostra.schemas import DATE, MEMBER, PAGE_SIZE, SCORE_THRESHOLD, SPEECH
 from rostra.sources.tables import TERM_BUCKETS, term_bucket
 
@@ -65,8 +65,8 @@ def query_postings_join(
 
     A batch of queries of a checked size is broadcast; with postings stored by term bucket
     Spark then reads the buckets of the query terms only. A larger batch is joined by
-    shuffle, with the most frequent terms salted by document. ``small`` passes on a check
-    that was already made.
+    shuffle, with the most frequent terms salted by document. ``buckets`` is the number the
+    table was written with; ``small`` passes on a check that was already made.
     """
     if "term_bucket" in postings.columns:
         terms = terms.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
@@ -93,6 +93,7 @@ def search_hits(
     vocab: DataFrame,
     total: Column | None = None,
     threshold: float = SCORE_THRESHOLD,
+    buckets: int = TERM_BUCKETS,
 ) -> DataFrame:
     """``(query_id, doc_id, score, first_pos)`` of all documents above the threshold.
 
@@ -105,7 +106,7 @@ def search_hits(
     known = vocab.select("term", "df").join(asked, "term")  # unknown terms drop out
     weighted = known.withColumn("idf", idf_search(total, F.col("df"))).drop("df")
     # The idf adds 8 bytes to a row, so what fits a broadcast still does.
-    matches = query_postings_join(weighted, postings, vocab, small=small)
+    matches = query_postings_join(weighted, postings, vocab, buckets, small)
     part = F.col("qtf") * tf_log(F.col("tf")) * F.col("idf")
     return (
         matches.groupBy(*HIT)
@@ -158,6 +159,7 @@ def result_count(hits: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
 def fetch_documents(ranked: DataFrame, corpus: DataFrame) -> DataFrame:
     """Name, date and speech of ranked documents, joined after ranking and cutting."""
     docs = corpus.select("doc_id", SPEECH, MEMBER, DATE)
+    ranked = materialize(ranked, "ranked")  # the size check and the join both read it
     if fits_broadcast(ranked):
         ranked = F.broadcast(ranked)
     return docs.join(ranked, "doc_id")
@@ -172,6 +174,7 @@ def search(
     top_k: int | None = PAGE_SIZE,
     threshold: float = SCORE_THRESHOLD,
     drop_last: bool = False,
+    buckets: int = TERM_BUCKETS,
 ) -> DataFrame:
     """Ranked hits ``(query_id, rank, doc_id, score)`` for a table of queries.
 
@@ -179,7 +182,7 @@ def search(
     divided by the truncated length of the document.
     """
     terms = query_terms(queries, pre)
-    hits = search_hits(terms, postings, vocab, idf_basis, threshold)
+    hits = search_hits(terms, postings, vocab, idf_basis, threshold, buckets)
     if drop_last:
         hits = drop_last_hit(hits)
     return rank_search(hits, top_k).select("query_id", "rank", "doc_id", "score")

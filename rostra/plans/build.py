@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from rostra.operators import clusters, groups, index, lsa, pairs
 from rostra.schemas import CLUSTERS, KMEANS_STARTS
 from rostra.sources.corpus import processed
 from rostra.sources.tables import (
-    TERM_BUCKETS,
+    bucket_count,
+    slice_count,
     write_keyed,
     write_keywords,
     write_table,
@@ -51,7 +53,7 @@ class Tables:
         In document order a task holds all postings of its documents, so their scores are
         summed before the shuffle; in term order most folders are not read at all.
         """
-        few = TERM_BUCKETS // 2
+        few = self.buckets // 2
         many_terms = terms.select("term").distinct().limit(few + 1).count() > few
         return self.postings if many_terms else self.term_postings
 
@@ -62,9 +64,14 @@ class Tables:
 
     @property
     def stats(self) -> DataFrame:
-        """``n_docs, n_terms``, one row."""
+        """``n_docs, n_terms, term_buckets``, one row."""
         return self.read("stats")
 
+    @cached_property
+    def buckets(self) -> int:
+        """The number of term buckets that ``term_postings`` was written with."""
+        return self.stats.first()["term_buckets"]
+
 
 def build_index(corpus: DataFrame, pre: Preprocess, root: str) -> Tables:
     """Postings, vocabulary and corpus statistics, which all other tables start from.
@@ -73,11 +80,15 @@ def build_index(corpus: DataFrame, pre: Preprocess, root: str) -> Tables:
     """
     tables = Tables(corpus.sparkSession, root)
     write_table(index.postings(corpus, pre), tables.path("postings"))
-    write_term_postings(tables.postings, tables.path("term_postings"))
-    n_docs = F.lit(corpus.count())
-    vocab = index.with_idf(index.doc_freq(tables.postings), n_docs)
+    n_docs = corpus.count()
+    buckets = bucket_count(tables.postings.count())
+    write_term_postings(
+        tables.postings, tables.path("term_postings"), buckets, slice_count(n_docs)
+    )
+    vocab = index.with_idf(index.doc_freq(tables.postings), F.lit(n_docs))
     write_keyed(vocab, tables.path("vocab"), "term")
-    write_table(index.corpus_stats(corpus, tables.vocab), tables.path("stats"))
+    stats = index.corpus_stats(corpus, tables.vocab)
+    write_table(stats.withColumn("term_buckets", F.lit(buckets)), tables.path("stats"))
     return tables
 
 

@@ -307,7 +307,7 @@ def empty_result(spark, sf_dir):
     built = stored_index(spark, sf_dir)
     strange = F.regexp_replace("text", text.WORD_PATTERN, "qqq$0")
     queries = views.query_batch(spark, sf_dir).withColumn("text", strange)
-    hits = search.search_hits(search.query_terms(queries, PRE), built.term_postings, built.vocab)
+    hits = search.search_hits(search.query_terms(queries, PRE), built.postings, built.vocab)
     counted = queries.join(search.result_count(hits), "query_id", "left")
     return counted.select("query_id", "n_results", "n_pages").fillna(0)
 
@@ -514,14 +514,16 @@ def _hits(spark, sf_dir, threshold=None, total=None):
     terms = search.query_terms(views.query_batch(spark, sf_dir), PRE)
     options = {} if threshold is None else {"threshold": threshold}
     postings = built.postings_for(terms)
-    return search.search_hits(terms, postings, built.vocab, total, **options)
+    return search.search_hits(
+        terms, postings, built.vocab, total, buckets=built.buckets, **options
+    )
 
 
 @_query
 def query_postings_join(spark, sf_dir):
     built = stored_index(spark, sf_dir)
     terms = search.query_terms(views.query_batch(spark, sf_dir), PRE)
-    joined = search.query_postings_join(terms, built.term_postings, built.vocab)
+    joined = search.query_postings_join(terms, built.term_postings, built.vocab, built.buckets)
     return joined.select("query_id", "term", "qtf", "first_pos", "doc_id", "tf")
 
 
@@ -663,7 +665,7 @@ def _search(spark, sf_dir, **options):
     built = stored_index(spark, sf_dir)
     queries = views.query_batch(spark, sf_dir)
     postings = built.postings_for(search.query_terms(queries, PRE))
-    return search.search(queries, PRE, postings, built.vocab, **options)
+    return search.search(queries, PRE, postings, built.vocab, buckets=built.buckets, **options)
 
 
 @_query
@@ -677,7 +679,7 @@ def search_one_query(spark, sf_dir):
     built = stored_index(spark, sf_dir)
     queries = views.query_batch(spark, sf_dir).orderBy(F.desc(F.length("text")), "query_id").limit(1)
     postings = built.postings_for(search.query_terms(queries, PRE))
-    return search.search(queries, PRE, postings, built.vocab)
+    return search.search(queries, PRE, postings, built.vocab, buckets=built.buckets)
 
 
 @_query

@@ -116,6 +116,8 @@ def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str)
         dense_row_number(df, "_number", [*[F.col(k) for k in keys], *order]), "numbered"
     )
     first = numbered.groupBy(*keys).agg(F.min("_number").alias("_first"))
+    if fits_broadcast(first):
+        first = F.broadcast(first)
     return (
         numbered.join(first, keys)
         .withColumn(name, F.col("_number") - F.col("_first") + 1)

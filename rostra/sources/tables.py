@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TERM_BUCKETS = 64
-DOC_SLICES = 4
+TERM_BUCKETS = 32  # the least number of term buckets
+_MOST_BUCKETS = 4096
+_POSTINGS_PER_BUCKET = 5_000_000
+_DOCS_PER_SLICE = 50_000_000
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -43,9 +45,17 @@ def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def write_term_postings(
-    postings: DataFrame, path: str, buckets: int = TERM_BUCKETS, slices: int = DOC_SLICES
-) -> None:
+def bucket_count(n_postings: int) -> int:
+    """Term buckets of about equal, moderate size."""
+    return min(max(TERM_BUCKETS, n_postings // _POSTINGS_PER_BUCKET), _MOST_BUCKETS)
+
+
+def slice_count(n_docs: int) -> int:
+    """Document slices that keep even a term of all documents in moderate tasks."""
+    return max(2, -(-n_docs // _DOCS_PER_SLICE))
+
+
+def write_term_postings(postings: DataFrame, path: str, buckets: int, slices: int) -> None:
     """Postings by term bucket, so that a query reads the folders of its own terms.
 
     ``slices`` splits every bucket by document: a term in a third of the documents does not

@@ -14,7 +14,7 @@ def test_counts_norms_and_idf(corpus, plain, built):
     assert vocab["tax"][1] == pytest.approx(1.693147, abs=1e-6)
     norms = {r["doc_id"]: r["norm"] for r in index.doc_norms(corpus, plain).collect()}
     assert norms == pytest.approx({0: math.sqrt(5), 1: math.sqrt(2), 2: 0, 3: math.sqrt(5), 4: 1})
-    assert tuple(built.stats.first()) == (5, 4)
+    assert tuple(built.stats.select("n_docs", "n_terms").first()) == (5, 4)
 
 
 def test_vocabulary_numbers(built):
