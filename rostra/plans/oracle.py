@@ -476,7 +476,7 @@ def oracle() -> dict[str, str]:
         "score_threshold": _search("""
           SELECT query_id, doc_id, round(score, 6) AS score
           FROM ranked_hits WHERE rank < n_results"""),
-        "search_top10": _search(f"{_RANKED} WHERE rank <= 10"),
+        "search": _search(f"{_RANKED} WHERE rank <= 10"),
         "search_one_query": _search(f"""{_RANKED} WHERE rank <= 10 AND query_id =
           (SELECT item_id FROM benchmark ORDER BY length(text) DESC, item_id LIMIT 1)"""),
         "search_by_documents": _search(
@@ -497,7 +497,7 @@ def oracle() -> dict[str, str]:
           _INDEX, _GROUPS, _VECTORS, _PAIRS, """
           SELECT entity_a, entity_b, round(similarity, 6) AS similarity,
                  round(similarity, 2) AS similarity_rounded FROM best"""),
-        "summarize_docs": _with(_SPEECHES, _INDEX, _SUMMARY, """
+        "summarize": _with(_SPEECHES, _INDEX, _SUMMARY, """
           SELECT doc_id, trim(string_agg(sentence, '. ' ORDER BY pos), '"') AS summary
           FROM running WHERE used <= max_words OR rank = 1 GROUP BY doc_id"""),
         "cluster_terms": _with(_VECTOR_TABLE, """

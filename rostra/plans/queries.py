@@ -126,6 +126,9 @@ def _with_period(df: DataFrame) -> DataFrame:
 
 _registry: dict[str, Query] = {}
 
+# Queries whose operator has the name of a module or function used here.
+_NAMES = {"search_top10": "search", "summarize_docs": "summarize", "build_tables": "build_all"}
+
 
 def _query(make: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +136,7 @@ def _query(make: Query) -> Query:
         result = _rounded(make(spark, sf_dir))
         return _with_period(result) if "year" in result.columns else result
 
-    _registry[make.__name__] = run
+    _registry[_NAMES.get(make.__name__, make.__name__)] = run
     return make
 
 
