@@ -500,6 +500,18 @@ def oracle() -> dict[str, str]:
         "summarize": _with(_SPEECHES, _INDEX, _SUMMARY, """
           SELECT doc_id, trim(string_agg(sentence, '. ' ORDER BY pos), '"') AS summary
           FROM running WHERE used <= max_words OR rank = 1 GROUP BY doc_id"""),
+        "build_all": _with(_SPEECHES, _INDEX, _GROUPS, _KEYWORDS, _VECTORS, _PAIRS, """
+          sizes AS (
+            SELECT (SELECT count(*) FROM speeches) AS docs, (SELECT count(*) FROM vocab) AS terms,
+                   (SELECT count(*) FROM postings) AS postings,
+                   (SELECT count(*) FROM keywords) AS keywords,
+                   (SELECT count(*) FROM vectors) AS vectors, (SELECT count(*) FROM best) AS pairs)""", """
+          SELECT unnest(['postings', 'term_postings', 'tfidf', 'vocab', 'catalog', 'lsa_terms',
+                         'processed', 'norms', 'lsa_docs', 'clusters', 'keywords',
+                         'member_vectors', 'pairs', 'stats', 'cluster_terms']) AS name,
+                 unnest([postings, postings, postings, terms, terms, terms, docs, docs, docs, docs,
+                         keywords, vectors, pairs, 1, 9 * 2 * 2])::BIGINT AS n_rows
+          FROM sizes"""),
         "cluster_terms": _with(_VECTOR_TABLE, """
           SELECT cluster, dim_rank, term_rank, dim, term
           FROM dims JOIN terms_per_dim USING (dim)"""),
