@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,17 @@ def slices(batches: Batches, rows: int = TEXTS_AT_ONCE) -> Batches:
             yield batch.slice(start, rows)
 
 
+def by_bytes(batches: Batches, column: str, limit: int = 8 << 20) -> Batches:
+    """The batches in pieces of about ``limit`` bytes of ``column``; a longer text is alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        piece, begin = np.cumsum(sizes) // limit, 0
+        for end in [*(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]:
+            if end > begin:
+                yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)

@@ -20,14 +20,15 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rostra.llm.common import Batches, map_batches, slices, whole_text
+from rostra.llm.common import Batches, by_bytes, map_batches, small, whole_text, written
 
 END_ID = 2
 # Entries a worker remembers; it starts anew beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 # Not a boundary of tokens: a space between white space, or after it at the end.
 _INNER_SPACE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
@@ -36,8 +37,9 @@ class SpacedEncoder:
     """Encodes texts piece by piece, each distinct piece once.
 
     The tokenizer's pattern never lets a token reach over the place before a space that
-    follows a non-space, or before the last space of white space. Texts with other spaces
-    or with a special token's string are encoded in one piece.
+    follows a non-space, or before the last space of white space. A piece is such a space
+    with what follows. Texts with other spaces or with a special token's string, and the
+    first words of texts, are encoded as they are.
     """
 
     def __init__(self, vocabulary: str, end_id: int):
@@ -46,66 +48,91 @@ class SpacedEncoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        size = self.tokenizer.get_vocab_size()
+        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        self.opens = np.array(
+            [(self.tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)]
+        )
         self.end_id = end_id
         self._reset()
 
     def _reset(self) -> None:
-        # None stands for the end of a document.
-        self.known: dict[str | None, int] = {None: 0}
+        self.known: dict[str, int] = {}
         self.start = np.zeros(1024, np.int64)
-        self.count = np.ones(1024, np.int64)
-        self.flat = np.full(4096, self.end_id, np.int32)
-        self.used = 1
-
-    def _pieces(self, text: str) -> list[str]:
-        if _INNER_SPACE.search(text) or any(s in text for s in self.special):
-            return [" " + text]
-        pieces = text.split(" ")
-        pieces[0] = " " + pieces[0]  # a leading space marks a piece without one
-        return pieces
-
-    def _learn(self, pieces: list[str]) -> None:
-        texts = [p[1:] if p[:1] == " " else " " + p for p in pieces]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        at, total = len(self.known), int(sizes.sum())
-        while at + len(found) > len(self.start):
+        self.count = np.zeros(1024, np.int64)
+        self.flat = np.zeros(4096, np.int32)
+        self.entries = self.used = 0
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Store ids of new entries; the numbers of the entries."""
+        begin, end, total = self.entries, self.entries + len(sizes), len(ids)
+        while end > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.start[at : at + len(found)] = self.used + np.cumsum(sizes) - sizes
-        self.count[at : at + len(found)] = sizes
-        self.flat[self.used : self.used + total] = [i for ids in found for i in ids]
-        self.used += total
-        self.known.update(zip(pieces, range(at, at + len(found))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and how many each text has."""
-        if len(self.known) > REMEMBERED or self.used > 16 * REMEMBERED:
-            self._reset()
-        pieces: list[str | None] = []
-        ends = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            pieces += self._pieces(text)
-            pieces.append(None)
-            ends[i] = len(pieces)
-        fresh = set(pieces).difference(self.known)
+        self.start[begin:end] = self.used + np.cumsum(sizes) - sizes
+        self.count[begin:end] = sizes
+        self.flat[self.used : self.used + total] = ids
+        self.used, self.entries = self.used + total, end
+        return np.arange(begin, end)
+
+    def _whole(self, texts: list[str]) -> np.ndarray:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return self._add(np.array([i for ids in found for i in ids], np.int32), sizes)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces side by side: each begins at the one token that begins with a space."""
+        closed = [p for p in pieces if p and not p[-1].isspace()]
+        for begin in range(0, len(closed), 1000):
+            group = closed[begin : begin + 1000]
+            run = self.tokenizer.encode_batch_fast([" " + " ".join(group)], add_special_tokens=False)
+            ids = np.array(run[0].ids, np.int32)
+            first = np.flatnonzero(self.opens[ids])
+            assert len(first) == len(group)
+            self.known.update(zip(group, self._add(ids, np.diff(first, append=len(ids))).tolist()))
+        rest = [p for p in pieces if not p or p[-1].isspace()]
+        self.known.update(zip(rest, self._whole([" " + p for p in rest]).tolist()))
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The entry of every piece."""
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        fresh = [p for p in distinct if p not in self.known]
         if fresh:
-            self._learn(list(fresh))
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            self._learn(fresh)
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return at[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, each text's with the end id, and how many it has."""
+        if self.entries > REMEMBERED or self.used > 16 * REMEMBERED:
+            self._reset()
+        values = texts.to_pylist()
+        whole = [
+            bool(_INNER_SPACE.search(t)) or any(s in t for s in self.special) for t in values
+        ]
+        split = pc.split_pattern(pc.if_else(pa.array(whole, pa.bool_()), "", texts), " ")
+        offsets = split.offsets.to_numpy()
+        heads = [t if w else t.partition(" ")[0] for t, w in zip(values, whole)]
+        # The pieces of a text, its head in the place of the first, and its end.
+        at = self._numbers(split.flatten())
+        at[offsets[:-1]] = self._whole(heads)
+        end = self._add(np.array([self.end_id], np.int32), np.array([1]))[0]
+        at = np.insert(at, offsets[1:], end)
         sizes = self.count[at]
         upto = np.cumsum(sizes)
         ids = self.flat[np.repeat(self.start[at] - upto + sizes, sizes) + np.arange(upto[-1])]
-        totals = np.diff(upto[ends - 1], prepend=0)
-        return ids, totals
+        last = offsets[1:] + np.arange(len(values))
+        return ids, np.diff(upto[last], prepend=0)
 
 
 def _encode(vocabulary: str, end_id: int):
     def run(batches: Batches) -> Batches:
         encoder, place = SpacedEncoder(vocabulary, end_id), 0
-        for batch in slices(batches):
-            ids, totals = encoder.encode(batch.column("text").to_pylist())
+        for batch in by_bytes(batches, "text"):
+            ids, totals = encoder.encode(batch.column("text"))
             offsets = np.concatenate([[0], np.cumsum(totals)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -182,8 +209,6 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     Files follow each other by range of doc_id; what lies before a file is a sum over one
     row per file.
     """
-    from rostra.llm.common import small, written
-
     tokens = read_tokens(spark, path).withColumn("file", F.col("_metadata.file_path"))
     schema = "doc_id long, first long, n_tokens long, ids_crc32 long, file string"
     digest = written(map_batches(tokens, _digest, schema), "token-digest")
