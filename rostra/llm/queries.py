@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostra.llm import radix_dedup, token_files
+from rostra.llm import radix_dedup, token_files, toxicity
 from rostra.llm.common import table
 from rostra.runtime import scratch_path
 
@@ -19,6 +19,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, path)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ FROM t
 def registry() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_toxicity": op2_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
     }
 
