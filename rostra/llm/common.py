@@ -62,9 +62,9 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
     """Marked for broadcast if its measured size is within the bound, else as it is."""
-    return F.broadcast(df) if fits_broadcast(df) else df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostra.llm import radix_dedup, token_files, toxicity
+from rostra.llm import radix_dedup, sentence_spans, token_files, toxicity
 from rostra.llm.common import table
 from rostra.runtime import scratch_path
 
@@ -27,6 +27,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 _EXACT_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
@@ -46,6 +50,7 @@ def registry() -> dict[str, Query]:
         "op1_token_files": op1_token_files,
         "op2_toxicity": op2_toxicity,
         "op6_exact_dedup": op6_exact_dedup,
+        "op10_sentence_spans": op10_sentence_spans,
     }
 
 
