@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rostra.llm import radix_dedup, sentence_spans, token_files, toxicity
+from rostra.llm import chosen_path, mixing, pieces, radix_dedup, sentence_spans, token_files, toxicity
 from rostra.llm.common import table
 from rostra.runtime import scratch_path
 
@@ -23,10 +24,23 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"))
+    return encoded.withColumn("n_pieces", F.size("ids").cast("long"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -49,7 +63,10 @@ def registry() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
         "op2_toxicity": op2_toxicity,
+        "op3_pieces": op3_pieces,
+        "op5_mixing": op5_mixing,
         "op6_exact_dedup": op6_exact_dedup,
+        "op9_chosen_path": op9_chosen_path,
         "op10_sentence_spans": op10_sentence_spans,
     }
 
