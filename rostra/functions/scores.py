@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rostra.schemas import ALL_PERIODS, PAGE_SIZE, RANK_DECIMALS
+from rostra.schemas import ALL_PERIODS, DATE_FORMATS, PAGE_SIZE, RANK_DECIMALS
 
 
 def tf_log(tf: Column) -> Column:
@@ -51,6 +51,6 @@ def period_year(label: Column) -> Column:
     return F.when(~is_all_periods(label), label.try_cast("int"))
 
 
-def parse_year(date: Column, fmt: str = "dd/MM/yyyy") -> Column:
-    """Year of a day-first date; NULL where it cannot be read."""
-    return F.year(F.try_to_date(date, fmt))
+def parse_year(date: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """Year of a date in the first format that reads it; NULL where none does."""
+    return F.year(F.coalesce(*[F.try_to_date(F.trim(date), fmt) for fmt in formats]))

@@ -7,13 +7,12 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rostra.operators.lsa import VECTORS_PER_BLOCK, _matrix
+from rostra.operators.lsa import _lists, _matrix
 from rostra.schemas import (
     CLUSTERS_DEFAULT,
     DIMS_PER_CLUSTER,
@@ -22,9 +21,6 @@ from rostra.schemas import (
     TERMS_PER_DIM,
 )
 
-DISTANCES_PER_BLOCK = 2_000
-
-
 def _features(vectors: DataFrame) -> DataFrame:
     return vectors.withColumn("features", array_to_vector(F.col("vec")))
 
@@ -69,99 +65,86 @@ def cluster_centroids(clustered: DataFrame) -> DataFrame:
 def wcss(clustered: DataFrame) -> DataFrame:
     """``(k, wcss)`` of given labels: the sum of squared distances to the centroids.
 
-    One pass of sums per cluster and dimension: the squares minus what the mean explains.
+    One pass per cluster and dimension; the variance merges without cancellation.
     """
     entries = clustered.select("cluster", F.posexplode("vec").alias("dim", "value"))
-    spread = F.sum(F.col("value") * F.col("value")) - F.sum("value") * F.avg("value")
+    spread = F.var_pop("value") * F.count("value")
     per_dim = entries.groupBy("cluster", "dim").agg(spread.alias("spread"))
     return per_dim.agg(F.countDistinct("cluster").alias("k"), F.sum("spread").alias("wcss"))
 
 
-def silhouette_squared(clustered: DataFrame) -> float:
-    """Mean silhouette under squared Euclidean distance, in time linear in the vectors."""
-    evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
-    return evaluator.evaluate(_features(clustered))
-
-
-def _distance_sums(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Per vector of one block: summed distances to each cluster's members in another block."""
-    ids, found_id, found_cluster, found_sum = [], [], [], []
-    if left.num_rows and right.num_rows:
-        a = _matrix(left.column("vec")).astype(float)
-        b = _matrix(right.column("other_vec")).astype(float)
-        ids = left.column("doc_id").to_numpy()
-        clusters, member = np.unique(right.column("other").to_numpy(), return_inverse=True)
-        onehot = np.zeros((len(member), len(clusters)))
-        onehot[np.arange(len(member)), member] = 1.0
-        squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        distances = np.sqrt(np.maximum(squares, 0.0))
-        # a vector is at distance 0 from itself, whatever the rounding
-        distances[ids[:, None] == right.column("other_id").to_numpy()[None, :]] = 0.0
-        sums = distances @ onehot
-        found_id = np.repeat(ids, len(clusters))
-        found_cluster = np.tile(clusters, len(ids))
-        found_sum = sums.ravel()
-    return pa.table(
-        {
-            "doc_id": pa.array(found_id, pa.int64()),
-            "other": pa.array(found_cluster, pa.int32()),
-            "total": pa.array(found_sum, pa.float64()),
-        }
+def _cluster_sums(clustered: DataFrame, centre: np.ndarray) -> dict[int, tuple]:
+    """Per cluster its size, summed vectors and summed squares, as seen from the centre."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors = _matrix(batch.column("vec")).astype(float) - centre
+                labels, member = np.unique(batch.column("cluster").to_numpy(), return_inverse=True)
+                onehot = (np.arange(len(labels))[:, None] == member[None, :]).astype(float)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(labels, pa.int32()),
+                        pa.array(onehot.sum(1)),
+                        _lists(onehot @ vectors),
+                        pa.array(onehot @ (vectors * vectors).sum(1)),
+                    ],
+                    names=["cluster", "n", "total", "squares"],
+                )
+
+    schema = "cluster int, n double, total array<double>, squares double"
+    width = len(centre)
+    sums = [F.sum(F.get("total", F.lit(j))) for j in range(width)]
+    rows = (
+        clustered.select("vec", "cluster")
+        .mapInArrow(partial, schema)
+        .groupBy("cluster")
+        .agg(F.sum("n").alias("n"), F.array(*sums).alias("total"), F.sum("squares").alias("squares"))
     )
+    return {r["cluster"]: (r["n"], np.array(r["total"]), r["squares"]) for r in rows.collect()}
 
 
-def silhouette(clustered: DataFrame, per_block: int = DISTANCES_PER_BLOCK) -> DataFrame:
-    """``(silhouette)``: exact mean silhouette under Euclidean distance.
+def silhouette(clustered: DataFrame) -> DataFrame:
+    """``(silhouette)``: mean silhouette under squared Euclidean distance, in linear time.
 
-    The distances are quadratic in the vectors by definition. They are computed between
-    blocks of vectors, in a task per pair of blocks, and leave it as one sum per vector and
-    cluster. Use ``silhouette_squared`` where that is too much work.
+    The mean squared distance of x to a cluster is ``|x|^2 - 2 x.S / n + Q / n`` with its
+    size n, sum S and sum of squares Q; all are taken from the centre of all vectors, so that
+    large coordinates do not cancel. The driver sees one row per cluster.
     """
-    rows = clustered.select("doc_id", "vec", F.col("cluster").cast("int").alias("cluster"))
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    n = max(-(-rows.count() // per_block), int(np.ceil(np.sqrt(cores))))
-    own = F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    # Both sides come from the same rows, so one of them gets names of its own.
-    left = rows.select(own.alias("a"), every.alias("b"), "doc_id", "vec")
-    right = rows.select(
-        every.alias("a"),
-        own.alias("b"),
-        F.col("doc_id").alias("other_id"),
-        F.col("vec").alias("other_vec"),
-        F.col("cluster").alias("other"),
-    )
-    sums = (
-        left.groupBy("a", "b")
-        .cogroup(right.groupBy("a", "b"))
-        .applyInArrow(_distance_sums, "doc_id long, other int, total double")
-        .groupBy("doc_id", "other")
-        .agg(F.sum("total").alias("total"))
-    )
-    sizes = rows.groupBy("cluster").agg(F.count("*").alias("size"))
-    mine = rows.select("doc_id", "cluster")
-    joined = sums.join(F.broadcast(sizes.withColumnRenamed("cluster", "other")), "other").join(
-        mine, "doc_id"
-    )
-    own_cluster = F.col("other") == F.col("cluster")
-    scored = joined.groupBy("doc_id").agg(
-        F.max(F.when(own_cluster, F.col("size"))).alias("size"),
-        F.max(F.when(own_cluster, F.col("total") / F.nullif(F.col("size") - 1, F.lit(0)))).alias("a"),
-        F.min(F.when(~own_cluster, F.col("total") / F.col("size"))).alias("b"),
-    )
-    # the only member of a cluster scores 0
-    value = F.when(F.col("size") == 1, F.lit(0.0)).otherwise(
-        F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0))
-    )
-    return scored.agg(F.avg(value).alias("silhouette"))
+    rows = clustered.select("vec", F.col("cluster").cast("int").alias("cluster"))
+    entries = rows.select(F.posexplode("vec").alias("dim", "value"))
+    means = entries.groupBy("dim").agg(F.avg("value").alias("mean")).orderBy("dim").collect()
+    centre = np.array([r["mean"] for r in means])
+    sums = _cluster_sums(rows, centre)
+    labels = np.array(sorted(sums))
+    size = np.array([sums[c][0] for c in labels])
+    total = np.array([sums[c][1] for c in labels])
+    squares = np.array([sums[c][2] for c in labels])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column("vec")).astype(float) - centre
+                own = np.searchsorted(labels, batch.column("cluster").to_numpy())
+                sums_to = size * (x * x).sum(1)[:, None] - 2 * (x @ total.T) + squares
+                at = np.arange(len(x))
+                a = np.maximum(sums_to[at, own], 0) / np.maximum(size[own] - 1, 1)
+                means_to = np.maximum(sums_to, 0) / size
+                means_to[at, own] = np.inf
+                b = means_to.min(1)
+                larger = np.maximum(a, b)
+                usable = (size[own] > 1) & (larger > 0) & np.isfinite(b)
+                value = np.where(usable, (b - a) / np.where(usable, larger, 1), 0.0)
+                yield pa.RecordBatch.from_arrays([pa.array(value)], names=["value"])
+
+    return rows.mapInArrow(score, "value double").agg(F.avg("value").alias("silhouette"))
 
 
 def k_sweep(
     vectors: DataFrame,
-    ks: Iterable[int],
+    ks: Iterable[int] = range(1, 100),
     starts: int = KMEANS_STARTS,
     seed: int = 0,
-    exact: bool = True,
 ) -> DataFrame:
     """``(k, wcss, silhouette)`` for a grid of cluster numbers; one distributed fit per start."""
     spark = vectors.sparkSession
@@ -175,7 +158,7 @@ def k_sweep(
                 continue
             model = _fit_best(features, k, starts, seed).setPredictionCol("cluster")
             labelled = model.transform(features).select("doc_id", "vec", "cluster")
-            score = silhouette(labelled).first()[0] if exact else silhouette_squared(labelled)
+            score = silhouette(labelled).first()[0]
             rows.append((k, model.summary.trainingCost, score))
     finally:
         features.unpersist()
@@ -227,4 +210,4 @@ def top_terms_per_dim(terms: DataFrame, n: int = TERMS_PER_DIM) -> DataFrame:
 def cluster_terms(clustered: DataFrame, terms: DataFrame) -> DataFrame:
     """``(cluster, dim_rank, term_rank, dim, term)``: four terms per cluster by default."""
     dims = top_dims(cluster_centroids(clustered))
-    return top_terms_per_dim(terms).join(F.broadcast(dims), "dim")
+    return top_terms_per_dim(terms).join(dims, "dim")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rostra.functions.scores import idf_smooth
 from rostra.functions.text import Preprocess, let, term_counts
-from rostra.runtime import dense_row_number, join_vocabulary
+from rostra.runtime import dense_row_number, join_vocabulary, materialize
 from rostra.schemas import SPEECH
 
 CATALOG_BLOCK_DOCS = 65_536
@@ -77,17 +77,15 @@ def inverted_catalog(
 ) -> DataFrame:
     """``(term, df, block, postings)`` with the postings of a row ordered by document.
 
-    A term in at most ``block_docs`` documents has one row, block 0. More frequent terms
-    have a row per range of ``block_docs`` document ids, so no row grows without bound.
+    Every term has a row per range of ``block_docs`` document ids that holds it, so no row
+    grows without bound. The document frequency joins those rows, not the postings.
     """
-    placed = join_vocabulary(postings.select("term", "doc_id", "tf"), vocab.select("term", "df"))
-    block = F.when(F.col("df") <= block_docs, F.lit(0)).otherwise(
-        F.floor(F.col("doc_id") / block_docs)
-    )
-    return (
-        placed.groupBy("term", "df", block.cast("long").alias("block"))
-        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+    block = F.floor(F.col("doc_id") / block_docs).cast("long")
+    rows = postings.groupBy("term", block.alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
     )
+    placed = join_vocabulary(materialize(rows, "catalog-rows"), vocab.select("term", "df"))
+    return placed.select("term", "df", "block", "postings")
 
 
 def catalog_text(postings: Column) -> Column:
@@ -98,9 +96,9 @@ def catalog_text(postings: Column) -> Column:
 
 
 def catalog_lines(catalog: DataFrame) -> DataFrame:
-    """The text form ``term,df,doc1,tf1,...``, ordered by term and block."""
+    """The text form ``term,df,block,doc1,tf1,...``, ordered by term and block."""
     return catalog.orderBy("term", "block").select(
-        F.concat_ws(",", "term", "df", catalog_text(F.col("postings"))).alias("value")
+        F.concat_ws(",", "term", "df", "block", catalog_text(F.col("postings"))).alias("value")
     )
 
 

@@ -15,9 +15,9 @@ from pyspark.sql.window import Window
 from rostra.functions.scores import rank_key
 from rostra.functions.text import Preprocess
 from rostra.operators.index import tfidf_rows, with_term_id
-from rostra.operators.search import query_terms
-from rostra.runtime import fits_broadcast, materialize
-from rostra.schemas import PAGE_SIZE, SCORE_THRESHOLD, SVD_COMPONENTS, SVD_KEPT
+from rostra.operators.search import drop_last_hit, query_terms
+from rostra.runtime import fits_broadcast, materialize, rank_within
+from rostra.schemas import SCORE_THRESHOLD, SVD_COMPONENTS, SVD_KEPT
 
 OVERSAMPLES = 10
 POWER_ITERATIONS = 5
@@ -25,8 +25,8 @@ DOCS_PER_BLOCK = 2_000
 _ENTRIES_PER_STEP = 16_384  # entries multiplied at a time: bounds the memory of a product
 _ROWS_PER_BUCKET = 100_000  # vectors summed in one task
 _RANK_TOLERANCE = 1e-12
-QUERIES_PER_BLOCK = 1_024
-VECTORS_PER_BLOCK = 20_000
+QUERY_BYTES = 8 * 1024 * 1024  # query vectors that go to all tasks at once
+VECTORS_PER_STEP = 4_096
 
 
 # --- Arrow helpers --------------------------------------------------------------------------
@@ -345,34 +345,29 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _cosine_step(threshold: float, top_k: int | None) -> Callable:
-    """Cosines above the threshold between a block of queries and a block of documents."""
-
-    def step(queries: pa.Table, docs: pa.Table) -> pa.Table:
-        found_q, found_d, found_s = [], [], []
-        if queries.num_rows and docs.num_rows:
-            right = _unit(_matrix(docs.column("vec")).astype(float))
-            ids = docs.column("doc_id").to_numpy()
-            query_ids = queries.column("asked").to_numpy()
-            left = _unit(_matrix(queries.column("asked_vec")).astype(float))
-            for at, query in enumerate(left):
-                scores = right @ query
-                hits = np.flatnonzero(scores > threshold)
-                if top_k is not None and len(hits) > top_k:
-                    # a block keeps what could be among the best of all blocks
-                    order = np.lexsort((ids[hits], -np.round(scores[hits], 9)))
-                    hits = hits[order[:top_k]]
-                found_q.append(np.full(len(hits), query_ids[at]))
-                found_d.append(ids[hits])
-                found_s.append(scores[hits])
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.array([], kind)
-        return pa.table(
-            {
-                "query_id": pa.array(join(found_q, np.int64), pa.int64()),
-                "doc_id": pa.array(join(found_d, np.int64), pa.int64()),
-                "score": pa.array(join(found_s, np.float64), pa.float64()),
-            }
-        )
+def _cosines(asked: list[tuple[int, bytes]], threshold: float, top_k: int | None) -> Callable:
+    """Per batch of documents: cosines above the threshold with every query."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids = np.array([query_id for query_id, _ in asked])
+        queries = _unit(np.array([np.frombuffer(vec) for _, vec in asked]))
+        for batch in batches:
+            for start in range(0, batch.num_rows, VECTORS_PER_STEP):
+                part = batch.slice(start, VECTORS_PER_STEP)
+                scores = queries @ _unit(_matrix(part.column("vec")).astype(float)).T
+                ids = part.column("doc_id").to_numpy()
+                at, doc = np.nonzero(scores > threshold)
+                if top_k is not None:
+                    # a step keeps what could be among the best of all
+                    order = np.lexsort((ids[doc], -np.round(scores[at, doc], 9), at))
+                    at, doc = at[order], doc[order]
+                    first = np.searchsorted(at, at)
+                    best = np.arange(len(at)) - first < top_k
+                    at, doc = at[best], doc[best]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(query_ids[at]), pa.array(ids[doc]), pa.array(scores[at, doc])],
+                    names=["query_id", "doc_id", "score"],
+                )
 
     return step
 
@@ -382,41 +377,35 @@ def query_doc_product(
     doc_vectors: DataFrame,
     threshold: float = SCORE_THRESHOLD,
     top_k: int | None = None,
-    queries_per_block: int = QUERIES_PER_BLOCK,
-    vectors_per_block: int = VECTORS_PER_BLOCK,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """``(query_id, doc_id, score)``: cosines above the threshold.
 
-    Queries and documents are cut into blocks that fit a task, each pair of blocks is one
-    matrix product, and pairs below the threshold never become rows.
+    The vectors of the documents stay where they are: a batch of queries of a bounded size
+    goes to all tasks, and each batch of documents is one matrix product. More queries than
+    that are asked in several passes. Pairs below the threshold never become rows.
     """
-    n_docs = max(
-        -(-doc_vectors.count() // vectors_per_block),
-        doc_vectors.sparkSession.sparkContext.defaultParallelism,
-    )
-    n_queries = max(1, -(-query_vectors.count() // queries_per_block))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    own = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    # The two sides may come from the same rows, so one of them gets names of its own.
-    queries = query_vectors.select(
-        own("query_id", n_queries).alias("qb"),
-        every(n_docs).alias("db"),
-        F.col("query_id").alias("asked"),
-        F.col("vec").alias("asked_vec"),
-    )
-    docs = doc_vectors.select(
-        every(n_queries).alias("qb"), own("doc_id", n_docs).alias("db"), "doc_id", "vec"
-    )
-    return (
-        queries.groupBy("qb", "db")
-        .cogroup(docs.groupBy("qb", "db"))
-        .applyInArrow(_cosine_step(threshold, top_k), "query_id long, doc_id long, score double")
-    )
-
-
-def lsa_rank(hits: DataFrame, top_k: int = PAGE_SIZE) -> DataFrame:
+    schema = "query_id long, doc_id long, score double"
+    asked = materialize(query_vectors.select("query_id", "vec"), "asked")
+    size = asked.agg(F.coalesce(F.sum(F.size("vec") * 8 + 8), F.lit(0))).first()[0]
+    passes = size // query_bytes + 1
+    part = F.pmod(F.xxhash64("query_id"), F.lit(passes))
+    found = doc_vectors.sparkSession.createDataFrame([], schema)
+    docs = doc_vectors.select("doc_id", "vec")
+    for number in range(passes):
+        rows = asked.where(part == number).collect()  # about query_bytes
+        packed = [(r["query_id"], np.array(r["vec"], float).tobytes()) for r in rows]
+        if packed:
+            found = found.unionByName(docs.mapInArrow(_cosines(packed, threshold, top_k), schema))
+    return found
+
+
+def lsa_rank(hits: DataFrame, top_k: int | None = None) -> DataFrame:
     """Number the hits of each query: cosine descending, then document."""
-    order = Window.partitionBy("query_id").orderBy(F.desc(rank_key(F.col("score"))), "doc_id")
+    best = [F.desc(rank_key(F.col("score"))), F.asc("doc_id")]
+    if top_k is None:
+        return rank_within(hits, ["query_id"], best, "rank")
+    order = Window.partitionBy("query_id").orderBy(*best)
     ranked = hits.withColumn("rank", F.row_number().over(order).cast("long"))
     return ranked.where(F.col("rank") <= top_k)
 
@@ -425,10 +414,13 @@ def search_lsa(
     queries: DataFrame,
     pre: Preprocess,
     model: Lsa,
-    top_k: int = PAGE_SIZE,
+    top_k: int | None = None,
     threshold: float = SCORE_THRESHOLD,
+    drop_last: bool = False,
 ) -> DataFrame:
-    """Ranked hits ``(query_id, rank, doc_id, score)`` by cosine in the latent space."""
+    """All ranked hits ``(query_id, rank, doc_id, score)`` by cosine in the latent space."""
     asked = fold_in(queries, pre, model.terms, model.kept)
-    hits = query_doc_product(asked, model.docs, threshold, top_k)
+    hits = query_doc_product(asked, model.docs, threshold, None if drop_last else top_k)
+    if drop_last:
+        hits = drop_last_hit(hits.withColumn("first_pos", F.lit(0)))
     return lsa_rank(hits, top_k).select("query_id", "rank", "doc_id", "score")

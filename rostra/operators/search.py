@@ -14,7 +14,8 @@ from rostra.schemas import DATE, MEMBER, PAGE_SIZE, SCORE_THRESHOLD, SPEECH
 from rostra.sources.tables import TERM_BUCKETS, term_bucket
 
 HIT = ["query_id", "doc_id"]
-_SALTS = 32
+# Postings of one term that a task joins.
+POSTINGS_PER_TASK = 1_000_000
 
 
 def non_empty_queries(queries: DataFrame, text: str = "text") -> DataFrame:
@@ -60,12 +61,14 @@ def query_postings_join(
     vocab: DataFrame,
     buckets: int = TERM_BUCKETS,
     small: bool | None = None,
+    postings_per_task: int = POSTINGS_PER_TASK,
 ) -> DataFrame:
     """Postings of the query terms.
 
     A batch of queries of a checked size is broadcast; with postings stored by term bucket
     Spark then reads the buckets of the query terms only. A larger batch is joined by
-    shuffle, with the most frequent terms salted by document. ``buckets`` is the number the
+    shuffle, with frequent terms salted by document, as many times as their document
+    frequency asks for. ``buckets`` is the number the
     table was written with; ``small`` passes on a check that was already made.
     """
     if "term_bucket" in postings.columns:
@@ -75,16 +78,16 @@ def query_postings_join(
         keys = ["term"]
     if fits_broadcast(terms) if small is None else small:
         return postings.join(F.broadcast(terms), keys).drop("term_bucket")
-    head = F.broadcast(heavy_terms(vocab).select("term", F.lit(True).alias("_heavy")))
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS))
+    salts = F.ceil(F.col("df") / postings_per_task).cast("long").alias("_salts")
+    head = F.broadcast(heavy_terms(vocab).select("term", salts))
+    number = F.coalesce("_salts", F.lit(1).cast("long"))
     left = postings.join(head, "term", "left").withColumn(
-        "_salt", F.when(F.col("_heavy"), salt).otherwise(F.lit(0).cast("long"))
+        "_salt", F.pmod(F.xxhash64("doc_id"), number)
     )
-    salts = F.when(
-        F.col("_heavy"), F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
-    ).otherwise(F.array(F.lit(0).cast("long")))
-    right = terms.join(head, "term", "left").withColumn("_salt", F.explode(salts)).drop("_heavy")
-    return left.drop("_heavy").join(right, [*keys, "_salt"]).drop("_salt", "term_bucket")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), number - 1))
+    right = terms.join(head, "term", "left").withColumn("_salt", every)
+    joined = left.drop("_salts").join(right.drop("_salts"), [*keys, "_salt"])
+    return joined.drop("_salt", "term_bucket")
 
 
 def search_hits(
@@ -171,12 +174,12 @@ def search(
     postings: DataFrame,
     vocab: DataFrame,
     idf_basis: Column | None = None,
-    top_k: int | None = PAGE_SIZE,
+    top_k: int | None = None,
     threshold: float = SCORE_THRESHOLD,
     drop_last: bool = False,
     buckets: int = TERM_BUCKETS,
 ) -> DataFrame:
-    """Ranked hits ``(query_id, rank, doc_id, score)`` for a table of queries.
+    """All ranked hits ``(query_id, rank, doc_id, score)`` for a table of queries.
 
     ``score = sum over query terms, repeats counted, of (1 + ln tf) * ln(1 + total / df)``
     divided by the truncated length of the document.

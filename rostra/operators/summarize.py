@@ -50,6 +50,8 @@ def summarize(
 ) -> DataFrame:
     """``(doc_id, summary)``: best sentences while their words fit words / 1.5 of the text.
 
+    A text without a sentence has an empty summary; a null text has no row.
+
     Sentences are taken by score until the running word count passes the budget, and joined
     in text order. The best sentence is always taken, so every text with a sentence has a
     summary. Choosing moves numbers only, in windows per document; the texts meet the chosen
@@ -67,8 +69,11 @@ def summarize(
         .where((F.col("used") <= F.col("max_words")) | (F.col("rank") == 1))
     )
     chosen = taken.groupBy("doc_id").agg(F.collect_list("pos").alias("chosen"))
-    picked = corpus.select("doc_id", _parts(text).alias("parts")).join(chosen, "doc_id")
-    kept = F.filter("parts", lambda part, i: F.array_contains("chosen", i))
+    whole = corpus.where(F.col(text).isNotNull()).select("doc_id", _parts(text).alias("parts"))
+    picked = whole.join(chosen, "doc_id", "left")
+    # The chosen positions in order, each looked up once.
+    places = F.sort_array(F.coalesce("chosen", F.array().cast("array<int>")))
+    kept = F.transform(places, lambda at: F.get("parts", at))
     return picked.select("doc_id", strip_quotes(F.array_join(kept, ". ")).alias("summary"))
 
 

@@ -14,6 +14,7 @@ from rostra.functions.text import (
     SUFFIXES,
 )
 from rostra.plans.views import SITTING_DATE
+from rostra.plans.queries import ONE_QUERY
 from rostra.schemas import SAMPLE_ROWS, SCORE_THRESHOLD
 
 _FROM, _TO = accent_map()
@@ -180,9 +181,10 @@ terms_per_dim AS (
     SELECT dim, 'v' || doc_id AS term, row_number() OVER (PARTITION BY dim
              ORDER BY value DESC, 'v' || doc_id)::BIGINT AS term_rank FROM entries)
   WHERE term_rank <= 2),
+labels AS (SELECT cluster AS query_id, list(value ORDER BY dim) AS vec FROM centroids GROUP BY ALL),
 cosines AS (
-  SELECT q.doc_id AS query_id, d.doc_id, list_cosine_similarity(q.vec, d.vec) AS score
-  FROM vecs q, vecs d WHERE list_cosine_similarity(q.vec, d.vec) > 0.2)"""
+  SELECT q.query_id, d.doc_id, list_cosine_similarity(q.vec, d.vec) AS score
+  FROM labels q, vecs d WHERE list_cosine_similarity(q.vec, d.vec) > 0.2)"""
 
 
 def _with(*parts_and_select: str) -> str:
@@ -289,15 +291,15 @@ def oracle() -> dict[str, str]:
             _SPEECHES, "SELECT doc_id, member_name, sitting_date, political_party FROM speeches"
         ),
         "processed_sink": _with(_SPEECHES, processed),
-        "processed_scan": _with(_SPEECHES, f"{processed} WHERE doc_id < {SAMPLE_ROWS}"),
+        "processed_scan": _with(_SPEECHES, f"SELECT doc_id, speech FROM ({processed})"),
         "inverted_catalog": _with(_SPEECHES, _INDEX, """
-          SELECT term, any_value(df) AS df, 0::BIGINT AS block,
+          SELECT term, any_value(df) AS df, doc_id // 100 AS block,
                  string_agg(doc_id || ',' || tf, ',' ORDER BY doc_id) AS postings
-          FROM postings JOIN vocab USING (term) GROUP BY term"""),
+          FROM postings JOIN vocab USING (term) GROUP BY term, doc_id // 100"""),
         "catalog_lines": _with(_SPEECHES, _INDEX, """
-          SELECT term || ',' || any_value(df) || ',' ||
+          SELECT term || ',' || any_value(df) || ',' || doc_id // 100 || ',' ||
                  string_agg(doc_id || ',' || tf, ',' ORDER BY doc_id) AS value
-          FROM postings JOIN vocab USING (term) GROUP BY term"""),
+          FROM postings JOIN vocab USING (term) GROUP BY term, doc_id // 100"""),
         "index_sinks": _with(_SPEECHES, _INDEX, """
           SELECT 'postings' AS name, count(*)::BIGINT AS n_rows FROM postings
           UNION ALL SELECT 'term_postings', count(*)::BIGINT FROM postings
@@ -331,7 +333,7 @@ def oracle() -> dict[str, str]:
           SELECT kind, entity, label,
                  CASE WHEN contains(label, '-') THEN kind ELSE kind || '_year' END AS grouping,
                  CASE WHEN NOT contains(label, '-') THEN label::BIGINT END AS year
-          FROM options WHERE kind = 'party'"""),
+          FROM options"""),
         "empty_query_guard": """
           SELECT item_id AS query_id, text FROM benchmark
           WHERE item_id % 2 <> 0 AND length(trim(text)) > 0""",
@@ -417,7 +419,7 @@ def oracle() -> dict[str, str]:
         "silhouette": _with(_VECTOR_TABLE, """
           sums AS (
             SELECT a.doc_id, a.cluster, b.cluster AS other, count(*) AS size,
-                   sum(list_distance(a.vec, b.vec)) AS total
+                   sum(list_distance(a.vec, b.vec) ** 2) AS total
             FROM vecs a, vecs b GROUP BY ALL)""", """
           per_doc AS (
             SELECT doc_id, max(CASE WHEN other = cluster THEN size END) AS size,
@@ -430,8 +432,9 @@ def oracle() -> dict[str, str]:
           SELECT query_id, term, qtf, first_pos, doc_id, tf
           FROM asked JOIN postings USING (term)"""),
         "doc_norm_join": _with(_SPEECHES, _INDEX, """
-          SELECT doc_id, term, round(tf / norm, 6) AS share
-          FROM postings JOIN norms USING (doc_id)"""),
+          SELECT doc_id, term,
+                 round(tf / sqrt(sum(tf * tf) OVER (PARTITION BY doc_id)::DOUBLE), 6) AS share
+          FROM postings"""),
         "fetch_documents": _search("""
           SELECT doc_id, speech, member_name, sitting_date, query_id, rank
           FROM ranked_hits JOIN speeches USING (doc_id) WHERE rank <= 10"""),
@@ -467,8 +470,7 @@ def oracle() -> dict[str, str]:
         "lsa_rank": _with(_VECTOR_TABLE, """
           SELECT query_id, doc_id, rank, round(score, 6) AS score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id
-                        ORDER BY round(score, 9) DESC, doc_id)::BIGINT AS rank FROM cosines)
-          WHERE rank <= 10"""),
+                        ORDER BY round(score, 9) DESC, doc_id)::BIGINT AS rank FROM cosines)"""),
         "entity_profile": _keyword_rows(
             "(grouping = 'member' AND rank <= 10) OR grouping = 'member_year'",
             "entity, year, rank, term",
@@ -476,12 +478,12 @@ def oracle() -> dict[str, str]:
         "score_threshold": _search("""
           SELECT query_id, doc_id, round(score, 6) AS score
           FROM ranked_hits WHERE rank < n_results"""),
-        "search": _search(f"{_RANKED} WHERE rank <= 10"),
-        "search_one_query": _search(f"""{_RANKED} WHERE rank <= 10 AND query_id =
-          (SELECT item_id FROM benchmark ORDER BY length(text) DESC, item_id LIMIT 1)"""),
-        "search_by_documents": _search(
-            f"{_RANKED} WHERE rank <= 10", total="(SELECT n_docs FROM n)"
-        ),
+        "search": _search(_RANKED),
+        "search_one_query": _with(_SPEECHES, _INDEX, _QUERIES.replace(
+            "SELECT item_id AS query_id, text FROM benchmark",
+            f"SELECT * FROM (SELECT 0::BIGINT AS query_id, '{ONE_QUERY}' AS text)",
+        ), _hits(), _RANKED),
+        "search_by_documents": _search(_RANKED, total="(SELECT n_docs FROM n)"),
         "search_results": _search("""
           SELECT query_id, rank, doc_id, speech, member_name, sitting_date,
                  round(score, 6) AS score, n_results, ceil(n_results / 10.0)::BIGINT AS n_pages
@@ -498,18 +500,22 @@ def oracle() -> dict[str, str]:
           SELECT entity_a, entity_b, round(similarity, 6) AS similarity,
                  round(similarity, 2) AS similarity_rounded FROM best"""),
         "summarize": _with(_SPEECHES, _INDEX, _SUMMARY, """
-          SELECT doc_id, trim(string_agg(sentence, '. ' ORDER BY pos), '"') AS summary
-          FROM running WHERE used <= max_words OR rank = 1 GROUP BY doc_id"""),
+          SELECT s.doc_id, coalesce(trim(string_agg(r.sentence, '. ' ORDER BY r.pos), '"'), '')
+                 AS summary
+          FROM speeches s LEFT JOIN running r
+            ON s.doc_id = r.doc_id AND (r.used <= r.max_words OR r.rank = 1)
+          WHERE s.speech IS NOT NULL GROUP BY s.doc_id"""),
         "build_all": _with(_SPEECHES, _INDEX, _GROUPS, _KEYWORDS, _VECTORS, _PAIRS, """
           sizes AS (
             SELECT (SELECT count(*) FROM speeches) AS docs, (SELECT count(*) FROM vocab) AS terms,
                    (SELECT count(*) FROM postings) AS postings,
                    (SELECT count(*) FROM keywords) AS keywords,
+                   (SELECT count(DISTINCT (term, doc_id // 65536)) FROM postings) AS catalog,
                    (SELECT count(*) FROM vectors) AS vectors, (SELECT count(*) FROM best) AS pairs)""", """
           SELECT unnest(['postings', 'term_postings', 'tfidf', 'vocab', 'catalog', 'lsa_terms',
                          'processed', 'norms', 'lsa_docs', 'clusters', 'keywords',
                          'member_vectors', 'pairs', 'stats', 'cluster_terms']) AS name,
-                 unnest([postings, postings, postings, terms, terms, terms, docs, docs, docs, docs,
+                 unnest([postings, postings, postings, terms, catalog, terms, docs, docs, docs, docs,
                          keywords, vectors, pairs, 1, 9 * 2 * 2])::BIGINT AS n_rows
           FROM sizes"""),
         "cluster_terms": _with(_VECTOR_TABLE, """

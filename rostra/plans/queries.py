@@ -12,7 +12,7 @@ from rostra.functions.text import Preprocess
 from rostra.operators import catalog, clusters, groups, index, lsa, pairs, search, summarize
 from rostra.plans import views
 from rostra.plans.build import Tables, build_all, build_index, table_sizes
-from rostra.runtime import materialize, scratch_path, ship_package
+from rostra.runtime import fits_broadcast, materialize, scratch_path, ship_package
 from rostra.schemas import (
     CLUSTERS_DEFAULT,
     DATE,
@@ -24,6 +24,8 @@ from rostra.schemas import (
 from rostra.sources import corpus, tables
 
 PRE = Preprocess()
+CATALOG_BLOCK = 100  # documents per catalog row: small, so that rows are cut at any size
+ONE_QUERY = "the others and for this thing"
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Tables stored once per session and input folder, as a search service would keep them.
@@ -195,20 +197,22 @@ def processed_sink(spark, sf_dir):
 
 @_query
 def processed_scan(spark, sf_dir):
-    return corpus.processed_scan(spark, _stored_processed(spark, sf_dir), SAMPLE_ROWS)
+    """The whole stored corpus, as later steps read it."""
+    stored = corpus.processed_scan(spark, _stored_processed(spark, sf_dir))
+    return stored.select("doc_id", SPEECH)
 
 
 @_query
 def inverted_catalog(spark, sf_dir):
     built = stored_index(spark, sf_dir)
-    rows = index.inverted_catalog(built.postings, built.vocab)
+    rows = index.inverted_catalog(built.postings, built.vocab, CATALOG_BLOCK)
     return rows.withColumn("postings", index.catalog_text(F.col("postings")))
 
 
 @_query
 def catalog_lines(spark, sf_dir):
     built = stored_index(spark, sf_dir)
-    lines = index.catalog_lines(index.inverted_catalog(built.postings, built.vocab))
+    lines = index.catalog_lines(index.inverted_catalog(built.postings, built.vocab, CATALOG_BLOCK))
     path = scratch_path(spark, "catalog")
     lines.write.text(path)
     return spark.read.text(path)
@@ -287,7 +291,9 @@ def entity_year_filter(spark, sf_dir):
 
 @_query
 def period_dispatch(spark, sf_dir):
-    options = catalog.period_options(catalog.entity_years(_speech(spark, sf_dir), "party"))
+    rows = _speech(spark, sf_dir)
+    years = catalog.entity_years(rows, "member").unionByName(catalog.entity_years(rows, "party"))
+    options = catalog.period_options(years)
     label = F.col("label")
     return options.select(
         "kind",
@@ -532,10 +538,9 @@ def query_postings_join(spark, sf_dir):
 
 @_query
 def doc_norm_join(spark, sf_dir):
-    norms = index.doc_norms(_speech(spark, sf_dir), PRE)
-    rows = stored_index(spark, sf_dir).postings.select("doc_id", "term", "tf")
+    """The norm stands in every posting: no join is left."""
     share = F.col("tf") / F.col("norm")
-    return rows.join(norms, "doc_id").select("doc_id", "term", share.alias("share"))
+    return stored_index(spark, sf_dir).postings.select("doc_id", "term", share.alias("share"))
 
 
 @_query
@@ -548,7 +553,8 @@ def fetch_documents(spark, sf_dir):
 def vocab_idf_join(spark, sf_dir):
     vocab = stored_index(spark, sf_dir).vocab
     terms = search.query_terms(views.query_batch(spark, sf_dir), PRE)
-    return vocab.select("term", "idf").join(F.broadcast(terms), "term").select(
+    asked = F.broadcast(terms) if fits_broadcast(terms) else terms
+    return vocab.select("term", "idf").join(asked, "term").select(
         "query_id", "term", "qtf", "idf"
     )
 
@@ -562,12 +568,19 @@ def group_pair_join(spark, sf_dir):
     return similar.join(a, "no_a").join(b, "no_b").select("entity_a", "entity_b", "similarity")
 
 
+def _centroids(docs):
+    """``(query_id, vec)``: the mean vector of every label."""
+    means = clusters.cluster_centroids(docs).groupBy("cluster").agg(
+        F.sort_array(F.collect_list(F.struct("dim", "value"))).alias("entries")
+    )
+    return means.select(F.col("cluster").cast("long").alias("query_id"), F.col("entries.value").alias("vec"))
+
+
 @_query
 def query_doc_product(spark, sf_dir):
-    """Every vector as a query against all vectors: cosines above the threshold."""
+    """The centroid of every label as a query against all vectors: cosines above the threshold."""
     docs = views.doc_vectors(spark, sf_dir)
-    asked = docs.select(F.col("doc_id").alias("query_id"), "vec")
-    return lsa.query_doc_product(asked, docs)
+    return lsa.query_doc_product(_centroids(docs), docs)
 
 
 @_query
@@ -576,7 +589,7 @@ def cluster_component_join(spark, sf_dir):
     entries = views.term_vectors(spark, sf_dir).select(
         "term", F.posexplode("comp").alias("dim", "weight")
     )
-    return entries.join(F.broadcast(dims), "dim").select("cluster", "dim", "term", "weight")
+    return entries.join(dims, "dim").select("cluster", "dim", "term", "weight")
 
 
 @_query
@@ -644,9 +657,9 @@ def top_terms_per_dim(spark, sf_dir):
 
 @_query
 def lsa_rank(spark, sf_dir):
+    """The whole ranking for the centroid of every label."""
     docs = views.doc_vectors(spark, sf_dir)
-    asked = docs.select(F.col("doc_id").alias("query_id"), "vec")
-    return lsa.lsa_rank(lsa.query_doc_product(asked, docs, top_k=10), 10)
+    return lsa.lsa_rank(lsa.query_doc_product(_centroids(docs), docs))
 
 
 @_query
@@ -678,9 +691,9 @@ def search_top10(spark, sf_dir):
 
 @_query
 def search_one_query(spark, sf_dir):
-    """A single query, the longest of the batch, from the folders of its terms."""
+    """A single query, as a user would ask it, from the folders of its terms."""
     built = stored_index(spark, sf_dir)
-    queries = views.query_batch(spark, sf_dir).orderBy(F.desc(F.length("text")), "query_id").limit(1)
+    queries = spark.createDataFrame([(0, ONE_QUERY)], "query_id long, text string")
     postings = built.postings_for(search.query_terms(queries, PRE))
     return search.search(queries, PRE, postings, built.vocab, buckets=built.buckets)
 

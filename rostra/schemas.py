@@ -25,6 +25,9 @@ SAMPLE_ROWS = 100
 # Scores closer than this many decimal places count as ties when rows are ranked.
 RANK_DECIMALS = 9
 
+# Day first, or year first where that leaves no doubt.
+DATE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "yyyy-M-d", "yyyy/M/d", "d MMM yyyy", "d MMMM yyyy")
+
 MEMBER, PARTY, DATE, SPEECH = "member_name", "political_party", "sitting_date", "speech"
 ALL_PERIODS = "-"
 

@@ -15,15 +15,31 @@ _FIELD_BREAK = "\u0001"
 
 
 def corpus_scan(spark: SparkSession, path: str, n_columns: int = 11) -> DataFrame:
-    """A CSV corpus with a header line, one record per line, quotes removed."""
-    return (
-        spark.read.schema(corpus_schema(n_columns))
+    """A CSV corpus with a header line, one record per line, quotes removed.
+
+    The speech is the last field of its line, however many there are. The reader only drops
+    the header line of every file: no separator occurs in a line, so a line is one value.
+    """
+    lines = (
+        spark.read.schema("value string")
         .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", False)
+        .option("sep", _FIELD_BREAK)
+        .option("quote", "")
         .csv(path)
     )
+    names = corpus_schema(n_columns).names
+    fields = lines.select(split_outside_quotes(F.col("value")).alias("_fields"))
+    leading = [F.get("_fields", F.lit(i)) for i in range(len(names) - 1)]
+    columns = [*leading, F.element_at("_fields", -1)]
+    return fields.select(*[_unquoted(c).alias(n) for c, n in zip(columns, names)])
+
+
+def _unquoted(field: Column) -> Column:
+    """A CSV field without its quotes; an empty one without quotes is null."""
+    quoted = field.startswith('"') & field.endswith('"') & (F.length(field) > 1)
+    inner = F.substr(field, F.lit(2), F.length(field) - 2)
+    inner = F.replace(inner, F.lit('""'), F.lit('"'))
+    return F.when(quoted, inner).otherwise(F.nullif(field, F.lit("")))
 
 
 def split_outside_quotes(line: Column) -> Column:

@@ -38,6 +38,12 @@ def test_large_batches_are_salted_to_the_same_result(queries, plain, built, monk
     for layout in (built.postings, built.term_postings):
         assert ranking(search.search(queries, plain, layout, built.vocab)) == EXPECTED
     terms = search.query_terms(queries, plain)
+    salted = search.query_postings_join(
+        terms, built.postings, built.vocab, small=False, postings_per_task=1
+    )
+    joined = search.query_postings_join(terms, built.postings, built.vocab, small=True)
+    key = lambda df: sorted(map(str, df.select("query_id", "term", "doc_id", "tf").collect()))
+    assert key(salted) == key(joined)
     known = search.known_terms(terms, built.vocab).collect()
     assert {r["term"] for r in known} == {"tax", "budget", "health"}
 

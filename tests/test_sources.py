@@ -68,3 +68,9 @@ def test_keyed_table_lookup_is_pushed_down(spark, tmp_path):
     assert [r["id"] for r in found.collect()] == [77]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(entity,k77)" in plan
+
+
+def test_speech_is_the_last_field(spark, tmp_path):
+    write(tmp_path, "a.csv", ['A,01/01/1990,P,extra,"the ""speech"", all"', "B,02/01/1990,,"])
+    rows = sources.corpus_scan(spark, str(tmp_path), 4).collect()
+    assert [tuple(r) for r in rows] == [("A", "01/01/1990", "P", 'the "speech", all'), ("B", "02/01/1990", None, None)]

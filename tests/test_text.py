@@ -64,3 +64,12 @@ def test_years_and_labels(spark):
     assert value(spark, "1989-1991", scores.period_year) is None
     assert value(spark, "1990", scores.period_year) == 1990
     assert value(spark, "21", lambda c: scores.page_count(c.cast("long"))) == 3
+
+
+def test_day_first_dates(spark):
+    from rostra.functions.scores import parse_year
+
+    dates = ["03/07/1989", "3/7/1989", "03-07-1989", "3.7.1989", "1989-07-03", " 3 Jul 1989", "3 July 1989"]
+    df = spark.createDataFrame([(d,) for d in [*dates, "31/31/1989", "", None]], "d string")
+    years = [r[0] for r in df.select(parse_year(F.col("d"))).collect()]
+    assert years == [1989] * len(dates) + [None] * 3

@@ -80,7 +80,11 @@ def test_latent_search(spark, plain, model, dense):
     }
     expected = sorted(
         ((i, c) for i, c in cosine.items() if c > 0.2), key=lambda p: (-round(p[1], 9), p[0])
-    )[:10]
+    )
+    cut = lsa.search_lsa(queries, plain, model, top_k=3).orderBy("rank").collect()
+    assert [r["doc_id"] for r in cut] == [i for i, _ in expected[:3]]
+    dropped = lsa.search_lsa(queries, plain, model, drop_last=True).orderBy("rank").collect()
+    assert [r["doc_id"] for r in dropped] == [i for i, _ in expected[:-1]]
     found = lsa.search_lsa(queries, plain, model).orderBy("rank").collect()
     assert [r["doc_id"] for r in found] == [i for i, _ in expected]
     assert [r["score"] for r in found] == pytest.approx([c for _, c in expected])
@@ -90,8 +94,8 @@ def test_signs_do_not_matter(model):
     asked = model.docs.select(F.col("doc_id").alias("query_id"), F.col("vec"))
     flipped = model.docs.select("doc_id", F.transform("vec", lambda v, i: F.when(i % 2 == 0, -v).otherwise(v)).alias("vec"))
     turned = flipped.select(F.col("doc_id").alias("query_id"), "vec")
-    one = lsa.query_doc_product(asked, model.docs, 0.5, queries_per_block=100)
-    other = lsa.query_doc_product(turned, flipped, 0.5, vectors_per_block=50)
+    one = lsa.query_doc_product(asked, model.docs, 0.5, query_bytes=1000)
+    other = lsa.query_doc_product(turned, flipped, 0.5)
     key = lambda df: sorted((r["query_id"], r["doc_id"], round(r["score"], 9)) for r in df.collect())
     assert key(one) == key(other)
 
@@ -105,7 +109,7 @@ def test_top_k_within_blocks_is_exact(model):
 
 
 def brute_silhouette(points, labels):
-    distances = np.linalg.norm(points[:, None] - points[None], axis=2)
+    distances = np.linalg.norm(points[:, None] - points[None], axis=2) ** 2
     scores = []
     for i, label in enumerate(labels):
         same = (labels == label).sum()
@@ -124,8 +128,11 @@ def test_quality_of_given_labels(spark):
     labels = np.concatenate([[7], np.repeat(0, 60), np.repeat(3, 29)])  # one hot, one single
     rows = [(i, points[i].tolist(), int(labels[i])) for i in range(90)]
     given = spark.createDataFrame(rows, "doc_id long, vec array<double>, cluster int")
-    got = clusters.silhouette(given, per_block=17).first()[0]
+    got = clusters.silhouette(given).first()[0]
     assert got == pytest.approx(brute_silhouette(points, labels))
+    far = given.withColumn("vec", F.transform("vec", lambda v: v + 1e8))
+    assert clusters.silhouette(far).first()[0] == pytest.approx(got, rel=1e-4)
+    assert clusters.wcss(far).first()["wcss"] == pytest.approx(clusters.wcss(given).first()["wcss"], rel=1e-4)
     inertia = sum(((points[labels == c] - points[labels == c].mean(0)) ** 2).sum() for c in (0, 3, 7))
     assert clusters.wcss(given).first()["wcss"] == pytest.approx(inertia)
 
