@@ -71,10 +71,10 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TOP_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS vec
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_dot_product(q.vec, c.vec) AS BIGINT) AS score
