@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from rostra.functions.scores import parse_year
 from rostra.functions.text import Preprocess
 from rostra.operators.index import postings
-from rostra.runtime import materialize
+from rostra.runtime import fits_broadcast, join_vocabulary, materialize
 from rostra.schemas import DATE, KEYWORDS_PER_GROUP, MEMBER, PARTY, SPEECH
 
 KEY = ["grouping", "entity", "year"]
@@ -98,8 +98,8 @@ def _same_key(left: str, right: str) -> Column:
 
 
 def _weighted(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    # A term has at most one row per group here, so no term dominates this join.
-    joined = counts.join(vocab.select("term", "idf"), "term")
+    # A term has a row per group: with very many groups a frequent one would dominate a join.
+    joined = join_vocabulary(counts, vocab.select("term", "df", "idf")).drop("df")
     return joined.withColumn("raw", F.col("tf") * F.col("idf"))
 
 
@@ -110,7 +110,10 @@ def _norms(weighted: DataFrame) -> DataFrame:
 def group_vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(grouping, entity, year, term, weight)``, L2-normalised per group."""
     weighted = materialize(_weighted(counts, vocab).drop("tf", "idf"), "weighted")
-    joined = weighted.alias("w").join(_norms(weighted).alias("n"), _same_key("w", "n"))
+    norms = materialize(_norms(weighted), "group-norms")
+    if fits_broadcast(norms):  # a large group then stays in its own tasks
+        norms = F.broadcast(norms)
+    joined = weighted.alias("w").join(norms.alias("n"), _same_key("w", "n"))
     return joined.select(
         *[F.col(f"w.{k}") for k in KEY], "w.term", (F.col("raw") / F.col("norm")).alias("weight")
     )

@@ -410,6 +410,15 @@ def lsa_rank(hits: DataFrame, top_k: int | None = None) -> DataFrame:
     return ranked.where(F.col("rank") <= top_k)
 
 
+def latent_hits(
+    queries: DataFrame, pre: Preprocess, model: Lsa, threshold: float = SCORE_THRESHOLD
+) -> DataFrame:
+    """``(query_id, doc_id, score, first_pos)`` as the keyword search gives them."""
+    asked = fold_in(queries, pre, model.terms, model.kept)
+    hits = query_doc_product(asked, model.docs, threshold)
+    return hits.withColumn("first_pos", F.lit(0))
+
+
 def search_lsa(
     queries: DataFrame,
     pre: Preprocess,

@@ -11,7 +11,7 @@ from rostra.functions.text import Preprocess
 from rostra.operators.index import count_of
 from rostra.runtime import fits_broadcast, heavy_terms, materialize, rank_within
 from rostra.schemas import DATE, MEMBER, PAGE_SIZE, SCORE_THRESHOLD, SPEECH
-from rostra.sources.tables import TERM_BUCKETS, term_bucket
+from rostra.sources.tables import DOC_BUCKETS, TERM_BUCKETS, doc_bucket, term_bucket
 
 HIT = ["query_id", "doc_id"]
 # Postings of one term that a task joins.
@@ -159,13 +159,39 @@ def result_count(hits: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
     return counted.withColumn("n_pages", page_count(F.col("n_results"), size))
 
 
-def fetch_documents(ranked: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Name, date and speech of ranked documents, joined after ranking and cutting."""
-    docs = corpus.select("doc_id", SPEECH, MEMBER, DATE)
+def fetch_documents(ranked: DataFrame, corpus: DataFrame, buckets: int = DOC_BUCKETS) -> DataFrame:
+    """Name, date and speech of ranked documents, joined after ranking and cutting.
+
+    A corpus stored by ``write_documents`` with so many ``buckets`` is read in the folders
+    of the ranked documents only.
+    """
     ranked = materialize(ranked, "ranked")  # the size check and the join both read it
+    keys = ["doc_id"]
+    if "doc_bucket" in corpus.columns:
+        ranked = ranked.withColumn("doc_bucket", doc_bucket(F.col("doc_id"), buckets))
+        keys = ["doc_bucket", "doc_id"]
+    docs = corpus.select(*keys, SPEECH, MEMBER, DATE)
     if fits_broadcast(ranked):
         ranked = F.broadcast(ranked)
-    return docs.join(ranked, "doc_id")
+    return docs.join(ranked, keys).drop("doc_bucket")
+
+
+def search_results(
+    hits: DataFrame,
+    corpus: DataFrame,
+    number: int = 1,
+    size: int = PAGE_SIZE,
+    buckets: int = DOC_BUCKETS,
+) -> DataFrame:
+    """Page ``number`` of every query with its documents, and its hits and pages in all.
+
+    ``hits`` come from ``search_hits`` or, for the latent mode, from ``latent_hits``.
+    """
+    hits = materialize(hits, "hits")
+    shown = page(hits, number, size).join(result_count(hits, size), "query_id")
+    return fetch_documents(shown, corpus, buckets).select(
+        "query_id", "rank", "doc_id", SPEECH, MEMBER, DATE, "score", "n_results", "n_pages"
+    )
 
 
 def search(

@@ -218,6 +218,42 @@ def _search(select: str, **options) -> str:
     return _with(_SPEECHES, _INDEX, _QUERIES, _hits(**options), select)
 
 
+_LATENT = """
+numbered AS (SELECT term, idf, row_number() OVER (ORDER BY term) - 1 AS no FROM vocab),
+comps AS (
+  SELECT term, idf, list_transform(embedding, lambda v: v::DOUBLE)[1:60] AS comp
+  FROM numbered JOIN embeddings ON no % (SELECT count(*) FROM embeddings) = vec_id),
+doc_weights AS (
+  SELECT doc_id AS id, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY doc_id)) AS w
+  FROM postings JOIN vocab USING (term)),
+query_weights AS (
+  SELECT query_id AS id, term,
+         qtf * idf / sqrt(sum((qtf * idf) ** 2) OVER (PARTITION BY query_id)) AS w
+  FROM asked JOIN vocab USING (term)),
+doc_sums AS (
+  SELECT id, dim, sum(w * c) AS value FROM (
+    SELECT id, w, unnest(comp) AS c, generate_subscripts(comp, 1) AS dim
+    FROM doc_weights JOIN comps USING (term)) GROUP BY ALL),
+query_sums AS (
+  SELECT id, dim, sum(w * c) AS value FROM (
+    SELECT id, w, unnest(comp) AS c, generate_subscripts(comp, 1) AS dim
+    FROM query_weights JOIN comps USING (term)) GROUP BY ALL),
+doc_vecs AS (SELECT id AS doc_id, list(value ORDER BY dim) AS vec FROM doc_sums GROUP BY id),
+folded AS (SELECT id AS query_id, list(value ORDER BY dim) AS vec FROM query_sums GROUP BY id),
+latent_hits AS (
+  SELECT query_id, doc_id, list_cosine_similarity(q.vec, d.vec) AS score
+  FROM folded q, doc_vecs d WHERE list_cosine_similarity(q.vec, d.vec) > 0.2),
+latent AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id
+              ORDER BY round(score, 9) DESC, doc_id)::BIGINT AS rank,
+         count(*) OVER (PARTITION BY query_id)::BIGINT AS n_results
+  FROM latent_hits)"""
+
+
+def _latent(select: str) -> str:
+    return _with(_SPEECHES, _INDEX, _QUERIES, _LATENT, select)
+
+
 _CSV_TEXT = "replace(replace(text, chr(13), ' '), chr(10), ' ')"
 _RANKED = "SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked_hits"
 
@@ -518,6 +554,23 @@ def oracle() -> dict[str, str]:
                  unnest([postings, postings, postings, terms, catalog, terms, docs, docs, docs, docs,
                          keywords, vectors, pairs, 1, 9 * 2 * 2])::BIGINT AS n_rows
           FROM sizes"""),
+        "fold_in_given": _latent("""
+          SELECT query_id, (generate_subscripts(vec, 1) - 1)::BIGINT AS dim,
+                 round(unnest(vec), 6) AS value FROM folded"""),
+        "search_lsa_given": _latent("""
+          SELECT query_id, rank, doc_id, round(score, 6) AS score FROM latent"""),
+        "search_results_lsa_given": _latent("""
+          SELECT query_id, rank, doc_id, speech, member_name, sitting_date,
+                 round(score, 6) AS score, n_results, ceil(n_results / 10.0)::BIGINT AS n_pages
+          FROM latent JOIN speeches USING (doc_id) WHERE rank BETWEEN 11 AND 20"""),
+        "lsa_fit_checks": _with(_SPEECHES, _INDEX, """
+          SELECT unnest(['terms', 'docs', 'orthonormal', 'falling', 'products_wrong']) AS name,
+                 unnest([(SELECT count(*) FROM vocab), (SELECT count(*) FROM speeches), 1, 1, 0]
+                 )::BIGINT AS value"""),
+        "kmeans_checks": """
+          SELECT unnest(['rows', 'clusters', 'cost_falls', 'sweep_falls', 'sweep_begins_with_all',
+                         'silhouettes']) AS name,
+                 unnest([(SELECT count(*) FROM documents), 9, 1, 1, 1, 3])::BIGINT AS value""",
         "cluster_terms": _with(_VECTOR_TABLE, """
           SELECT cluster, dim_rank, term_rank, dim, term
           FROM dims JOIN terms_per_dim USING (dim)"""),

@@ -20,6 +20,7 @@ from rostra.schemas import (
     PARTY,
     SAMPLE_ROWS,
     SPEECH,
+    SVD_KEPT,
 )
 from rostra.sources import corpus, tables
 
@@ -543,10 +544,21 @@ def doc_norm_join(spark, sf_dir):
     return stored_index(spark, sf_dir).postings.select("doc_id", "term", share.alias("share"))
 
 
+def _stored_documents(spark, sf_dir):
+    """The texts by document bucket, as a search service would keep them."""
+
+    def make():
+        path = scratch_path(spark, "documents")
+        tables.write_documents(_speech(spark, sf_dir), path)
+        return spark.read.parquet(path)
+
+    return _once("documents", spark, sf_dir, make)
+
+
 @_query
 def fetch_documents(spark, sf_dir):
     top = search.rank_search(_hits(spark, sf_dir), 10).select("query_id", "rank", "doc_id")
-    return search.fetch_documents(top, _speech(spark, sf_dir))
+    return search.fetch_documents(top, _stored_documents(spark, sf_dir))
 
 
 @_query
@@ -708,11 +720,7 @@ def search_by_documents(spark, sf_dir):
 @_query
 def search_results(spark, sf_dir):
     """The first page of every query with its documents and the number of hits and pages."""
-    hits = materialize(_hits(spark, sf_dir), "hits")
-    first = search.page(hits, 1).join(search.result_count(hits), "query_id")
-    return search.fetch_documents(first, _speech(spark, sf_dir)).select(
-        "query_id", "rank", "doc_id", SPEECH, MEMBER, DATE, "score", "n_results", "n_pages"
-    )
+    return search.search_results(_hits(spark, sf_dir), _stored_documents(spark, sf_dir))
 
 
 @_query
@@ -782,8 +790,100 @@ def search_lsa(spark, sf_dir):
 
 @_query
 def search_results_lsa(spark, sf_dir):
-    top = lsa.search_lsa(views.query_batch(spark, sf_dir), PRE, stored_lsa(spark, sf_dir))
-    return search.fetch_documents(top, _speech(spark, sf_dir))
+    hits = lsa.latent_hits(views.query_batch(spark, sf_dir), PRE, stored_lsa(spark, sf_dir))
+    return search.search_results(hits, _stored_documents(spark, sf_dir))
+
+
+def _given_lsa(spark, sf_dir) -> lsa.Lsa:
+    """A model whose components are given: the n-th term has the n-th embedding, in turns."""
+
+    def make() -> lsa.Lsa:
+        built, vectors = stored_index(spark, sf_dir), views.doc_vectors(spark, sf_dir)
+        turn = F.col("term_id") % vectors.agg(F.count("*")).scalar()
+        numbered = index.with_term_id(built.vocab).withColumn("turn", turn)
+        vectors = vectors.select(F.col("doc_id").alias("turn"), F.col("vec").alias("comp"))
+        terms = materialize(numbered.join(vectors, "turn").drop("turn"), "given-terms")
+        return lsa.Lsa(materialize(_projected(built, terms, SVD_KEPT), "given-docs"), terms, [], SVD_KEPT)
+
+    return _once("given_lsa", spark, sf_dir, make)
+
+
+def _projected(built: Tables, terms: DataFrame, kept: int) -> DataFrame:
+    """``(doc_id, vec)``: TF-IDF rows times the kept components, as plain sums."""
+    weights = index.tfidf_docs(built.postings, built.vocab)
+    rows = weights.join(terms.select("term", "comp"), "term")
+    sums = [F.sum(F.col("weight") * F.get("comp", F.lit(j))) for j in range(kept)]
+    return rows.groupBy("doc_id").agg(F.array(*sums).alias("vec"))
+
+
+@_query
+def fold_in_given(spark, sf_dir):
+    model = _given_lsa(spark, sf_dir)
+    folded = lsa.fold_in(views.query_batch(spark, sf_dir), PRE, model.terms, model.kept)
+    return folded.select("query_id", F.posexplode("vec").alias("dim", "value"))
+
+
+@_query
+def search_lsa_given(spark, sf_dir):
+    return lsa.search_lsa(views.query_batch(spark, sf_dir), PRE, _given_lsa(spark, sf_dir))
+
+
+@_query
+def search_results_lsa_given(spark, sf_dir):
+    hits = lsa.latent_hits(views.query_batch(spark, sf_dir), PRE, _given_lsa(spark, sf_dir))
+    return search.search_results(hits, _stored_documents(spark, sf_dir), number=2)
+
+
+def _checks(spark, **values) -> DataFrame:
+    return spark.createDataFrame(
+        [(name, int(value)) for name, value in values.items()], "name string, value long"
+    )
+
+
+@_query
+def lsa_fit_checks(spark, sf_dir):
+    """What a truncated SVD must fulfil, whatever its values: 1 where it does."""
+    model, built = stored_lsa(spark, sf_dir), stored_index(spark, sf_dir)
+    n = len(model.singular_values)
+    products = [
+        F.sum(F.get("comp", F.lit(i)) * F.get("comp", F.lit((i + s) % n)))
+        for s in (0, 1, 7) for i in range(n)
+    ]
+    gram = model.terms.agg(F.array(*products).alias("gram")).first()["gram"]
+    orthonormal = all(abs(g - (k < n)) < 1e-6 for k, g in enumerate(gram))
+    plain = _projected(built, model.terms, model.kept).withColumnRenamed("vec", "plain")
+    far = F.exists(F.arrays_zip("vec", "plain"), lambda p: F.abs(p["vec"] - p["plain"]) > 1e-6)
+    wrong = model.docs.join(plain, "doc_id").where(far).count()
+    falling = all(a >= b for a, b in zip(model.singular_values, model.singular_values[1:]))
+    return _checks(
+        spark,
+        terms=model.terms.count(),
+        docs=model.docs.count(),
+        orthonormal=orthonormal,
+        falling=falling,
+        products_wrong=wrong,
+    )
+
+
+@_query
+def kmeans_checks(spark, sf_dir):
+    """Labels of a fitted clustering: rows, clusters, and a cost below that of one cluster."""
+    docs = stored_lsa(spark, sf_dir).docs
+    found = materialize(clusters.kmeans_fit_predict(docs, CLUSTERS_DEFAULT), "kmeans")
+    cost = clusters.wcss(found).first()
+    whole = clusters.wcss(docs.withColumn("cluster", F.lit(0))).first()
+    sweep = clusters.k_sweep(docs, (1, 2, 4, 8), starts=2).orderBy("k").collect()
+    falls = all(a["wcss"] > b["wcss"] for a, b in zip(sweep, sweep[1:]))
+    same = abs(sweep[0]["wcss"] - whole["wcss"]) < 1e-6 * whole["wcss"]
+    return _checks(
+        spark,
+        rows=found.count(),
+        clusters=cost["k"],
+        cost_falls=cost["wcss"] < whole["wcss"],
+        sweep_falls=falls,
+        sweep_begins_with_all=same,
+        silhouettes=sum(-1 <= r["silhouette"] <= 1 for r in sweep[1:]),
+    )
 
 
 @_query

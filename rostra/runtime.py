@@ -48,6 +48,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results must be stored by then."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}"
+    )
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores when an input is one small file; a scan with enough splits is unchanged."""
     cores = df.sparkSession.sparkContext.defaultParallelism

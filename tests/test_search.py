@@ -72,3 +72,19 @@ def test_documents_are_fetched_in_rank_order(queries, plain, built, corpus):
     top = search.search(queries, plain, built.postings, built.vocab)
     rows = search.fetch_documents(top, corpus).where("query_id = 7").orderBy("rank").collect()
     assert [r["member_name"] for r in rows] == ["A", "C", "B"]
+
+
+def test_stored_documents_are_read_by_folder(spark, corpus, queries, plain, built, tmp_path):
+    from rostra.sources.tables import write_documents
+
+    path = str(tmp_path / "documents")
+    write_documents(corpus, path, 16)
+    hits = search.search_hits(search.query_terms(queries, plain), built.postings, built.vocab)
+    found = search.search_results(hits, spark.read.parquet(path), buckets=16)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    rows = found.where("query_id = 7").orderBy("rank").collect()
+    assert [(r["doc_id"], r["n_results"], r["n_pages"]) for r in rows] == [(0, 3, 1), (3, 3, 1), (1, 3, 1)]
+    plain_rows = search.search_results(hits, corpus).where("query_id = 7").orderBy("rank").collect()
+    assert plain_rows == rows
+    assert search.search_results(hits, corpus, number=2).count() == 0
