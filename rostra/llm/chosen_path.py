@@ -35,7 +35,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import Batches, by_bytes, forget, map_batches, small, whole_text, written
+from rostra.llm.common import (
+    Batches,
+    by_bytes,
+    forget,
+    map_batches,
+    small,
+    temporary,
+    whole_text,
+    written,
+)
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -459,7 +468,8 @@ def jaccard_join(
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with the least document of each class; rows without an id stay."""
-    found = written(jaccard_join(docs, **settings), "classes")
+    with temporary(docs.sparkSession):
+        found = written(jaccard_join(docs, **settings), "classes", keep=True)
     gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone_id"))
     gone = small(gone)
     return docs.join(gone, docs["doc_id"] == gone["_gone_id"], "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,19 +48,38 @@ def by_bytes(batches: Batches, column: str, limit: int = 8 << 20) -> Batches:
             begin = end
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_temporary: list[list[str]] = []
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _temporary and not keep:
+        _temporary[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables written within are deleted at the end, but for those to ``keep``."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        for path in _temporary.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a ``written`` table that no later result reads."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _delete(df.sparkSession, folder)
 
 
 def small(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import forget, small, whole_text, written
+from rostra.llm.common import forget, small, temporary, whole_text, written
 
 FIRST_DIGIT = 64
 GROWTH = 8
@@ -106,7 +106,8 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they are."""
-    members = written(duplicate_members(docs, doc_id, text), "radix-members")
+    with temporary(docs.sparkSession):
+        members = written(duplicate_members(docs, doc_id, text), "radix-members", keep=True)
     out = members.filter(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "sha").distinct()
     same = members.groupBy("id", "sha").count().filter("count > 1").select("id", "sha")
     body = F.sha2(normalise(whole_text(text)), 256)
