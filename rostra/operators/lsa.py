@@ -24,6 +24,7 @@ POWER_ITERATIONS = 5
 DOCS_PER_BLOCK = 2_000
 _ENTRIES_PER_STEP = 16_384  # entries multiplied at a time: bounds the memory of a product
 _ROWS_PER_BUCKET = 100_000  # vectors summed in one task
+_BLOCKS_PER_SUM = 256  # rows of one term that a task sums, about
 _RANK_TOLERANCE = 1e-12
 QUERY_BYTES = 8 * 1024 * 1024  # query vectors that go to all tasks at once
 VECTORS_PER_STEP = 4_096
@@ -274,11 +275,15 @@ def lsa_fit(
     )
     n_buckets = max(-(-needed.count() // _ROWS_PER_BUCKET), cores)
     bucket = F.pmod(F.xxhash64("term_id"), F.lit(n_buckets))
+    salts = -(-n_blocks // _BLOCKS_PER_SUM)
+    salt = F.pmod(F.xxhash64("vec"), F.lit(salts))
 
     basis, mix = None, None
     for step in range(iterations + 1):
         back = _per_block(docs, needed, basis).applyInArrow(_gram_step(mix, width, seed), _BASIS)
         rank = width if mix is None else mix.shape[1]
+        if salts > 1:  # a term of many blocks is summed in parts first
+            back = back.groupBy(bucket, salt).applyInArrow(_sum_step(rank), _BASIS)
         summed = back.groupBy(bucket).applyInArrow(_sum_step(rank), _BASIS)
         basis = materialize(summed, f"basis-{step}")
         mix = _whiten(_small_gram(basis, rank))

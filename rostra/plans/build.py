@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rostra.functions.text import Preprocess
 from rostra.operators import clusters, groups, index, lsa, pairs
-from rostra.schemas import CLUSTERS, KMEANS_STARTS
+from rostra.schemas import CLUSTERS, KMEANS_STARTS, MEMBER, PARTY
 from rostra.sources.corpus import processed
 from rostra.sources.tables import (
     bucket_count,
@@ -73,17 +73,20 @@ class Tables:
         return self.stats.first()["term_buckets"]
 
 
-def build_index(corpus: DataFrame, pre: Preprocess, root: str) -> Tables:
+def build_index(
+    corpus: DataFrame, pre: Preprocess, root: str, keep: tuple[str, ...] = ()
+) -> Tables:
     """Postings, vocabulary and corpus statistics, which all other tables start from.
 
-    The texts are read once; everything later reads the stored postings.
+    The texts are read once; everything later reads the stored postings. ``keep`` columns
+    stand in the postings as well.
     """
     tables = Tables(corpus.sparkSession, root)
-    write_table(index.postings(corpus, pre), tables.path("postings"))
+    write_table(index.postings(corpus, pre, keep=keep), tables.path("postings"))
     n_docs = corpus.count()
     buckets = bucket_count(tables.postings.count())
     write_term_postings(
-        tables.postings, tables.path("term_postings"), buckets, slice_count(n_docs)
+        tables.postings.drop(*keep), tables.path("term_postings"), buckets, slice_count(n_docs)
     )
     vocab = index.with_idf(index.doc_freq(tables.postings), F.lit(n_docs))
     write_keyed(vocab, tables.path("vocab"), "term")
@@ -100,15 +103,23 @@ def build_all(
     starts: int = KMEANS_STARTS,
     **svd,
 ) -> DataFrame:
-    """Write every table of a corpus below ``root``; returns ``(name, n_rows)``."""
-    tables = build_index(corpus, pre, root)
+    """Write every table of a corpus below ``root``; returns ``(name, n_rows, content)``.
+
+    The texts are cleaned for the postings and for the processed corpus; norms and counts
+    per group come from the postings, which carry what they need.
+    """
+    keep = (MEMBER, PARTY, "year")
+    tables = build_index(groups.with_year(corpus), pre, root, keep)
     write_table(processed(corpus, pre), tables.path("processed"))
-    write_table(index.doc_norms(corpus, pre), tables.path("norms"))
+    norms = tables.postings.groupBy("doc_id").agg(F.first("norm").alias("norm"))
+    norms = corpus.select("doc_id").join(norms, "doc_id", "left").fillna({"norm": 0.0})
+    write_table(norms, tables.path("norms"))
     catalog = index.inverted_catalog(tables.postings, tables.vocab)
     write_keyed(catalog, tables.path("catalog"), "term", "block")
     write_table(index.tfidf_docs(tables.postings, tables.vocab), tables.path("tfidf"))
 
-    write_table(groups.group_base(corpus, pre), tables.path("group_base"))
+    base = tables.postings.groupBy(*keep, "term").agg(F.sum("tf").alias("tf"))
+    write_table(base, tables.path("group_base"))
     base = tables.read("group_base")
     counts = groups.all_groupings(base)
     write_keywords(groups.top_keywords(counts, tables.vocab), tables.path("keywords"))
@@ -132,10 +143,33 @@ def build_all(
     return table_sizes(tables, names)
 
 
+# A number that tells whether a table holds what it should.
+CONTENT = {
+    "postings": "sum(tf)",
+    "term_postings": "sum(tf)",
+    "vocab": "sum(idf)",
+    "stats": "max(n_docs) + max(n_terms)",
+    "processed": "sum(length(speech))",
+    "norms": "sum(norm)",
+    "catalog": "sum(size(postings))",
+    "tfidf": "sum(weight)",
+    "keywords": "sum(weight)",
+    "member_vectors": "sum(weight)",
+    "pairs": "sum(similarity)",
+    "lsa_docs": "count(DISTINCT doc_id)",
+    "lsa_terms": "count(DISTINCT term)",
+    "clusters": "count(DISTINCT cluster)",
+    "cluster_terms": "count(DISTINCT cluster)",
+}
+
+
 def table_sizes(tables: Tables, names: list[str]) -> DataFrame:
-    """``(name, n_rows)``, counted by Spark when the result is read."""
+    """``(name, n_rows, content)``, computed by Spark when the result is read."""
     sizes = None
     for name in names:
-        size = tables.read(name).agg(F.lit(name).alias("name"), F.count("*").alias("n_rows"))
+        content = F.round(F.expr(CONTENT[name]).cast("double"), 3).alias("content")
+        size = tables.read(name).agg(
+            F.lit(name).alias("name"), F.count("*").alias("n_rows"), content
+        )
         sizes = size if sizes is None else sizes.unionByName(size)
     return sizes

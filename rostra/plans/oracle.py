@@ -337,10 +337,12 @@ def oracle() -> dict[str, str]:
                  string_agg(doc_id || ',' || tf, ',' ORDER BY doc_id) AS value
           FROM postings JOIN vocab USING (term) GROUP BY term, doc_id // 100"""),
         "index_sinks": _with(_SPEECHES, _INDEX, """
-          SELECT 'postings' AS name, count(*)::BIGINT AS n_rows FROM postings
-          UNION ALL SELECT 'term_postings', count(*)::BIGINT FROM postings
-          UNION ALL SELECT 'vocab', count(*)::BIGINT FROM vocab
-          UNION ALL SELECT 'stats', 1::BIGINT"""),
+          SELECT 'postings' AS name, count(*)::BIGINT AS n_rows, sum(tf)::DOUBLE AS content
+          FROM postings
+          UNION ALL SELECT 'term_postings', count(*)::BIGINT, sum(tf)::DOUBLE FROM postings
+          UNION ALL SELECT 'vocab', count(*)::BIGINT, round(sum(idf), 3) FROM vocab
+          UNION ALL SELECT 'stats', 1::BIGINT,
+                           ((SELECT count(*) FROM vocab) + (SELECT n_docs FROM n))::DOUBLE"""),
         "keyword_sink": _keyword_rows(),
         "point_lookup": _keyword_rows("entity = 'src3'"),
         "project_result": _with(_SPEECHES, "SELECT speech, member_name, sitting_date FROM speeches"),
@@ -547,12 +549,24 @@ def oracle() -> dict[str, str]:
                    (SELECT count(*) FROM postings) AS postings,
                    (SELECT count(*) FROM keywords) AS keywords,
                    (SELECT count(DISTINCT (term, doc_id // 65536)) FROM postings) AS catalog,
-                   (SELECT count(*) FROM vectors) AS vectors, (SELECT count(*) FROM best) AS pairs)""", """
+                   (SELECT count(*) FROM vectors) AS vectors, (SELECT count(*) FROM best) AS pairs,
+                   (SELECT sum(tf)::DOUBLE FROM postings) AS tf,
+                   (SELECT sum(idf) FROM vocab) AS idf, (SELECT sum(norm) FROM norms) AS norm,
+                   (SELECT sum(weight) FROM keywords) AS keyword,
+                   (SELECT sum(weight) FROM vectors) AS vector,
+                   (SELECT sum(similarity) FROM best) AS similarity,
+                   (SELECT sum(length(text)) FROM ({_PROCESSED_TEXT})) AS letters,
+                   (SELECT sum(w) FROM (
+                      SELECT tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY doc_id)) AS w
+                      FROM postings JOIN vocab USING (term))) AS tfidf)""".replace(
+            "{_PROCESSED_TEXT}", f"SELECT {_joined(_words('speech'))} AS text FROM speeches"), """
           SELECT unnest(['postings', 'term_postings', 'tfidf', 'vocab', 'catalog', 'lsa_terms',
                          'processed', 'norms', 'lsa_docs', 'clusters', 'keywords',
                          'member_vectors', 'pairs', 'stats', 'cluster_terms']) AS name,
                  unnest([postings, postings, postings, terms, catalog, terms, docs, docs, docs, docs,
-                         keywords, vectors, pairs, 1, 9 * 2 * 2])::BIGINT AS n_rows
+                         keywords, vectors, pairs, 1, 9 * 2 * 2])::BIGINT AS n_rows,
+                 round(unnest([tf, tf, tfidf, idf, postings, terms, letters, norm, docs, 9, keyword,
+                               vector, similarity, docs + terms, 9]::DOUBLE[]), 3) AS content
           FROM sizes"""),
         "fold_in_given": _latent("""
           SELECT query_id, (generate_subscripts(vec, 1) - 1)::BIGINT AS dim,

@@ -153,3 +153,12 @@ def test_top_terms_with_ties(spark):
     terms = spark.createDataFrame(rows, "term string, comp array<double>").repartition(3)
     found = clusters.top_terms_per_dim(terms).orderBy("dim", "term_rank").collect()
     assert [(r["dim"], r["term"]) for r in found] == [(0, "a"), (0, "b"), (1, "c"), (1, "d")]
+
+
+def test_a_term_of_many_blocks_is_summed_in_parts(model_input, monkeypatch):
+    texts, postings, vocab = model_input
+    few = dict(n_components=4, kept=3, iterations=2, docs_per_block=20)
+    whole = lsa.lsa_fit(postings, vocab, **few)
+    monkeypatch.setattr(lsa, "_BLOCKS_PER_SUM", 3)
+    parts = lsa.lsa_fit(postings, vocab, **few)
+    assert parts.singular_values == pytest.approx(whole.singular_values)
