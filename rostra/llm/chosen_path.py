@@ -52,7 +52,7 @@ RECALL = 0.999
 SMALL_BUCKET = 128
 DENSE = 0.5
 MOST_LEVELS = 6
-BLOCK = 512
+BLOCK = 1024
 SLOTS = 64
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
