@@ -32,8 +32,9 @@ K = 5
 SCALE = 256
 SEGMENT = 4096
 QUERY_BYTES = 8 << 20
+QUERIES_AT_ONCE = 256
 # Parts of the lists that are read before bounds are compared.
-DEPTHS = (0.15, 0.3, 0.5, 0.75)
+DEPTHS = (0.25, 0.6)
 
 
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -58,44 +59,54 @@ class Segment:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.order = np.argsort(self.vectors, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(self.vectors, self.order, 0).astype(float)
         self.real = self.vectors.astype(float)
-
-    def best(self, query: np.ndarray, own_id: int, k: int, least: float) -> np.ndarray:
-        """Rows that may be among the k best, given that k others score ``least`` already."""
-        n, dims = self.vectors.shape
-        others = self.ids != own_id
-        rising = query < 0  # such lists are read from their least value
-        worst = np.where(rising, self.sorted[-1], self.sorted[0]) * query
-        lower = np.full(n, worst.sum())
-        read = np.zeros((n, (dims + 7) // 8), np.uint8)
-        bit = (1 << (np.arange(dims) % 8)).astype(np.uint8)
-        done = 0
+        lists = np.argsort(self.vectors, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.real, lists, 0)
+        self.rank = np.empty(lists.shape, np.int32)  # place in the list, from the least value
+        np.put_along_axis(self.rank, lists, np.arange(len(ids), dtype=np.int32)[:, None], 0)
+
+    def scores(self, rows: np.ndarray | slice, queries: np.ndarray) -> np.ndarray:
+        """Exact inner products; doubles are exact for integers while sums stay below 2^53."""
+        vectors = self.vectors[rows]
+        largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0))
+        if largest * queries.shape[-1] < 2.0**53:
+            return (self.real[rows] @ queries.T.astype(float)).astype(np.int64)
+        return vectors @ queries.T
+
+    def candidates(
+        self, queries: np.ndarray, own_ids: np.ndarray, k: int, least: np.ndarray
+    ) -> list[np.ndarray | None]:
+        """Per query the rows that may be among the k best; None: bounds leave too many.
+
+        ``least`` is a score that k others have already. All queries read their lists in the
+        same steps, so the bounds of a step are products of two matrices: components read
+        count as they are, others as the list's worst value or as the last value read.
+        """
+        n = len(self.ids)
+        rises, falls = np.minimum(queries, 0), np.maximum(queries, 0)
+        found: list[np.ndarray | None] = [None] * len(queries)
+        todo = np.arange(len(queries))
         for depth in DEPTHS:
-            upto = max(done + 1, int(n * depth))
-            if upto >= n:
-                break
-            frontier = np.where(rising, self.sorted[upto - 1], self.sorted[n - upto]) * query
-            for d in np.flatnonzero(query):
-                rows = self.order[done:upto, d] if rising[d] else self.order[n - upto : n - done, d]
-                lower[rows] += self.real[rows, d] * query[d] - worst[d]
-                read[rows, d // 8] |= bit[d]
-            done = upto
-            # What a component not read may still add beyond its worst value.
-            gain = np.where(query != 0, frontier - worst, 0.0)
-            gain = np.concatenate([gain, np.zeros(-dims % 8)]).reshape(-1, 8)
-            patterns = ((np.arange(256)[:, None] >> np.arange(8)) & 1) == 0
-            upper = lower.copy()
-            for byte in range(read.shape[1]):
-                upper += (patterns @ gain[byte])[read[:, byte]]
-            bound = least
-            if others.sum() >= k:
-                bound = max(bound, np.partition(lower[others], -k)[-k])
-            left = np.flatnonzero(others & (upper >= bound - 1e-6 * (1 + abs(bound))))
-            if len(left) <= max(4 * k, n // 16):
-                return left
-        return np.flatnonzero(others)
+            upto = int(n * depth)
+            if not upto or not len(todo):
+                continue
+            top, bottom = self.rank >= n - upto, self.rank < upto
+            low = falls[todo] @ np.where(top, self.real, self.sorted[0]).T
+            low += rises[todo] @ np.where(bottom, self.real, self.sorted[-1]).T
+            high = falls[todo] @ np.where(top, self.real, self.sorted[n - upto]).T
+            high += rises[todo] @ np.where(bottom, self.real, self.sorted[upto - 1]).T
+            own = self.ids[None, :] == own_ids[todo, None]
+            low[own], high[own] = -np.inf, -np.inf
+            bound = least[todo]
+            if n > k:
+                bound = np.maximum(bound, np.partition(low, n - k, axis=1)[:, n - k])
+            close = high >= (bound - 1e-6 * (1 + np.abs(bound)))[:, None]
+            close &= ~own
+            few = close.sum(1) <= max(4 * k, n // 32)
+            for at in np.flatnonzero(few):
+                found[todo[at]] = np.flatnonzero(close[at])
+            todo = todo[~few]
+        return found
 
 
 def _search(queries: list[tuple[int, int, bytes]], k: int):
@@ -109,16 +120,26 @@ def _search(queries: list[tuple[int, int, bytes]], k: int):
 
         def search(dims: int, ids: list, flat: list) -> None:
             segment = Segment(np.concatenate(ids), np.concatenate(flat).reshape(-1, dims))
-            for place, (query_id, query) in enumerate(mine[dims]):
-                known = sorted(top[dims, place])
-                least = -known[k - 1][0] if len(known) >= k else -np.inf
-                rows = segment.best(query.astype(float), query_id, k, least)
-                scores = segment.vectors[rows] @ query
-                if len(rows) > k:  # ties with the k-th stay: ids decide
-                    keep = scores >= np.partition(scores, -k)[-k]
-                    rows, scores = rows[keep], scores[keep]
-                known += zip((-scores).tolist(), segment.ids[rows].tolist())
-                top[dims, place] = set(sorted(set(known))[:k])
+            for begin in range(0, len(mine[dims]), QUERIES_AT_ONCE):
+                part = mine[dims][begin : begin + QUERIES_AT_ONCE]
+                own = np.array([query_id for query_id, _ in part])
+                queries = np.array([query for _, query in part])
+                known = [sorted(top[dims, begin + i]) for i in range(len(part))]
+                least = np.array([-t[k - 1][0] if len(t) >= k else -np.inf for t in known])
+                found = segment.candidates(queries.astype(float), own, k, least)
+                open_ = [i for i, rows in enumerate(found) if rows is None]
+                whole = dict(zip(open_, segment.scores(slice(None), queries[open_]).T))
+                for i, rows in enumerate(found):
+                    if rows is None:
+                        rows, scores = np.flatnonzero(segment.ids != own[i]), whole[i]
+                        scores = scores[rows]
+                    else:
+                        scores = segment.scores(rows, queries[i])
+                    if len(rows) > k:  # ties with the k-th stay: ids decide
+                        keep = scores >= np.partition(scores, -k)[-k]
+                        rows, scores = rows[keep], scores[keep]
+                    both = set(known[i]).union(zip((-scores).tolist(), segment.ids[rows].tolist()))
+                    top[dims, begin + i] = set(sorted(both)[:k])
 
         held: dict[int, tuple[list, list, int]] = {}
         for batch in batches:
