@@ -229,9 +229,8 @@ def _block_pairs(members: DataFrame, columns: list[str]) -> DataFrame:
     blocks = F.ceil(F.col("members") / F.lit(float(BLOCK))).cast("int")
     own = F.pmod(F.xxhash64("id", "path"), blocks).cast("int")
     rows = members.withColumn("_blocks", blocks).withColumn("_own", own)
-    whole = rows.filter("_blocks = 1").select(
-        "path", F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(True).alias("first"), *columns
-    )
+    only = [F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(True).alias("first")]
+    whole = rows.filter("_blocks = 1").select("path", *only, *columns)
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
     dealt = rows.filter("_blocks > 1").select("path", "_own", other, *columns)
     dealt = dealt.select(
@@ -386,10 +385,8 @@ def links(texts: DataFrame, sets_of, similarity: float, small_bucket: int) -> Da
 
 def classes(edges: DataFrame) -> DataFrame:
     """(id, class_id): the least id that edges lead to, by hooking and pointer jumping."""
-    both = written(
-        edges.select("id", "other").unionByName(edges.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct(),
-        "edges",
-    )
+    back = edges.select(F.col("other").alias("id"), F.col("id").alias("other"))
+    both = written(edges.select("id", "other").unionByName(back).distinct(), "edges")
     labels = written(both.select("id").distinct().withColumn("class_id", F.col("id")), "labels")
     while True:
         other = labels.select(F.col("id").alias("other"), F.col("class_id").alias("seen"))
@@ -398,15 +395,11 @@ def classes(edges: DataFrame) -> DataFrame:
         hooked = labels.join(least, "id").select(
             "id", F.col("class_id").alias("before"), F.least("class_id", "seen").alias("class_id")
         )
-        hooks = hooked.groupBy(F.col("before").alias("root")).agg(F.min("class_id").alias("better"))
-        new = written(
-            hooked.join(
-                hooks.withColumnRenamed("root", "class_id"), "class_id", "left"
-            ).select(
-                "id", "before", F.least("class_id", F.coalesce("better", "class_id")).alias("class_id")
-            ),
-            "labels",
-        )
+        hooks = hooked.groupBy("before").agg(F.min("class_id").alias("better"))
+        hooks = hooks.withColumnRenamed("before", "class_id")
+        better = F.least("class_id", F.coalesce("better", "class_id")).alias("class_id")
+        jumped = hooked.join(hooks, "class_id", "left").select("id", "before", better)
+        new = written(jumped, "labels")
         changed = not new.filter("before <> class_id").isEmpty()
         forget(labels)
         labels = new.select("id", "class_id")
