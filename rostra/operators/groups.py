@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from rostra.functions.scores import parse_year
 from rostra.functions.text import Preprocess
 from rostra.operators.index import postings
-from rostra.runtime import fits_broadcast, join_vocabulary, materialize
+from rostra.runtime import fits_broadcast, materialize
 from rostra.schemas import DATE, KEYWORDS_PER_GROUP, MEMBER, PARTY, SPEECH
 
 KEY = ["grouping", "entity", "year"]
@@ -98,8 +98,8 @@ def _same_key(left: str, right: str) -> Column:
 
 
 def _weighted(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    # A term has a row per group: with very many groups a frequent one would dominate a join.
-    joined = join_vocabulary(counts, vocab.select("term", "df", "idf")).drop("df")
+    # A term has at most a row per group: as many as members and years, not as documents.
+    joined = counts.join(vocab.select("term", "idf"), "term")
     return joined.withColumn("raw", F.col("tf") * F.col("idf"))
 
 
