@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from rostra.runtime import fits_broadcast, scratch_path, ship_package
 
-# Texts handled at once inside a task, so that a batch of long ones stays small.
-TEXTS_AT_ONCE = 256
-
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -30,13 +27,6 @@ def map_batches(df: DataFrame, fn: Callable[[Batches], Batches], schema: str) ->
     return df.mapInArrow(fn, schema)
 
 
-def slices(batches: Batches, rows: int = TEXTS_AT_ONCE) -> Batches:
-    """The batches again in pieces of at most ``rows`` rows."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def by_bytes(batches: Batches, column: str, limit: int = 8 << 20) -> Batches:
     """The batches in pieces of about ``limit`` bytes of ``column``; a longer text is alone."""
     for batch in batches:
