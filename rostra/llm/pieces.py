@@ -5,8 +5,8 @@ forward, every place gets the total weight of all segmentations up to it; backwa
 the end, a piece is drawn in proportion to the weight of what lies before it. So each whole
 segmentation is drawn with its exact probability. No piece reaches over the place before a
 space that follows another character, hence the lattice falls apart at such places, and
-each distinct word's lattice is filtered once. Backward steps of all words of a batch are
-drawn together.
+each distinct word of a batch is filtered once. Both directions take one step for all
+words of the batch together.
 
 The model file holds ranks, not probabilities: a piece of rank r (from 0) weighs
 (r + 3) ** -1, Zipf's law, and ``temperature`` raises weights to its inverse. Draws come
@@ -31,11 +31,12 @@ from rostra.llm.common import Batches, by_bytes, map_batches, whole_text
 
 SPACE = "▁"
 LITERAL = "\udc00"  # no text holds it: stands for a real U+2581
-REMEMBERED = 300_000
 SEED = 1
 TEMPERATURE = 0.5
-LONGEST = 20  # characters; more than any piece has
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0xD1B54A32D192ED03)  # odd, so it has an inverse
+_LEADING = 19  # bits
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def _uniform(*parts: np.ndarray) -> np.ndarray:
@@ -50,103 +51,175 @@ def _uniform(*parts: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)) * 2.0**-53
 
 
-class Lattices:
-    """The filtered lattices of the words seen so far, side by side.
+def _letters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
-    Every place of a word but its first is a node; its edges are the pieces that end there,
-    with running totals of their shares. ``goes`` is the node an edge comes from, -1 at the
-    word's begin.
-    """
+
+class Vocabulary:
+    """The pieces of a model, their weights, and all their beginnings by hash."""
 
     def __init__(self, model: str, temperature: float):
         import sentencepiece
 
         piece = sentencepiece.SentencePieceProcessor(model_file=model)
-        size = piece.vocab_size()
+        size, rank = piece.vocab_size(), 0
         self.bytes = np.full(256, -1, np.int32)
-        self.weight: dict[str, tuple[int, float]] = {}
         self.texts = [b""] * size
-        rank = 0
+        self.weight = np.full(size, -np.inf)  # logarithms
+        known: dict[str, int] = {}
         for i in range(size):
             text = piece.id_to_piece(i)
             if piece.is_byte(i):
                 self.bytes[int(text[3:5], 16)] = i
                 self.texts[i] = bytes([int(text[3:5], 16)])
             elif not (piece.is_control(i) or piece.is_unknown(i) or piece.is_unused(i)):
-                self.weight[text] = (i, (rank + 3.0) ** (-1 / temperature))
+                known[text] = i
+                self.weight[i] = -np.log(rank + 3.0) / temperature
                 self.texts[i] = text.replace(SPACE, " ").encode()
                 rank += 1
-        self.begins = {t[:n] for t in self.weight for n in range(1, len(t) + 1)}
-        self.weight_of_bytes = (rank + 3.0) ** (-1 / temperature)
-        self.reset()
+        self.ids = known
+        self.weight_of_bytes = -np.log(rank + 3.0) / temperature
+        self.longest = max(map(len, known))
+        begins = {text[:n]: -1 for text in known for n in range(1, len(text) + 1)} | known
+        hashes = np.array([int(self.prefixes(_letters(t))[-1]) for t in begins], np.uint64)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.piece = np.array(list(begins.values()), np.int32)[order]
+        self.powers = _BASE ** np.arange(self.longest + 1, dtype=np.uint64)
+        # Where hashes with the same leading bits begin; few share them.
+        leading = np.arange(1 << _LEADING, dtype=np.uint64) << np.uint64(64 - _LEADING)
+        self.opens = np.searchsorted(self.hashes, leading)
+
+    def find(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are of beginnings, and the pieces they are, -1 for none."""
+        last = len(self.hashes) - 1
+        at = np.minimum(self.opens[own >> np.uint64(64 - _LEADING)], last)
+        todo = np.flatnonzero((self.hashes[at] < own) & (at < last))
+        while len(todo):
+            at[todo] += 1
+            todo = todo[(self.hashes[at[todo]] < own[todo]) & (at[todo] < last)]
+        found = self.hashes[at] == own
+        return found, np.where(found, self.piece[at], -1)
+
+    @staticmethod
+    def prefixes(letters: np.ndarray) -> np.ndarray:
+        """Polynomial hashes of all beginnings, the empty one included."""
+        with np.errstate(over="ignore"):
+            mixed = (letters.astype(np.uint64) + np.uint64(1)) * _MIX
+            mixed ^= mixed >> np.uint64(29)
+            # h(n) = sum of mixed[i] * base^(n - 1 - i), by way of the inverse of the base
+            turns = _INVERSE ** np.arange(1, len(letters) + 1, dtype=np.uint64)
+            sums = np.cumsum(mixed * turns, dtype=np.uint64)
+            sums *= _BASE ** np.arange(1, len(letters) + 1, dtype=np.uint64)
+        return np.concatenate([np.zeros(1, np.uint64), sums])
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.texts[i] for i in ids]).decode("utf-8", "replace")
 
-    def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.nodes = self.edges = 0
-        self.total = np.zeros(1 << 16)
-        self.piece = np.zeros(1 << 16, np.int32)
-        self.goes = np.zeros(1 << 16, np.int32)
-        # A character as bytes: an edge numbered below -1 stands for several byte pieces.
-        self.fallback: dict[str, int] = {}
-        self.fallbacks: list[list[int]] = []
-
-    def _bytes_of(self, letter: str) -> int:
-        if letter not in self.fallback:
-            real = SPACE if letter == LITERAL else letter
-            self.fallback[letter] = -2 - len(self.fallbacks)
-            self.fallbacks.append(self.bytes[list(real.encode())].tolist())
-        return self.fallback[letter]
-
-    def learn(self, fresh: list[str]) -> None:
-        """Forward filtering of words."""
-        total: list[float] = []
-        piece: list[int] = []
-        goes: list[int] = []
-        begins, weights = self.begins, self.weight
-        for word in fresh:
-            n, first = len(word), self.nodes
-            ends: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-            alpha = [0.0] * (n + 1)
-            alpha[0] = 1.0
-            for i in range(n):
-                before = alpha[i]
-                for j in range(i + 1, n + 1):
-                    text = word[i:j]
-                    if text not in begins:
-                        break
-                    found = weights.get(text)
-                    if found:
-                        share = before * found[1]
-                        ends[j].append((i, found[0], share))
-                        alpha[j] += share
-                if word[i] not in weights:
-                    share = before * self.weight_of_bytes
-                    ends[i + 1].append((i, self._bytes_of(word[i]), share))
-                    alpha[i + 1] += share
-                if alpha[i + 1] < 1e-150:  # only proportions matter, and these places are open
-                    for k in range(i + 1, min(n, i + LONGEST) + 1):
-                        alpha[k] *= 1e150
-                        ends[k] = [(a, p, s * 1e150) for a, p, s in ends[k]]
-            for j in range(1, n + 1):
-                upto, own = 0.0, ends[j]
-                for i, p, share in own:
-                    upto += share / alpha[j]
-                    total.append(self.nodes + min(upto, 1.0))
-                    piece.append(p)
-                    goes.append(first + i - 1 if i else -1)
-                total[-1] = self.nodes = self.nodes + 1
-            self.known[word] = self.nodes - 1
-        end = self.edges + len(total)
-        for name, values in (("total", total), ("piece", piece), ("goes", goes)):
-            array = getattr(self, name)
-            if end > len(array):
-                array = np.concatenate([array, np.zeros(max(len(array), end), array.dtype)])
-                setattr(self, name, array)
-            array[self.edges : end] = values
-        self.edges = end
+
+class Lattices:
+    """The filtered lattices of some words, side by side.
+
+    Every letter is a node, for the place behind it. The edges of a node are the pieces that
+    end there, with running totals of their shares; ``goes`` is the node an edge comes from,
+    -1 at the word's begin. An edge numbered below -1 is a letter as bytes.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, words: list[str]):
+        letters = _letters("".join(words))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
+        self.last = ends - 1  # the node behind each word
+        begin = np.repeat(ends - sizes, sizes)
+        room = np.repeat(ends, sizes) - np.arange(len(letters))
+        starts, lengths, pieces = self._edges(vocabulary, letters, room)
+        node = starts + lengths - 1
+        order = np.lexsort((starts, node))
+        starts, node, pieces = starts[order], node[order], pieces[order]
+        weight = np.where(pieces >= 0, vocabulary.weight[pieces], vocabulary.weight_of_bytes)
+        first = np.searchsorted(node, np.arange(len(letters)))
+        count = np.diff(first, append=len(node))
+        before = starts > begin[starts]
+        self.goes = np.where(before, starts - 1, -1)
+        # Forward filtering, in logarithms, all words one place further at a time.
+        place = np.arange(len(letters)) - begin
+        by_place = np.argsort(place, kind="stable")
+        steps = np.searchsorted(place[by_place], np.arange(int(place.max(initial=-1)) + 2))
+        alpha = np.zeros(len(letters))
+        reach = np.empty(len(node))
+        for a, b in zip(steps, steps[1:]):
+            nodes = by_place[a:b]
+            many = count[nodes]
+            upto = np.cumsum(many)
+            edges = np.repeat(first[nodes] - upto + many, many) + np.arange(upto[-1])
+            came = self.goes[edges]
+            own = weight[edges] + np.where(came >= 0, alpha[came], 0.0)
+            cuts = upto - many
+            most = np.maximum.reduceat(own, cuts)
+            total = np.add.reduceat(np.exp(own - np.repeat(most, many)), cuts)
+            alpha[nodes] = most + np.log(total)
+            reach[edges] = own
+        share = np.cumsum(np.exp(reach - alpha[node]))
+        share -= np.concatenate([[0.0], share])[first[node]]
+        self.total = node + np.minimum(share, 1.0)
+        self.total[first + count - 1] = np.arange(len(letters)) + 1.0
+        self.piece, self.first = pieces, first
+
+    def draw(self, node: np.ndarray, uniform: np.ndarray) -> np.ndarray:
+        """An edge of each node, in proportion to the shares."""
+        edge, value = self.first[node], node + uniform
+        todo = np.flatnonzero(self.total[edge] <= value)
+        while len(todo):
+            edge[todo] += 1
+            todo = todo[self.total[edge[todo]] <= value[todo]]
+        return edge
+
+    def spelled(self, ids: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """With the bytes of letters in place of the edges that stand for them."""
+        sizes = np.array([len(f) for f in self.fallbacks], np.int64)
+        flat = np.array([i for f in self.fallbacks for i in f], np.int64)
+        letter = np.where(ids < 0, -2 - ids, 0)
+        times = np.where(ids < 0, sizes[letter], 1)
+        upto = np.cumsum(times)
+        within = np.arange(upto[-1]) - np.repeat(upto - times, times)
+        whole = np.repeat(ids, times)
+        at = np.flatnonzero(whole < 0)
+        begins = (np.cumsum(sizes) - sizes)[-2 - whole[at]]
+        whole[at] = flat[begins + within[at]]
+        return whole, np.repeat(owners, times)
+
+    def _edges(self, vocabulary: Vocabulary, letters: np.ndarray, room: np.ndarray):
+        """Start, length and number of all pieces within the words."""
+        prefix = vocabulary.prefixes(letters)
+        active = np.arange(len(letters))
+        starts, lengths, pieces = [], [], []
+        for length in range(1, vocabulary.longest + 1):
+            active = active[room[active] >= length]
+            if not len(active):
+                break
+            with np.errstate(over="ignore"):
+                own = prefix[active + length] - prefix[active] * vocabulary.powers[length]
+            found, piece = vocabulary.find(own)
+            if length == 1:
+                alone = np.flatnonzero(piece < 0)
+                kinds, which = np.unique(letters[active[alone]], return_inverse=True)
+                self.fallbacks = [
+                    vocabulary.bytes[list((SPACE if chr(c) == LITERAL else chr(c)).encode())].tolist()
+                    for c in kinds.tolist()
+                ]
+                starts.append(active[alone])
+                lengths.append(np.ones(len(alone), np.int64))
+                pieces.append(-2 - which)
+            good = piece >= 0
+            starts.append(active[good])
+            lengths.append(np.full(int(good.sum()), length))
+            pieces.append(piece[good])
+            active = active[found]
+        if not starts:
+            none = np.zeros(0, np.int64)
+            self.fallbacks = []
+            return none, none, none
+        return tuple(np.concatenate(x).astype(np.int64) for x in (starts, lengths, pieces))
 
 
 def words(text: str) -> list[str]:
@@ -154,6 +227,8 @@ def words(text: str) -> list[str]:
     parts = text.replace(SPACE, LITERAL).split(" ")
     if "" not in parts:
         return [parts[0], *[SPACE + p for p in parts[1:]]]
+    if len(parts) == 1:
+        return []
     found, spaces = [parts[0]] if parts[0] else [], ""
     for part in parts[1:]:
         spaces += SPACE
@@ -165,19 +240,18 @@ def words(text: str) -> list[str]:
 
 class Sampler:
     def __init__(self, model: str, seed: int, temperature: float):
-        self.lattices, self.seed = Lattices(model, temperature), seed
+        self.vocabulary, self.seed = Vocabulary(model, temperature), seed
 
     def sample(self, keys: list[int | None], texts: list[str]) -> list[np.ndarray]:
         """The ids of the pieces drawn for each text."""
-        lattices = self.lattices
-        if len(lattices.known) > REMEMBERED:
-            lattices.reset()
         cut = [words(t) for t in texts]
-        lattices.learn([w for w in set().union(*cut) if w not in lattices.known])
-        total, piece, goes = lattices.total[: lattices.edges], lattices.piece, lattices.goes
+        distinct = list(set().union(*cut) - {""})
+        lattices = Lattices(self.vocabulary, distinct)
+        known = dict(zip(distinct, lattices.last.tolist()))
+        piece, goes = lattices.piece, lattices.goes
         counts = np.array([len(c) for c in cut])
         flat = [w for c in cut for w in c]
-        node = np.fromiter(map(lattices.known.__getitem__, flat), np.int64, len(flat))
+        node = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
         key = np.repeat(np.array([-1 if k is None else k for k in keys], np.int64), counts)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
         seed = np.array([self.seed])
@@ -185,7 +259,7 @@ class Sampler:
         drawn, owner = [], []
         while len(alive):
             draw = _uniform(seed, key[alive], place[alive], np.array([step]))
-            edge = np.searchsorted(total, node[alive] + draw, side="right")
+            edge = lattices.draw(node[alive], draw)
             drawn.append(piece[edge])
             owner.append(alive)
             came = goes[edge]
@@ -195,28 +269,27 @@ class Sampler:
         if not drawn:
             return [np.zeros(0, np.int32) for _ in texts]
         # Pieces were drawn from the ends of words backward.
-        owners, drawn = np.concatenate(owner), np.concatenate(drawn)
-        back = np.concatenate([np.full(len(o), -i) for i, o in enumerate(owner)])
-        order = np.lexsort((back, owners))
-        ids, owners = drawn[order], owners[order]
+        many = np.bincount(np.concatenate(owner), minlength=len(flat))
+        after = np.cumsum(many)
+        ids = np.empty(after[-1], np.int64)
+        for step, (own, found) in enumerate(zip(owner, drawn)):
+            ids[after[own] - 1 - step] = found
+        owners = np.repeat(np.arange(len(flat)), many)
         if (ids < 0).any():
-            spelled = [[i] if i >= 0 else lattices.fallbacks[-2 - i] for i in ids.tolist()]
-            times = [len(s) for s in spelled]
-            ids = np.array([i for s in spelled for i in s], np.int64)
-            owners = np.repeat(owners, times)
+            ids, owners = lattices.spelled(ids, owners)
         sizes = np.bincount(owners, minlength=len(flat))
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ends = upto[np.cumsum(counts)]
         return np.split(ids.astype(np.int32), ends[:-1])
 
     def decode(self, ids: np.ndarray) -> str:
-        return self.lattices.decode(ids.tolist())
+        return self.vocabulary.decode(ids.tolist())
 
 
 def _encode(model: str, seed: int, temperature: float):
     def run(batches: Batches) -> Batches:
         sampler = Sampler(model, seed, temperature)
-        for batch in by_bytes(batches, "_text", 4 << 20):
+        for batch in by_bytes(batches, "_text", 1 << 20):
             texts = batch.column("_text").to_pylist()
             found = sampler.sample(batch.column("_key").to_pylist(), texts)
             offsets = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
@@ -236,9 +309,9 @@ def _encode(model: str, seed: int, temperature: float):
 
 def _decode(model: str):
     def run(batches: Batches) -> Batches:
-        lattices = Lattices(model, 1.0)
+        vocabulary = Vocabulary(model, 1.0)
         for batch in batches:
-            texts = [lattices.decode(ids or []) for ids in batch.column("ids").to_pylist()]
+            texts = [vocabulary.decode(ids or []) for ids in batch.column("ids").to_pylist()]
             names = [n for n in batch.schema.names if n != "ids"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, "text"]

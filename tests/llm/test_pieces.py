@@ -23,17 +23,19 @@ def segmentations(word, weight):
     for n in range(1, len(word) + 1):
         if word[:n] in weight:
             for rest, w in segmentations(word[n:], weight).items():
-                found[(word[:n], *rest)] = weight[word[:n]][1] * w
+                found[(word[:n], *rest)] = weight[word[:n]] * w
     return found
 
 
 def test_draws_follow_the_weights(sampler):
     word = SPACE + "then"
-    expected = segmentations(word, sampler.lattices.weight)
+    vocabulary = sampler.vocabulary
+    weight = {t: float(np.exp(vocabulary.weight[i])) for t, i in vocabulary.ids.items()}
+    expected = segmentations(word, weight)
     total = sum(expected.values())
     n = 40_000
     drawn = sampler.sample(list(range(n)), [" then"] * n)
-    names = {i: p for p, (i, _) in sampler.lattices.weight.items()}
+    names = {i: p for p, i in vocabulary.ids.items()}
     found = Counter(tuple(names[i] for i in ids.tolist()) for ids in drawn)
     assert set(found) <= set(expected)
     for pieces, weight in expected.items():
