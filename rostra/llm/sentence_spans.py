@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from rostra.llm.common import Batches, by_bytes, map_batches, small, whole_text, written
 
 LEAST_WORDS = 40
+BROADCAST_BYTES = 8 << 20  # of repeated hashes; more are joined by a shuffle
 _BREAK = re.compile(r"[.!?]+\s+|\n+")
 
 
@@ -39,7 +40,7 @@ def sentences(text: str) -> list[str]:
 
 
 def spans(parts: list[str], least_words: int) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, sentence after the last) of every span."""
+    """(hash, first sentence, sentence after the last) of every span, by place."""
     words = [part.lower().split() for part in parts]
     upto = np.cumsum([0, *map(len, words)])
     if upto[-1] < least_words:
@@ -51,15 +52,19 @@ def spans(parts: list[str], least_words: int) -> list[tuple[int, int, int]]:
     backward = np.searchsorted(upto, upto[begin + 1] - least_words, side="right") - 1
     pairs = {(int(a), int(b)) for a, b in zip(begin, forward) if b < len(upto)}
     pairs |= {(int(a), int(b) + 1) for a, b in zip(backward, begin) if a >= 0}
-    return [(xxhash.xxh3_128_intdigest(hashes[place[a] : place[b]]), a, b) for a, b in pairs]
+    return [(xxhash.xxh3_128_intdigest(hashes[place[a] : place[b]]), a, b) for a, b in sorted(pairs)]
 
 
 def _find(least_words: int):
     def run(batches: Batches) -> Batches:
         for batch in by_bytes(batches, "text"):
-            ids, found = [], []
+            ids, found, again = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 own = spans(sentences(text), least_words)
+                seen: set[int] = set()
+                for span in own:
+                    again.append(span[0] in seen)
+                    seen.add(span[0])
                 ids += [doc] * len(own)
                 found += own
             low = (1 << 64) - 1
@@ -68,10 +73,12 @@ def _find(least_words: int):
                     pa.array(np.array([h >> 64 for h, _, _ in found], np.uint64).view(np.int64)),
                     pa.array(np.array([h & low for h, _, _ in found], np.uint64).view(np.int64)),
                     pa.array(ids, pa.int64()),
-                    pa.array([a for _, a, _ in found], pa.int32()),
-                    pa.array([b for _, _, b in found], pa.int32()),
+                    # Both ends and whether the document had it before, in one number.
+                    pa.array(
+                        [a << 32 | b << 1 | r for (_, a, b), r in zip(found, again)], pa.int64()
+                    ),
                 ],
-                ["h1", "h2", "doc_id", "start", "end"],
+                ["h1", "h2", "doc_id", "place"],
             )
 
     return run
@@ -82,18 +89,20 @@ def covered(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     texts = docs.filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
-    schema = "h1 long, h2 long, doc_id long, start int, end int"
-    found = map_batches(texts, _find(least_words), schema)
-    place = F.struct("doc_id", "start")
+    found = map_batches(texts, _find(least_words), "h1 long, h2 long, doc_id long, place long")
     repeated = written(
         found.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .filter("first < last")
-        .select("h1", "h2", "first"),
+        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .drop("n"),
         "spans-repeated",
     )
-    later = found.join(small(repeated), ["h1", "h2"]).filter(place > F.col("first"))
-    return later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("cuts"))
+    later = found.join(small(repeated, BROADCAST_BYTES), ["h1", "h2"]).filter(
+        "doc_id > first OR place % 2 = 1"
+    )
+    start = F.shiftright("place", 32).cast("int").alias("start")
+    end = (F.shiftright("place", 1) % (1 << 31)).cast("int").alias("end")
+    return later.groupBy("doc_id").agg(F.collect_set(F.struct(start, end)).alias("cuts"))
 
 
 def _cut(batches: Batches) -> Batches:
