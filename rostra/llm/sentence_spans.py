@@ -10,8 +10,9 @@ Counting is summed before the shuffle; the spans meet the repeated hashes in a j
 other side has one row per hash. No group of spans is gathered anywhere.
 
 Defined cases: null texts count as empty and stay null; texts without a span are unchanged;
-a row without an id takes no part and is unchanged; rows that repeat an id are the same
-document and lose the same sentences; a span repeated in its own document goes as well.
+a row without an id takes no part and is unchanged; rows that repeat an id with the same
+text are the same document and lose the same sentences; other texts of an id are documents
+of their own, ordered by a hash of the text; a span repeated in its own document goes as well.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostra.llm.common import Batches, by_bytes, map_batches, small, whole_text, written
@@ -58,14 +59,16 @@ def spans(parts: list[str], least_words: int) -> list[tuple[int, int, int]]:
 def _find(least_words: int):
     def run(batches: Batches) -> Batches:
         for batch in by_bytes(batches, "text"):
-            ids, found, again = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            ids, keys, found, again = [], [], [], []
+            columns = (batch.column(n).to_pylist() for n in ("doc_id", "text_key", "text"))
+            for doc, key, text in zip(*columns):
                 own = spans(sentences(text), least_words)
                 seen: set[int] = set()
                 for span in own:
                     again.append(span[0] in seen)
                     seen.add(span[0])
                 ids += [doc] * len(own)
+                keys += [key] * len(own)
                 found += own
             low = (1 << 64) - 1
             yield pa.RecordBatch.from_arrays(
@@ -73,36 +76,50 @@ def _find(least_words: int):
                     pa.array(np.array([h >> 64 for h, _, _ in found], np.uint64).view(np.int64)),
                     pa.array(np.array([h & low for h, _, _ in found], np.uint64).view(np.int64)),
                     pa.array(ids, pa.int64()),
+                    pa.array(keys, pa.int64()),
                     # Both ends and whether the document had it before, in one number.
                     pa.array(
                         [a << 32 | b << 1 | r for (_, a, b), r in zip(found, again)], pa.int64()
                     ),
                 ],
-                ["h1", "h2", "doc_id", "place"],
+                ["h1", "h2", "doc_id", "text_key", "place"],
             )
 
     return run
 
 
+def text_key(name: str = "text") -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(whole_text(name))
+
+
 def covered(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, cuts: array of (start, end)) of documents with sentences to remove."""
+    """(doc_id, text_key, cuts: array of (start, end)) of documents with sentences to remove."""
     texts = docs.filter("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_key().alias("text_key"),
+        whole_text().alias("text"),
     )
-    found = map_batches(texts, _find(least_words), "h1 long, h2 long, doc_id long, place long")
+    schema = "h1 long, h2 long, doc_id long, text_key long, place long"
+    found = map_batches(texts, _find(least_words), schema)
+    several = texts.groupBy("doc_id").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"))
+    # A minimum of pairs is slower to count; the id orders documents if each has one text.
+    order = F.col("doc_id") if several.filter("a <> b").isEmpty() else F.struct("doc_id", "text_key")
     repeated = written(
         found.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+        .agg(F.min(order).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
         .drop("n"),
         "spans-repeated",
     )
     later = found.join(small(repeated, BROADCAST_BYTES), ["h1", "h2"]).filter(
-        "doc_id > first OR place % 2 = 1"
+        (order > F.col("first")) | (F.col("place") % 2 == 1)
     )
     start = F.shiftright("place", 32).cast("int").alias("start")
     end = (F.shiftright("place", 1) % (1 << 31)).cast("int").alias("end")
-    return later.groupBy("doc_id").agg(F.collect_set(F.struct(start, end)).alias("cuts"))
+    return later.groupBy("doc_id", "text_key").agg(
+        F.collect_set(F.struct(start, end)).alias("cuts")
+    )
 
 
 def _cut(batches: Batches) -> Batches:
@@ -132,9 +149,11 @@ def _cut(batches: Batches) -> Batches:
 
 def substring_dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, text without the repeated sentences, n_sentences, removed (their numbers)."""
-    cuts = covered(docs, least_words).withColumnsRenamed({"doc_id": "_id", "cuts": "_cuts"})
+    names = {"doc_id": "_id", "text_key": "_key", "cuts": "_cuts"}
+    cuts = covered(docs, least_words).withColumnsRenamed(names)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("_text"))
-    joined = rows.join(cuts, rows["doc_id"] == cuts["_id"], "left").drop("_id")
+    same = (rows["doc_id"] == cuts["_id"]) & (text_key("_text") == cuts["_key"])
+    joined = rows.join(cuts, same, "left").drop("_id", "_key")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, _text string, _sentences int, _removed array<int>"
     return map_batches(joined, _cut, schema).select(

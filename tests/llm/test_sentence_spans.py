@@ -72,3 +72,15 @@ def test_defined_cases(spark):
     assert found[4] == ("", [0, 1, 2, 3])
     assert found[5] == ("", [])
     assert substring_dedup(docs.limit(0), 10).count() == 0
+
+
+def test_an_id_with_several_texts(spark):
+    passage = "One two three four five. Six seven eight nine ten. "
+    own = "Own a b c d e f g. Own h i j k l m n. "
+    rows = [(1, passage), (2, "A b. C d. E f. " + passage + own), (2, "Short one. "), (2, own + "End of it. ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.text) for r in substring_dedup(docs, 10).collect())
+    head = "A b. C d. E f. "
+    kept_in_one = [(1, passage), (2, head), (2, own + "End of it. "), (2, "Short one. ")]
+    kept_in_other = [(1, passage), (2, head + own), (2, "End of it. "), (2, "Short one. ")]
+    assert found in (sorted(kept_in_one), sorted(kept_in_other))
