@@ -1,8 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
-From every sentence the span goes on, and back, over as many consecutive sentences as hold
-``least_words`` words; each span is hashed (128 bits). Any passage of whole sentences with
-that many words is covered by spans within it, so it is found wherever it stands. Spans
+From every sentence the span goes on, and back, over as many consecutive sentences, two at
+least, as hold ``least_words`` words; each span is hashed (128 bits), and so is a sentence of
+``alone_words`` by itself. Any passage of several whole sentences with that many words is
+covered by spans within it, so it is found wherever it stands. Spans
 are joined by their hashes over all documents; the first one, by doc_id and place, stays,
 and sentences that another one covers are removed. The rest of the text is as it was.
 
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 
 from rostra.llm.common import Batches, by_bytes, map_batches, small, whole_text, written
 
-LEAST_WORDS = 40
+LEAST_WORDS = 12  # of two or more sentences
+ALONE_WORDS = 40  # of one sentence
 BROADCAST_BYTES = 8 << 20  # of repeated hashes; more are joined by a shuffle
 _BREAK = re.compile(r"[.!?]+\s+|\n+")
 
@@ -40,19 +42,26 @@ def sentences(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
-def spans(parts: list[str], least_words: int) -> list[tuple[int, int, int]]:
+def spans(
+    parts: list[str], least_words: int, alone_words: int = ALONE_WORDS
+) -> list[tuple[int, int, int]]:
     """(hash, first sentence, sentence after the last) of every span, by place."""
     words = [part.lower().split() for part in parts]
     upto = np.cumsum([0, *map(len, words)])
-    if upto[-1] < least_words:
+    if upto[-1] < min(least_words, alone_words):
         return []
     hashes = b"".join(xxhash.xxh3_128_digest(" ".join(w)) if w else b"" for w in words)
     place = np.cumsum([0, *(16 if w else 0 for w in words)])
     begin = np.flatnonzero(np.diff(upto))  # sentences with words
-    forward = np.searchsorted(upto, upto[begin] + least_words)
-    backward = np.searchsorted(upto, upto[begin + 1] - least_words, side="right") - 1
-    pairs = {(int(a), int(b)) for a, b in zip(begin, forward) if b < len(upto)}
-    pairs |= {(int(a), int(b) + 1) for a, b in zip(backward, begin) if a >= 0}
+    alone = begin[upto[begin + 1] - upto[begin] >= alone_words]
+    pairs = {(int(a), int(a) + 1) for a in alone}
+    if len(begin) > 1:
+        # Far enough for the words, and over one more sentence with words at least.
+        forward = np.maximum(np.searchsorted(upto, upto[begin[:-1]] + least_words), begin[1:] + 1)
+        pairs |= {(int(a), int(b)) for a, b in zip(begin, forward) if b < len(upto)}
+        backward = np.searchsorted(upto, upto[begin[1:] + 1] - least_words, side="right") - 1
+        backward = np.minimum(backward, begin[:-1])
+        pairs |= {(int(a), int(b) + 1) for a, b in zip(backward, begin[1:]) if a >= 0}
     return [(xxhash.xxh3_128_intdigest(hashes[place[a] : place[b]]), a, b) for a, b in sorted(pairs)]
 
 

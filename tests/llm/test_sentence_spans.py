@@ -84,3 +84,28 @@ def test_an_id_with_several_texts(spark):
     kept_in_one = [(1, passage), (2, head), (2, own + "End of it. "), (2, "Short one. ")]
     kept_in_other = [(1, passage), (2, head + own), (2, "End of it. "), (2, "Short one. ")]
     assert found in (sorted(kept_in_one), sorted(kept_in_other))
+
+
+def test_short_runs_and_long_sentences(spark):
+    run = "Every visitor signs the book first. The porter keeps all the keys. "
+    line = " ".join(f"w{i}" for i in range(20)) + ". "
+    long = " ".join(f"v{i}" for i in range(45)) + ". "
+    texts = [run + "One ending here. ", "Another beginning here. " + run, line + "A b. ", "C d. " + line, long + "E f. ", "G h. " + long]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.removed for r in substring_dedup(docs).collect()}
+    assert found == {0: [], 1: [1, 2], 2: [], 3: [], 4: [], 5: [1]}
+
+
+def test_spans_are_of_two_sentences():
+    rng = random.Random(7)
+    for _ in range(300):
+        parts = [" ".join("a" * rng.choice([0, 1, 3, 9, 14])) + ". " * rng.randint(0, 1) for _ in range(6)]
+        n = [len(p.split()) for p in parts]
+        expected = {(a, a + 1) for a in range(6) if n[a] >= 14}
+        for a in range(6):
+            for b in range(a + 2, 7):
+                inner = [(c, d) for c, d in ((a + 1, b), (a, b - 1)) if sum(x > 0 for x in n[c:d]) > 1 and sum(n[c:d]) >= 12]
+                several = sum(x > 0 for x in n[a:b]) > 1 and sum(n[a:b]) >= 12
+                if n[a] and n[b - 1] and several and len(inner) < 2:
+                    expected.add((a, b))
+        assert {(a, b) for _, a, b in spans(parts, 12, 14)} == expected
