@@ -21,7 +21,8 @@ pair at the threshold fail there with a probability below 1e-6. Counted links ar
 Defined cases: words are lower-case runs of word characters, or what white space separates
 where a text has none; a text of one to four words has one element, all its words; texts
 without words (null, empty) have no link and form classes of their own; a null id takes no
-part; rows that repeat an id are one document, with the greatest of their texts.
+part; rows that repeat an id and its text are one document; the texts of an id that differ
+are documents of their own, told apart and ordered by a hash of the text.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostra.llm.common import (
@@ -129,6 +130,7 @@ def _signatures(words: int, similarity: float, runs: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array(digests, pa.binary()),
                     pa.array(sizes, pa.int32()),
                     pa.array(sketches, pa.binary()),
@@ -136,10 +138,11 @@ def _signatures(words: int, similarity: float, runs: int):
                         pa.array(offsets, pa.int32()), _signed(np.concatenate(paths))
                     ),
                 ],
-                ["doc_id", "digest", "size", "sketch", "paths"],
+                ["doc_id", "text_key", "digest", "size", "sketch", "paths"],
             )
 
-    return run, "doc_id long, digest binary, size int, sketch binary, paths array<long>"
+    schema = "doc_id long, text_key long, digest binary, size int, sketch binary, paths array<long>"
+    return run, schema
 
 
 def _with_sets(words: int):
@@ -150,7 +153,7 @@ def _with_sets(words: int):
             sets = [elements(t, words) for t in batch.column("text").to_pylist()]
             wanted = batch.column("digest").to_pylist()
             meant = [xxhash.xxh3_128_digest(s.tobytes()) == d for s, d in zip(sets, wanted)]
-            if not all(meant):  # an id has several texts
+            if not all(meant):  # two texts of an id with one key
                 sets = [s for s, m in zip(sets, meant) if m]
                 batch = batch.filter(pa.array(meant))
             offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
@@ -407,62 +410,104 @@ def classes(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_join(
+def text_key() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(whole_text())
+
+
+def joined(
     docs: DataFrame,
     similarity: float = SIMILARITY,
     words: int = WORDS,
     recall: float = RECALL,
     small_bucket: int = SMALL_BUCKET,
 ) -> DataFrame:
-    """One row per document.
-
-    doc_id; text_id, the least document with the same set; class_id, the least document of
-    its connected class; n_links, the other documents with a similarity of ``similarity`` or
-    more, copies included; n_text_links, the linked sets that differ.
-    """
+    """``jaccard_join`` with text_key, and kept: whether it is the first of its class."""
     rows = docs.filter("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_key().alias("text_key"),
+        whole_text().alias("text"),
     )
     describe, schema = _signatures(words, similarity, runs_for(similarity, recall))
     found = written(map_batches(rows, describe, schema), "signatures")
-    members = found.groupBy("doc_id").agg(F.max("digest").alias("digest"))
-    members = written(members, "members")
-    copies = members.filter("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.count("*").alias("copies")
+    members = written(found.select("doc_id", "text_key", "digest").distinct(), "members")
+    # With one text per id the least document names its set, and its class.
+    several = not members.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    copies = (
+        members.filter("digest IS NOT NULL")
+        .groupBy("digest")
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.count("*").alias("copies"))
+        .select(
+            "digest",
+            (F.xxhash64("digest") if several else F.col("first.doc_id")).alias("id"),
+            F.col("first.doc_id").alias("first_id"),
+            F.col("first.text_key").alias("first_key"),
+            "copies",
+        )
     )
+    firsts = {"doc_id": "first_id", "text_key": "first_key"}
     texts = written(
-        found.withColumnRenamed("doc_id", "id").join(copies, ["id", "digest"]).dropDuplicates(["id"]),
+        found.withColumnsRenamed(firsts)
+        .join(copies, ["first_id", "first_key", "digest"])
+        .dropDuplicates(["id"]),
         "texts",
     )
     forget(found)
 
     def sets_of(ids: DataFrame) -> DataFrame:
         """Computed anew from the texts: all sets together are larger than the texts."""
-        wanted = small(texts.select("id", "digest").join(ids, "id"))
-        body = rows.withColumnRenamed("doc_id", "id").join(wanted, "id")
-        sets = map_batches(body, _with_sets(words), "id long, own array<long>")
+        wanted = small(texts.select("id", "first_id", "first_key", "digest").join(ids, "id"))
+        body = rows.withColumnsRenamed(firsts).join(wanted, ["first_id", "first_key"])
+        sets = map_batches(
+            body.select("id", "digest", "text"), _with_sets(words), "id long, own array<long>"
+        )
         return sets.dropDuplicates(["id"]) if repeated else sets
 
     repeated = rows.count() > members.count()
     pairs = written(links(texts, sets_of, similarity, small_bucket), "links")
     degree = pairs.groupBy("id").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
     about = texts.join(degree, "id", "left").join(classes(pairs), "id", "left").select(
-        "digest", "id", "copies", "texts", "documents", "class_id"
+        "digest", "first_id", "first_key", "copies", "texts", "documents",
+        F.coalesce("class_id", "id").alias("class"),
     )
+    if several:
+        about = written(about, "classes-of-texts")
+        least = about.groupBy("class").agg(F.min(F.struct("first_id", "first_key")).alias("least"))
+        about = about.join(small(least), "class")
+        about = about.withColumns({"class": F.col("least.first_id"), "class_key": F.col("least.first_key")})
+    else:
+        about = about.withColumn("class_key", F.lit(None).cast("long"))
     zero = F.lit(0).cast("long")
+    other_text = F.coalesce(F.col("text_key") != F.col("class_key"), F.lit(False))
+    gone = (F.col("doc_id") != F.col("class")) | other_text
     return members.join(about, "digest", "left").select(
         "doc_id",
-        F.coalesce("id", "doc_id").alias("text_id"),
-        F.coalesce("class_id", "id", "doc_id").alias("class_id"),
+        "text_key",
+        F.coalesce("first_id", "doc_id").alias("text_id"),
+        F.coalesce("class", "doc_id").alias("class_id"),
         (F.coalesce("documents", zero) + F.coalesce(F.col("copies") - 1, zero)).alias("n_links"),
         F.coalesce("texts", zero).alias("n_text_links"),
+        F.coalesce(~gone, F.lit(True)).alias("kept"),
     )
 
 
+def jaccard_join(docs: DataFrame, **settings) -> DataFrame:
+    """One row per document, which is an id with one text.
+
+    doc_id; text_id, the least document with the same set; class_id, the least document of
+    its connected class; n_links, the other documents with a similarity of ``similarity`` or
+    more, copies included; n_text_links, the linked sets that differ.
+    """
+    return joined(docs, **settings).drop("text_key", "kept")
+
+
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with the least document of each class; rows without an id stay."""
     with temporary(docs.sparkSession):
-        found = written(jaccard_join(docs, **settings), "classes", keep=True)
-    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone_id"))
+        found = written(joined(docs, **settings), "classes", keep=True)
+    gone = found.filter("NOT kept").select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")
+    )
     gone = small(gone)
-    return docs.join(gone, docs["doc_id"] == gone["_gone_id"], "left_anti")
+    same = (docs["doc_id"] == gone["_gone_id"]) & (text_key() == gone["_gone_key"])
+    return docs.join(gone, same, "left_anti")

@@ -79,3 +79,15 @@ def test_defined_cases(spark):
 def test_elements():
     assert len(elements("A b c d e f", 5)) == 2
     assert np.array_equal(elements("a B, c", 5), elements("A b c", 5))
+
+
+def test_an_id_with_several_texts(spark):
+    near = " ".join(f"n{i}" for i in range(40))
+    texts = [" ".join(f"t{k}x{i}" for i in range(40)) for k in range(4)]
+    rows = [(1, near), (5, near + " end"), (5, texts[0]), (6, texts[1]), (6, texts[1] + " end"), (7, texts[2]), (7, texts[3]), (8, texts[3] + " end"), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard_join(docs).collect())
+    assert found == [(1, 1, 1), (5, 1, 1), (5, 5, 0), (6, 6, 1), (6, 6, 1), (7, 7, 0), (7, 7, 1), (8, 7, 1), (8, 8, 0)]
+    kept = {(r.doc_id, r.text) for r in keep_one(docs).collect()}
+    always = {(1, near), (5, texts[0]), (7, texts[2]), (7, texts[3]), (8, "")}
+    assert kept - always in ({(6, texts[1])}, {(6, texts[1] + " end")}) and always <= kept
