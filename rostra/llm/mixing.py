@@ -1,46 +1,52 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-The documents of a source are dealt by a hash of their id into blocks of about
-``block_rows``. With weight w, the k-th block of a source (from 1) is released at slot
-floor((k - 1) / w) and due at ceil(k / w); every slot takes, of the released blocks, the one
-with the earliest deadline. In every prefix each source is then less than one block away
-from its share. When a source has no block left, the weights of the others are scaled up
-and a new segment of the schedule begins with their releases counted from there; so every
-document is placed once, and within each segment the bound holds.
-
-The schedule needs the number of rows per source only. Weights are rounded to multiples of
-1 / period, so that a segment repeats itself after ``period`` slots: the driver works out
-one period per segment, and slots of blocks are found in the tasks from that table.
+The documents of a source are numbered in the order of a hash of their id and cut into
+blocks of ``block_rows`` (the last one holds the rest). With weight w, the k-th block of a
+source (from 1) is released at slot floor((k - 1) / w) and due at ceil(k / w); every slot
+takes, of the released blocks, the one with the earliest deadline. In every prefix each
+source is then less than one block away from its share. When a source has no block left,
+the weights of the others are scaled up and a new segment of the schedule begins with their
+releases counted from there; so every document is placed once, and within each segment the
+bound holds.
+
+The schedule needs the number of rows per source only. Weights are exact fractions. The
+driver works out one slot per block and hands them on in parts of ``PART_SLOTS``; the rows
+meet them in a join. With a ``period`` weights are rounded to multiples of 1 / period.
 
 Defined cases: a null source is a source of its own; a source without a target gets the
 default (the share of its rows to the power ``temperature``); a target of a source that has
-no rows is ignored; a null id has a place like others; rows that repeat an id share a block.
+no rows is ignored; a null id has a place like others; rows that repeat an id, or have none,
+are numbered one by one and fill as many blocks as they need.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import accumulate, groupby, islice
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostra.llm.common import small
+from rostra.runtime import dense_row_number, scratch_path
 
 BLOCK_ROWS = 64
-PERIOD = 1000
+PART_SLOTS = 1 << 18
 TEMPERATURE = 0.7
 
 
 @dataclass(frozen=True)
 class Segment:
-    """Slots between two sources' ends: per source its part of the period and first block."""
+    """Slots between two sources' ends: per source its whole part of their sum, and first block."""
 
     first_slot: int
     parts: dict[int, int]
     first_block: dict[int, int]
-    slots: dict[int, list[int]]  # per source the slots of its blocks within one period
-    period: int
 
 
 def rounded(weights: dict[int, float], period: int) -> dict[int, int]:
@@ -75,30 +81,70 @@ def one_period(parts: dict[int, int], period: int, length: int) -> dict[int, lis
     return taken
 
 
-def schedule(blocks: dict[int, int], weights: dict[int, float], period: int) -> list[Segment]:
-    """The segments for so many blocks per source."""
-    left, done, slot, segments = dict(blocks), {s: 0 for s in blocks}, 0, []
+def exact(weights: dict[int, float]) -> dict[int, int]:
+    """Whole numbers in the very proportions of the weights."""
+    fractions = {s: Fraction(w) for s, w in weights.items()}
+    common = math.lcm(*(f.denominator for f in fractions.values()))
+    return {s: int(f * common) for s, f in fractions.items()}
+
+
+def slots(
+    blocks: dict[int, int], weights: dict[int, float], period: int | None = None
+) -> Iterator[tuple[Segment, int, int]]:
+    """(segment, source, block) of every slot: earliest deadline first over released blocks."""
+    left, done, slot = dict(blocks), dict.fromkeys(blocks, 0), 0
     while left:
-        width = max(period, 8 * len(left))
-        parts = rounded({s: weights[s] for s in left}, width)
-        taken = one_period(parts, width, width)
-
-        def until(s: int) -> int:
-            """Slots until the source has placed its last block."""
-            whole, rest = divmod(left[s], parts[s])
-            return whole * width + taken[s][rest - 1] + 1 if rest else (whole - 1) * width + taken[s][-1] + 1
-
-        length = min(map(until, left))
-        segments.append(Segment(slot, parts, {s: done[s] for s in left}, taken, width))
-        whole, rest = divmod(length, width)
-        for s in list(left):
-            placed = whole * parts[s] + sum(t < rest for t in taken[s])
-            done[s] += placed
-            left[s] -= placed
+        own = {s: weights[s] for s in left}
+        parts = rounded(own, max(period, 8 * len(left))) if period else exact(own)
+        total, begin, used = sum(parts.values()), slot, dict.fromkeys(left, 0)
+        segment = Segment(begin, parts, {s: done[s] for s in left})
+        waiting = [(0, s) for s in left]  # by release
+        ready: list[tuple[int, int]] = []  # by deadline
+        heapq.heapify(waiting)
+        while True:
+            while waiting and waiting[0][0] <= slot - begin:
+                s = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, (-(-(used[s] + 1) * total // parts[s]), s))
+            s = heapq.heappop(ready)[1]
+            yield segment, s, done[s]
+            slot += 1
+            used[s] += 1
+            done[s] += 1
+            left[s] -= 1
             if not left[s]:
                 del left[s]
-        slot += length
-    return segments
+                break
+            heapq.heappush(waiting, (used[s] * total // parts[s], s))
+
+
+def schedule(
+    blocks: dict[int, int], weights: dict[int, float], period: int | None = None
+) -> list[Segment]:
+    """The segments for so many blocks per source."""
+    return [segment for segment, _ in groupby(s for s, _, _ in slots(blocks, weights, period))]
+
+
+def _slot_table(spark: SparkSession, found: Iterator[tuple[Segment, int, int]]) -> DataFrame:
+    """The slots as a stored table, written in parts so that the driver holds one of them."""
+    path = scratch_path(spark, "slots")
+    schema = "_sid int, _block long, _segment int, _release long, _deadline long, _slot long"
+    spark.createDataFrame([], schema).write.parquet(path)
+    number, last, slot = -1, None, 0
+    while part := list(islice(found, PART_SLOTS)):
+        rows = []
+        for segment, s, block in part:
+            if segment is not last:
+                number, last, total = number + 1, segment, sum(segment.parts.values())
+            k, begin = block - segment.first_block[s], segment.first_slot
+            release = begin + k * total // segment.parts[s]
+            deadline = begin - (-(k + 1) * total // segment.parts[s])
+            rows.append((s, block, number, release, deadline, slot))
+            slot += 1
+        frame = pa.table(list(map(pa.array, zip(*rows))), names=[f"c{i}" for i in range(6)])
+        spark.createDataFrame(frame).toDF(*(f.split()[0] for f in schema.split(", "))).select(
+            F.col("_sid").cast("int"), "_block", F.col("_segment").cast("int"), "_release", "_deadline", "_slot"
+        ).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _hash(doc_id: str, seed: int) -> Column:
@@ -109,7 +155,7 @@ def _placed(
     docs: DataFrame,
     targets: dict[str | None, float] | None = None,
     block_rows: int = BLOCK_ROWS,
-    period: int = PERIOD,
+    period: int | None = None,
     temperature: float = TEMPERATURE,
     seed: int = 1,
 ) -> DataFrame:
@@ -125,45 +171,29 @@ def _placed(
     }
     if any(w <= 0 for w in weights.values()):
         raise ValueError("target weights are above zero")
-    segments = schedule(blocks, weights, period)
-    ends = [s.first_slot for s in segments[1:]] + [1 << 62]
-    about, places = [], []
-    for k, (segment, end) in enumerate(zip(segments, ends)):
-        for s, part in segment.parts.items():
-            first = segment.first_block[s]
-            whole, rest = divmod(min(end - segment.first_slot, 1 << 60), segment.period)
-            last = first + whole * part + sum(t < rest for t in segment.slots[s])
-            about.append((s, k, first, min(last, blocks[s]), segment.first_slot, part, segment.period))
-            here = segment.slots[s][: max(0, min(last, blocks[s]) - first)]
-            places += [(s, k, i, t) for i, t in enumerate(here)]
-    source = spark.createDataFrame(
-        [(s, name, blocks[s]) for s, name in enumerate(names)], "_sid int, _name string, _blocks long"
-    )
-    about = spark.createDataFrame(
-        about, "_id int, _segment int, _first long, _end long, _begin long, _part long, _period long"
-    )
-    places = spark.createDataFrame(places, "_sid int, _segment int, _index long, _at long")
-    source, about, places = small(source), small(about), small(places)
+    source = spark.createDataFrame(list(enumerate(names)), "_sid int, _name string")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col("source").alias("_source"),
         _hash("doc_id", seed).alias("_hash"),
+        F.monotonically_increasing_id().alias("_tie"),
     )
-    placed = (
-        rows.join(source, F.expr("_source <=> _name"))
-        .withColumn("_block", F.pmod("_hash", "_blocks"))
-        .join(about, F.expr("_id = _sid AND _block >= _first AND _block < _end"))
-        .withColumn("_k", F.col("_block") - F.col("_first"))
-        .withColumn("_index", F.col("_k") % F.col("_part"))
-        .join(places, ["_sid", "_segment", "_index"])
+    rows = rows.join(small(source), F.expr("_source <=> _name")).drop("_source", "_name")
+    numbered = dense_row_number(rows, "_number", [F.col(c) for c in ("_sid", "_hash", "_tie")])
+    # Rows are numbered source by source, in the order of their sids.
+    before = [0, *accumulate(r["n"] for r in counts)]
+    first = spark.createDataFrame(list(enumerate(before[:-1])), "_sid int, _before long")
+    placed = numbered.join(small(first), "_sid").withColumn(
+        "_block", F.expr(f"(_number - _before) div {int(block_rows)}")
     )
-    return placed.select(
+    table = _slot_table(spark, slots(blocks, weights, period))
+    return placed.join(small(table), ["_sid", "_block"]).select(
         "row",
         F.col("_block").alias("block"),
         F.col("_segment").alias("segment"),
-        (F.col("_begin") + F.expr("(_k * _period) div _part")).alias("release"),
-        (F.col("_begin") + F.expr("((_k + 1) * _period + _part - 1) div _part")).alias("deadline"),
-        (F.col("_begin") + F.expr("(_k div _part) * _period") + F.col("_at")).alias("slot"),
+        F.col("_release").alias("release"),
+        F.col("_deadline").alias("deadline"),
+        F.col("_slot").alias("slot"),
     )
 
 
@@ -173,7 +203,7 @@ def mix(docs: DataFrame, *args, **settings) -> DataFrame:
     Blocks, segments and slots count from 0. Release and deadline are slots: those of the
     k-th block since the segment's begin.
     """
-    return _placed(docs, *args, **settings).select(
+    return _placed(docs.select("doc_id", "source"), *args, **settings).select(
         "row.doc_id", "row.source", "block", "segment", "release", "deadline", "slot"
     )
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rostra.llm.mixing import mix, mixed, one_period, rounded, schedule
+from rostra.llm.mixing import exact, mix, mixed, one_period, rounded, schedule, slots
 
 
 @pytest.mark.parametrize("weights", [{0: 1.0}, {0: 0.5, 1: 0.5}, {0: 0.7, 1: 0.2, 2: 0.07, 3: 0.03}, {i: 1.0 for i in range(30)}, {0: 0.9, **{i: 0.005 for i in range(1, 21)}}])
@@ -77,3 +77,25 @@ def test_defined_cases(spark):
     hot = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("source"))
     slots = mix(hot, block_rows=16).groupBy("slot").agg(F.countDistinct("source").alias("n")).agg(F.max("n")).first()[0]
     assert slots == 1
+
+
+@pytest.mark.parametrize("weights", [{0: 0.70037, 1: 0.29962, 2: 1e-5}, {i: (i + 1) ** 0.7 for i in range(40)}])
+def test_prefixes_against_the_targets_themselves(weights):
+    parts = exact(weights)
+    total, count = sum(parts.values()), dict.fromkeys(weights, 0)
+    blocks = dict.fromkeys(weights, 20_000)
+    for slot, (segment, s, block) in zip(range(10_000), slots(blocks, weights)):
+        assert block == count[s] and segment.first_slot == 0
+        count[s] += 1
+        for other, part in parts.items():
+            assert abs(count[other] * total - (slot + 1) * part) < total
+
+
+def test_blocks_are_full_whatever_the_ids(spark):
+    n = 1000
+    docs = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).alias("doc_id"), F.when(F.col("id") < 700, "a").otherwise("b").alias("source"))
+    sizes = mix(docs, block_rows=16).groupBy("source", "block").count().collect()
+    found = {s: sorted((r["block"], r["count"]) for r in sizes if r["source"] == s) for s in "ab"}
+    for s, rows in (("a", 700), ("b", 300)):
+        assert found[s] == [(k, min(16, rows - 16 * k)) for k in range(-(-rows // 16))]
+    assert len(set(r.slot for r in mix(docs, block_rows=16).collect())) == 44 + 19
