@@ -888,24 +888,24 @@ def kmeans_checks(spark, sf_dir):
 
 @_query
 def kmeans_fit_predict(spark, sf_dir):
-    found = clusters.kmeans_fit_predict(stored_lsa(spark, sf_dir).docs, CLUSTERS_DEFAULT, 2)
+    found = clusters.kmeans_fit_predict(stored_lsa(spark, sf_dir).docs, CLUSTERS_DEFAULT)
     return found.select("doc_id", "cluster")
 
 
 @_query
 def lsa_cluster_terms(spark, sf_dir):
     model = stored_lsa(spark, sf_dir)
-    found = clusters.kmeans_fit_predict(model.docs, CLUSTERS_DEFAULT, 1)
+    found = clusters.kmeans_fit_predict(model.docs, CLUSTERS_DEFAULT)
     return clusters.cluster_terms(materialize(found, "clusters"), model.terms)
 
 
 @_query
 def k_sweep(spark, sf_dir):
-    return clusters.k_sweep(stored_lsa(spark, sf_dir).docs, (1, 2, 4, 8), starts=1)
+    return clusters.k_sweep(stored_lsa(spark, sf_dir).docs)
 
 
 @_query
 def build_tables(spark, sf_dir):
     """Every table of the corpus, with its number of rows."""
     root = scratch_path(spark, "all")
-    return build_all(_speech(spark, sf_dir), PRE, root, k=CLUSTERS_DEFAULT, starts=1)
+    return build_all(_speech(spark, sf_dir), PRE, root)
