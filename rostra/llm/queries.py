@@ -15,6 +15,8 @@ from rostra.llm import (
     pieces,
     radix_dedup,
     sentence_spans,
+    spelling,
+    token_counts,
     token_files,
     topk,
     toxicity,
@@ -69,6 +71,14 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 _TOP_SQL = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
@@ -114,6 +124,8 @@ def registry() -> dict[str, Query]:
         "op8_importance": op8_importance,
         "op9_chosen_path": op9_chosen_path,
         "op10_sentence_spans": op10_sentence_spans,
+        "op11_spelling": op11_spelling,
+        "op12_token_counts": op12_token_counts,
     }
 
 
