@@ -41,10 +41,10 @@ def by_bytes(batches: Batches, column: str, limit: int = 8 << 20) -> Batches:
 _temporary: list[list[str]] = []
 
 
-def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False, **options: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     if _temporary and not keep:
         _temporary[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

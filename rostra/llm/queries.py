@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rostra.llm import (
     chosen_path,
+    collocations,
     disclosure,
     importance,
     mixing,
@@ -79,6 +80,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 _TOP_SQL = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
@@ -126,6 +131,7 @@ def registry() -> dict[str, Query]:
         "op10_sentence_spans": op10_sentence_spans,
         "op11_spelling": op11_spelling,
         "op12_token_counts": op12_token_counts,
+        "op13_collocations": op13_collocations,
     }
 
 
