@@ -6,12 +6,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rostra.operators import kmeans
 from rostra.operators.lsa import _lists, _matrix
 from rostra.schemas import (
     CLUSTERS_DEFAULT,
@@ -21,36 +20,22 @@ from rostra.schemas import (
     TERMS_PER_DIM,
 )
 
-def _features(vectors: DataFrame) -> DataFrame:
-    return vectors.withColumn("features", array_to_vector(F.col("vec")))
-
-
-def _fit_best(features: DataFrame, k: int, starts: int, seed: int) -> KMeansModel:
-    """The model with the least within-cluster sum of squares among ``starts`` seeds."""
-
-    def fit(start: int) -> KMeansModel:
-        return KMeans(k=k, maxIter=KMEANS_ITERATIONS, seed=seed + start).fit(features)
-
-    return min((fit(s) for s in range(starts)), key=lambda m: m.summary.trainingCost)
-
-
 def kmeans_fit_predict(
     vectors: DataFrame,
     k: int = CLUSTERS_DEFAULT,
     starts: int = KMEANS_STARTS,
     seed: int = 0,
 ) -> DataFrame:
-    """``(doc_id, vec, cluster)``. ``vectors`` are read once per pass: pass a stored table."""
-    features = _features(vectors).persist()
-    try:
-        model = _fit_best(features, k, starts, seed)
-    finally:
-        features.unpersist()
-    return (
-        model.setPredictionCol("cluster")
-        .transform(_features(vectors))
-        .select("doc_id", "vec", "cluster")
-    )
+    """``(doc_id, vec, cluster)`` by the best of ``starts`` models, all fitted in the same passes.
+
+    With fewer different vectors than ``k`` there are as many clusters as those.
+    """
+    stored = kmeans.space(vectors)
+    if stored is None:
+        return vectors.select("doc_id", "vec", F.lit(0).alias("cluster"))
+    models = kmeans.fit_models(stored, [k], starts, seed, KMEANS_ITERATIONS)
+    best = kmeans.best_of_each(models)[0]
+    return kmeans.predict(vectors, best.centres + stored.mean)
 
 
 def cluster_centroids(clustered: DataFrame) -> DataFrame:
@@ -146,23 +131,19 @@ def k_sweep(
     starts: int = KMEANS_STARTS,
     seed: int = 0,
 ) -> DataFrame:
-    """``(k, wcss, silhouette)`` for a grid of cluster numbers; one distributed fit per start."""
-    spark = vectors.sparkSession
-    features = _features(vectors).persist()
-    rows = []
-    try:
-        for k in ks:
-            if k == 1:
-                total = wcss(vectors.withColumn("cluster", F.lit(0))).first()["wcss"]
-                rows.append((1, total, None))
-                continue
-            model = _fit_best(features, k, starts, seed).setPredictionCol("cluster")
-            labelled = model.transform(features).select("doc_id", "vec", "cluster")
-            score = silhouette(labelled).first()[0]
-            rows.append((k, model.summary.trainingCost, score))
-    finally:
-        features.unpersist()
-    return spark.createDataFrame(rows, "k int, wcss double, silhouette double")
+    """``(k, wcss, silhouette)`` for a grid of cluster numbers.
+
+    All numbers and starts are fitted in the same passes over the vectors, and the
+    silhouettes of the best model of every number come from one more pass.
+    """
+    schema = "k int, wcss double, silhouette double"
+    stored = kmeans.space(vectors)
+    if stored is None:
+        return vectors.sparkSession.createDataFrame([], schema)
+    best = kmeans.best_of_each(kmeans.fit_models(stored, ks, starts, seed, KMEANS_ITERATIONS))
+    scores = kmeans.silhouettes(stored, [m for m in best if m.k > 1])
+    rows = [(m.k, m.cost, scores.get(m.k)) for m in best]  # one per k
+    return vectors.sparkSession.createDataFrame(rows, schema)
 
 
 def top_dims(centroids: DataFrame, n: int = DIMS_PER_CLUSTER) -> DataFrame:

@@ -15,7 +15,7 @@ from rostra.functions.text import (
 )
 from rostra.plans.views import SITTING_DATE
 from rostra.plans.queries import ONE_QUERY
-from rostra.schemas import SAMPLE_ROWS, SCORE_THRESHOLD
+from rostra.schemas import CLUSTERS, CLUSTERS_DEFAULT, SAMPLE_ROWS, SCORE_THRESHOLD
 
 _FROM, _TO = accent_map()
 _STOP = ", ".join(f"'{word}'" for word in STOPWORDS)
@@ -546,6 +546,7 @@ def oracle() -> dict[str, str]:
         "build_all": _with(_SPEECHES, _INDEX, _GROUPS, _KEYWORDS, _VECTORS, _PAIRS, """
           sizes AS (
             SELECT (SELECT count(*) FROM speeches) AS docs, (SELECT count(*) FROM vocab) AS terms,
+                   (SELECT least(count(*), {CLUSTERS}) FROM speeches) AS clusters,
                    (SELECT count(*) FROM postings) AS postings,
                    (SELECT count(*) FROM keywords) AS keywords,
                    (SELECT count(DISTINCT (term, doc_id // 65536)) FROM postings) AS catalog,
@@ -558,15 +559,15 @@ def oracle() -> dict[str, str]:
                    (SELECT sum(length(text)) FROM ({_PROCESSED_TEXT})) AS letters,
                    (SELECT sum(w) FROM (
                       SELECT tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY doc_id)) AS w
-                      FROM postings JOIN vocab USING (term))) AS tfidf)""".replace(
+                      FROM postings JOIN vocab USING (term))) AS tfidf)""".replace("{CLUSTERS}", str(CLUSTERS)).replace(
             "{_PROCESSED_TEXT}", f"SELECT {_joined(_words('speech'))} AS text FROM speeches"), """
           SELECT unnest(['postings', 'term_postings', 'tfidf', 'vocab', 'catalog', 'lsa_terms',
                          'processed', 'norms', 'lsa_docs', 'clusters', 'keywords',
                          'member_vectors', 'pairs', 'stats', 'cluster_terms']) AS name,
                  unnest([postings, postings, postings, terms, catalog, terms, docs, docs, docs, docs,
-                         keywords, vectors, pairs, 1, 9 * 2 * 2])::BIGINT AS n_rows,
-                 round(unnest([tf, tf, tfidf, idf, postings, terms, letters, norm, docs, 9, keyword,
-                               vector, similarity, docs + terms, 9]::DOUBLE[]), 3) AS content
+                         keywords, vectors, pairs, 1, clusters * 4])::BIGINT AS n_rows,
+                 round(unnest([tf, tf, tfidf, idf, postings, terms, letters, norm, docs, clusters, keyword,
+                               vector, similarity, docs + terms, clusters]::DOUBLE[]), 3) AS content
           FROM sizes"""),
         "fold_in_given": _latent("""
           SELECT query_id, (generate_subscripts(vec, 1) - 1)::BIGINT AS dim,
@@ -581,10 +582,19 @@ def oracle() -> dict[str, str]:
           SELECT unnest(['terms', 'docs', 'orthonormal', 'falling', 'products_wrong']) AS name,
                  unnest([(SELECT count(*) FROM vocab), (SELECT count(*) FROM speeches), 1, 1, 0]
                  )::BIGINT AS value"""),
-        "kmeans_checks": """
-          SELECT unnest(['rows', 'clusters', 'cost_falls', 'sweep_falls', 'sweep_begins_with_all',
-                         'silhouettes']) AS name,
-                 unnest([(SELECT count(*) FROM documents), 9, 1, 1, 1, 3])::BIGINT AS value""",
+        "kmeans_checks": f"""
+          SELECT unnest(['rows', 'clusters', 'cost_falls', 'labels_not_of_the_nearest_mean',
+                         'cost_as_good_as_plain']) AS name,
+                 unnest([(SELECT count(*) FROM documents), {CLUSTERS_DEFAULT}, 1, 0, 1])::BIGINT AS value""",
+        "k_sweep_checks": """
+          WITH entries AS (
+            SELECT unnest(range(len(embedding))) AS dim, unnest(embedding)::DOUBLE AS value FROM embeddings
+          )
+          SELECT unnest(['models', 'cost_of_one', 'cost_falls', 'silhouettes',
+                         'last_below_first']) AS name,
+                 round(unnest([99, (SELECT sum(spread) FROM (
+                   SELECT var_pop(value) * count(*) AS spread FROM entries GROUP BY dim)), 98, 98, 1
+                 ]::DOUBLE[]), 6) AS value""",
         "cluster_terms": _with(_VECTOR_TABLE, """
           SELECT cluster, dim_rank, term_rank, dim, term
           FROM dims JOIN terms_per_dim USING (dim)"""),

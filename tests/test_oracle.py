@@ -29,4 +29,6 @@ def test_sql_is_for_known_queries():
 
 
 def test_entry(spark):
-    assert entry(spark).count() == 400
+    hits = entry(spark)
+    assert hits.columns == ["query_id", "rank", "doc_id", "score"]
+    assert hits.select("query_id").distinct().count() == 40
