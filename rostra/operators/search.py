@@ -11,7 +11,7 @@ from rostra.functions.text import Preprocess
 from rostra.operators.index import count_of
 from rostra.runtime import fits_broadcast, heavy_terms, materialize, rank_within
 from rostra.schemas import DATE, MEMBER, PAGE_SIZE, SCORE_THRESHOLD, SPEECH
-from rostra.sources.tables import DOC_BUCKETS, TERM_BUCKETS, doc_bucket, term_bucket
+from rostra.sources.tables import DOC_BUCKETS, TERM_BUCKETS, doc_bucket, in_buckets_of, term_bucket
 
 HIT = ["query_id", "doc_id"]
 # Postings of one term that a task joins.
@@ -163,12 +163,13 @@ def fetch_documents(ranked: DataFrame, corpus: DataFrame, buckets: int = DOC_BUC
     """Name, date and speech of ranked documents, joined after ranking and cutting.
 
     A corpus stored by ``write_documents`` with so many ``buckets`` is read in the folders
-    of the ranked documents only.
+    of the ranked documents only; the folders stand in the plan as literals.
     """
     ranked = materialize(ranked, "ranked")  # the size check and the join both read it
     keys = ["doc_id"]
     if "doc_bucket" in corpus.columns:
         ranked = ranked.withColumn("doc_bucket", doc_bucket(F.col("doc_id"), buckets))
+        corpus = in_buckets_of(corpus, ranked)
         keys = ["doc_bucket", "doc_id"]
     docs = corpus.select(*keys, SPEECH, MEMBER, DATE)
     if fits_broadcast(ranked):

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 TERM_BUCKETS = 32  # the least number of term buckets
 _MOST_BUCKETS = 4096
 DOC_BUCKETS = 64  # folders of a document store, unless it is written with another number
+LISTED_IDS = 1_000  # ids that a filter names one by one
 _POSTINGS_PER_BUCKET = 5_000_000
+_DOCS_PER_BUCKET = 250_000
 _DOCS_PER_SLICE = 50_000_000
 
 
@@ -77,18 +79,47 @@ def doc_bucket(doc_id: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(buckets)).cast("int")
 
 
+def document_bucket_count(n_docs: int) -> int:
+    """Folders of about equal, moderate size."""
+    return min(max(DOC_BUCKETS, n_docs // _DOCS_PER_BUCKET), _MOST_BUCKETS)
+
+
 def write_documents(corpus: DataFrame, path: str, buckets: int = DOC_BUCKETS) -> None:
-    """The texts by document bucket, ordered by document: a fetch reads few folders."""
+    """The texts by document bucket, ordered by document: a fetch reads few folders.
+
+    The range split cuts a large bucket into several files of disjoint ids, so the least and
+    greatest ids of row groups rule out most of a folder; the Bloom filter answers for ids
+    in between.
+    """
     (
         corpus.withColumn("doc_bucket", doc_bucket(F.col("doc_id"), buckets))
-        .repartition("doc_bucket")
+        .repartitionByRange("doc_bucket", "doc_id")
         .sortWithinPartitions("doc_bucket", "doc_id")
         .write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#doc_id", "true")
         .partitionBy("doc_bucket")
         .parquet(path)
     )
 
 
+def in_buckets_of(corpus: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The part of a stored corpus that can hold the documents of ``wanted``.
+
+    ``wanted`` has ``doc_bucket`` and ``doc_id``. The driver sees the distinct bucket
+    numbers (never more than there are folders) and the least and greatest id; a list of ids
+    goes along while it is short. As literals they reach the scan in every plan, whatever
+    the join after it.
+    """
+    found = wanted.groupBy("doc_bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    rows = found.collect()
+    if not rows:
+        return corpus.limit(0)
+    part = corpus.where(F.col("doc_bucket").isin([r["doc_bucket"] for r in rows]))
+    part = part.where(F.col("doc_id").between(min(r["lo"] for r in rows), max(r["hi"] for r in rows)))
+    ids = [r["doc_id"] for r in wanted.select("doc_id").distinct().limit(LISTED_IDS + 1).collect()]
+    return part.where(F.col("doc_id").isin(ids)) if len(ids) <= LISTED_IDS else part
+
+
 def point_lookup(df: DataFrame, key: str, value) -> DataFrame:
     """Rows of one key; on a keyed table the filter reaches the Parquet reader."""
     return df.where(F.col(key) == F.lit(value))

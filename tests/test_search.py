@@ -74,17 +74,57 @@ def test_documents_are_fetched_in_rank_order(queries, plain, built, corpus):
     assert [r["member_name"] for r in rows] == ["A", "C", "B"]
 
 
+def files_read(df):
+    """Files that the scan of a collected result opened."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            node = node.executedPlan()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            total += node.metrics().apply("numFiles").value() if "speech" in node.toString() else 0
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
 def test_stored_documents_are_read_by_folder(spark, corpus, queries, plain, built, tmp_path):
     from rostra.sources.tables import write_documents
 
     path = str(tmp_path / "documents")
     write_documents(corpus, path, 16)
+    stored = spark.read.parquet(path)
     hits = search.search_hits(search.query_terms(queries, plain), built.postings, built.vocab)
-    found = search.search_results(hits, spark.read.parquet(path), buckets=16)
+    found = search.search_results(hits, stored, buckets=16)
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "doc_bucket" in filters and " IN (" in filters
     rows = found.where("query_id = 7").orderBy("rank").collect()
     assert [(r["doc_id"], r["n_results"], r["n_pages"]) for r in rows] == [(0, 3, 1), (3, 3, 1), (1, 3, 1)]
     plain_rows = search.search_results(hits, corpus).where("query_id = 7").orderBy("rank").collect()
     assert plain_rows == rows
-    assert search.search_results(hits, corpus, number=2).count() == 0
+    assert search.search_results(hits, stored, number=2, buckets=16).count() == 0
+
+
+def test_a_fetch_opens_few_files(spark, tmp_path, monkeypatch):
+    from rostra.schemas import DATE, MEMBER, PARTY, SPEECH
+    from rostra.sources import tables
+
+    path = str(tmp_path / "documents")
+    columns = [F.lit("m").alias(MEMBER), F.lit("d").alias(DATE), F.lit("p").alias(PARTY)]
+    corpus = spark.range(3000).select(F.col("id").alias("doc_id"), *columns, F.concat(F.lit("text "), "id").alias(SPEECH))
+    tables.write_documents(corpus, path, 40)
+    stored = spark.read.parquet(path)
+    for ids in ([5, 17, 2999], [], list(range(0, 3000, 7))):
+        ranked = spark.createDataFrame([(1, i, k + 1) for k, i in enumerate(ids)], "query_id long, doc_id long, rank int")
+        for listed in (1000, 0):
+            monkeypatch.setattr(tables, "LISTED_IDS", listed)
+            found = search.fetch_documents(ranked, stored, 40)
+            assert sorted(r["doc_id"] for r in found.collect()) == ids
+            assert all(r[SPEECH] == f"text {r['doc_id']}" for r in found.collect())
+            if len(ids) < 10:
+                assert files_read(search.fetch_documents(ranked, stored, 40)) <= len(ids) * 2
+    assert len(stored.inputFiles()) >= 40
