@@ -1,107 +1,247 @@
-"""Most similar pairs of entities by the cosine of their TF-IDF vectors."""
+"""Most similar pairs of entities by the cosine of their TF-IDF vectors.
+
+Entities stand in blocks, in the order of their names. Pairs of blocks, not terms, are what
+work is dealt out by: a task gets the rows of two blocks and multiplies them. For the most
+similar pairs most of these products are not computed. The greatest weight of every term in
+a block bounds the similarity of any entity with any of that block; pairs of blocks whose
+bound lies below the current n-th best similarity are left out, and a task keeps only what can be
+among the n best.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostra.functions.scores import rank_key, round2
 from rostra.runtime import dense_row_number, fits_broadcast, materialize
-from rostra.schemas import SIMILAR_PAIRS, SIMILAR_PAIRS_SHOWN
+from rostra.schemas import RANK_DECIMALS, SIMILAR_PAIRS, SIMILAR_PAIRS_SHOWN
 
-BLOCK = 256  # entities per block: a task holds BLOCK x BLOCK sums
+BLOCK = 256  # entities per block at most: a task holds BLOCK x BLOCK sums
+ENTRIES_PER_BLOCK = 4_000_000  # weights of a block and slice that a task holds, about
+FIRST_WAVE = 4  # pairs of blocks per core whose products raise the n-th best first
 _CHUNK = 2048  # terms multiplied at a time
+_PAIRS = "no_a long, no_b long, dot double"
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
+class Blocks:
+    """Entities in blocks, and the weights of every block term by term, cut into slices.
+
+    The slices cut blocks by term where one entity alone is larger than a task should hold,
+    or where few pairs of blocks would leave cores idle.
+    """
+
+    def __init__(self, vectors: DataFrame, numbers: DataFrame, size: int, slices: int):
+        self.numbers, self.size, self.slices = numbers, size, slices
+        placed = vectors.select("entity", "term", "weight").join(_small(numbers), "entity")
+        entry = F.struct((F.col("no") % size).cast("int").alias("pos"), "weight")
+        block = F.floor(F.col("no") / size).alias("block")
+        part = F.pmod(F.xxhash64("term"), F.lit(slices)).alias("slice")
+        rows = placed.groupBy(block, part, "term").agg(F.collect_list(entry).alias("entries"))
+        self.rows = materialize(rows, "packed")  # at most `size` entries in a row
+        self.count = -(-numbers.count() // size)
+
+    def most(self) -> DataFrame:
+        """The greatest weight of every term in a block, in the form of block rows."""
+        entry = F.struct((F.col("block") % BLOCK).cast("int").alias("pos"), F.array_max("entries.weight").alias("weight"))
+        group = F.floor(F.col("block") / BLOCK).alias("block")
+        return self.rows.groupBy(group, "slice", "term").agg(F.collect_list(entry).alias("entries"))
+
+    def all_pairs(self) -> DataFrame:
+        """(block_a, block_b) with block_a <= block_b; one row per pair of blocks."""
+        first = self.rows.sparkSession.range(self.count).withColumnRenamed("id", "block_a")
+        second = F.explode(F.sequence("block_a", F.lit(self.count - 1).cast("long")))
+        return first.withColumn("block_b", second)
 
 
-def _dense(rows: np.ndarray, columns: np.ndarray, weights: np.ndarray, width: int) -> np.ndarray:
-    matrix = np.zeros((BLOCK, width))
-    matrix[rows, columns] = weights
+def _products(left: DataFrame, right: DataFrame, pairs: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``run`` on the rows of both blocks of every pair and slice."""
+    keys = ["block_a", "block_b", "slice"]
+    pairs = _small(pairs.select("block_a", "block_b"))
+    a = left.withColumnRenamed("block", "block_a").join(pairs, "block_a")
+    b = right.withColumnRenamed("block", "block_b").join(pairs, "block_b")
+    b = b.select(*[F.col(c).alias(c) for c in b.columns])  # both sides may be one table
+    return a.groupBy(keys).cogroup(b.groupBy(keys)).applyInArrow(run, schema)
+
+
+def _dense(entries: pa.ListArray, size: int) -> np.ndarray:
+    """Entities x terms of some rows."""
+    lengths = np.diff(entries.offsets.to_numpy())
+    flat = entries.flatten()
+    matrix = np.zeros((size, len(entries)))
+    matrix[flat.field("pos").to_numpy(), np.repeat(np.arange(len(entries)), lengths)] = flat.field("weight").to_numpy()
     return matrix
 
 
-def _entries(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of the block, column of the batch and weight of each entry."""
-    lists = batch.column(f"entries_{side}")
-    lengths = np.diff(lists.offsets.to_numpy())
-    flat = lists.flatten()
-    rows = flat.field("pos").to_numpy()
-    weights = flat.field("weight").to_numpy()
-    return rows, np.repeat(np.arange(len(lists)), lengths), weights
+def _sums(left: pa.Table, right: pa.Table, rows: int, columns: int) -> np.ndarray:
+    """The products of all entities of two blocks over the terms that both hold."""
+    total = np.zeros((rows, columns))
+    left, right = left.combine_chunks(), right.combine_chunks()
+    if not left.num_rows or not right.num_rows:
+        return total
+    found = pc.index_in(right.column("term"), value_set=left.column("term").combine_chunks())
+    at = found.to_numpy()
+    both = np.flatnonzero(~np.isnan(at.astype(float)))
+    a, b = left.column("entries").combine_chunks(), right.column("entries").combine_chunks()
+    for start in range(0, len(both), _CHUNK):
+        part = both[start : start + _CHUNK]
+        own = a.take(pa.array(at[part].astype(np.int64)))
+        total += _dense(own, rows) @ _dense(b.take(pa.array(part)), columns).T
+    return total
 
 
-def _multiply_blocks(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the products of two blocks of entities over the terms of one slice.
+def _multiplied(size: int, keep: int | None) -> Callable:
+    """Similarities of two blocks; with ``keep`` only those that can be among so many best."""
 
-    Reads batch by batch and holds one BLOCK x BLOCK matrix. Each row brings the entries of
-    both blocks for one term.
-    """
-    block_a, block_b = key[0].as_py(), key[1].as_py()
-    total = np.zeros((BLOCK, BLOCK))
-    for whole in batches:
-        for start in range(0, whole.num_rows, _CHUNK):
-            batch = whole.slice(start, _CHUNK)
-            left = _dense(*_entries(batch, "a"), batch.num_rows)
-            right = _dense(*_entries(batch, "b"), batch.num_rows)
-            total += left @ right.T
-    if block_a == block_b:
-        total = np.triu(total, 1)
-    rows, columns = np.nonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(rows + block_a * BLOCK, pa.int64()),
-            pa.array(columns + block_b * BLOCK, pa.int64()),
-            pa.array(total[rows, columns]),
-        ],
-        names=["no_a", "no_b", "dot"],
-    )
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        block_a, block_b = key[0].as_py(), key[1].as_py()
+        total = _sums(left, right, size, size)
+        if block_a == block_b:
+            total = np.triu(total, 1)
+        rows, columns = np.nonzero(total)
+        values = total[rows, columns]
+        if keep is not None and len(values) > keep:
+            # in the order of the ranking: rounded similarity, then the entities
+            best = np.lexsort((columns, rows, -np.round(values, RANK_DECIMALS)))[:keep]
+            rows, columns, values = rows[best], columns[best], values[best]
+        return pa.table(
+            {
+                "no_a": pa.array(rows + block_a * size, pa.int64()),
+                "no_b": pa.array(columns + block_b * size, pa.int64()),
+                "dot": pa.array(values),
+            }
+        )
+
+    return run
+
+
+def _bounded(size: int) -> Callable:
+    """Per block of a group of blocks: the greatest product of its maxima with an entity."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        most = _sums(left, right, size, BLOCK).max(axis=0)
+        found = np.flatnonzero(most)
+        return pa.table(
+            {
+                "block": pa.array(np.full(len(found), key[0].as_py(), np.int64)),
+                "other": pa.array(found + key[1].as_py() * BLOCK, pa.int64()),
+                "bound": pa.array(most[found]),
+            }
+        )
 
+    return run
 
-def _packed_columns(vectors: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``(block, term, entries)``: a term's weights within one block, at most BLOCK of them."""
-    numbers = F.broadcast(numbers) if fits_broadcast(numbers) else numbers
-    placed = vectors.select("entity", "term", "weight").join(numbers, "entity")
-    entry = F.struct((F.col("no") % BLOCK).alias("pos"), "weight")
-    block = F.floor(F.col("no") / BLOCK).alias("block")
-    return placed.groupBy(block, "term").agg(F.collect_list(entry).alias("entries"))
+
+def _numbered(vectors: DataFrame) -> DataFrame:
+    """(entity, no) in the order of the names, so no_a < no_b means entity_a < entity_b."""
+    names = vectors.select("entity").distinct()
+    return materialize(dense_row_number(names, "no", [F.col("entity")]), "entities")
+
+
+def _blocks(vectors: DataFrame, one_slice: bool) -> Blocks:
+    numbers = _numbered(vectors)
+    counts = vectors.groupBy("entity").agg(F.count("*").alias("n"))
+    widest = counts.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+    size = min(BLOCK, max(1, ENTRIES_PER_BLOCK // widest))
+    slices = -(-widest // ENTRIES_PER_BLOCK)
+    if not one_slice:
+        count = max(-(-numbers.count() // size), 1)
+        cores = vectors.sparkSession.sparkContext.defaultParallelism
+        slices = max(slices, -(-2 * cores // (count * (count + 1) // 2)))
+    return Blocks(vectors, numbers, size, slices)
+
+
+def _similarities(blocks: Blocks, pairs: DataFrame, keep: int | None = None) -> DataFrame:
+    """(no_a, no_b, similarity) of the pairs of entities of some pairs of blocks."""
+    keep = keep if blocks.slices == 1 else None  # parts of a sum cannot be ranked
+    found = _products(blocks.rows, blocks.rows, pairs, _multiplied(blocks.size, keep), _PAIRS)
+    if blocks.slices == 1:
+        return found.withColumnRenamed("dot", "similarity")
+    return found.groupBy("no_a", "no_b").agg(F.sum("dot").alias("similarity"))
 
 
 def entity_similarities(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cosines of all pairs of entities that share a term, and the entity numbers.
 
-    ``vectors`` holds unit vectors ``(entity, term, weight)``. The product of the matrix
-    with its transpose is computed in blocks of entities: a term joins blocks, never single
-    pairs, and the sums of a pair of blocks are added up inside a task. Returns
+    ``vectors`` holds unit vectors ``(entity, term, weight)``. Returns
     ``(no_a, no_b, similarity)`` with ``no_a < no_b``, and ``(entity, no)``.
     """
-    # Numbers follow the order of the names, so no_a < no_b means entity_a < entity_b.
-    names = vectors.select("entity").distinct()
-    numbers = materialize(dense_row_number(names, "no", [F.col("entity")]), "entities")
-    packed = materialize(_packed_columns(vectors, numbers), "packed")
-    n_blocks = -(-numbers.count() // BLOCK)
-    # Few pairs of blocks are cut further by term, so that all cores have work.
-    n_pairs = n_blocks * (n_blocks + 1) // 2
-    slices = -(-2 * vectors.sparkSession.sparkContext.defaultParallelism // n_pairs)
-    left = packed.select("term", F.col("block").alias("block_a"), F.col("entries").alias("entries_a"))
-    right = packed.select("term", F.col("block").alias("block_b"), F.col("entries").alias("entries_b"))
-    joined = left.join(right, "term").where(F.col("block_a") <= F.col("block_b"))
-    term_slice = F.pmod(F.xxhash64("term"), F.lit(slices)).alias("slice")
-    sums = (
-        joined.select("block_a", "block_b", term_slice, "entries_a", "entries_b")
-        .groupBy("block_a", "block_b", "slice")
-        .applyInArrow(_multiply_blocks, "no_a long, no_b long, dot double")
-    )
-    pairs = sums.groupBy("no_a", "no_b").agg(F.sum("dot").alias("similarity"))
-    return pairs, numbers
+    blocks = _blocks(vectors, one_slice=False)
+    return _similarities(blocks, blocks.all_pairs()), blocks.numbers
+
+
+def block_bounds(blocks: Blocks) -> DataFrame:
+    """(block_a, block_b, bound) for block_a < block_b: no similarity between them is above.
+
+    The blocks' maxima are multiplied with the entities, for 1/BLOCK of the cost of all
+    products; the lower of both directions counts. Slices add up.
+    """
+    spark, group = blocks.rows.sparkSession, -(-blocks.count // BLOCK)
+    pairs = spark.range(blocks.count).withColumnRenamed("id", "block_a")
+    pairs = pairs.withColumn("block_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(group - 1).cast("long"))))
+    most = materialize(blocks.most(), "block-maxima")
+    found = _products(blocks.rows, most, pairs, _bounded(blocks.size), "block long, other long, bound double")
+    one_way = found.groupBy("block", "other").agg(F.sum("bound").alias("bound")).where("block <> other")
+    # no row means a bound of 0: then the other direction has none either
+    return one_way.groupBy(
+        F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b")
+    ).agg(F.min("bound").alias("bound"))
+
+
+def _best(pairs: DataFrame, n: int, name: str) -> DataFrame:
+    order = [F.desc(rank_key(F.col("similarity"))), F.asc("no_a"), F.asc("no_b")]
+    return materialize(pairs.orderBy(*order).limit(n), name)
+
+
+def _least(best: DataFrame, n: int) -> float:
+    """The n-th best similarity; minus infinity while there are fewer."""
+    row = best.agg(F.count("*").alias("n"), F.min("similarity").alias("least")).first()
+    return row["least"] if row["n"] >= n else float("-inf")
+
+
+def best_pairs(vectors: DataFrame, n_pairs: int) -> tuple[DataFrame, DataFrame, int]:
+    """The ``n_pairs`` most similar pairs, the entity numbers, and how many pairs of blocks
+    were multiplied.
+
+    Blocks with themselves come first, then the pairs of blocks of the greatest bounds, then
+    the others whose bound still reaches the n-th best.
+    """
+    blocks = _blocks(vectors, one_slice=True)
+    spark = vectors.sparkSession
+    own = spark.range(blocks.count).select(F.col("id").alias("block_a"), F.col("id").alias("block_b"))
+    best = _best(_similarities(blocks, own, n_pairs), n_pairs, "best-pairs")
+    multiplied = blocks.count
+    if blocks.count > 1:
+        bounds = materialize(block_bounds(blocks), "block-bounds")
+        first = FIRST_WAVE * spark.sparkContext.defaultParallelism
+        slack = 10.0**-RANK_DECIMALS  # similarities that close count as equal
+        order = [F.desc("bound"), F.asc("block_a"), F.asc("block_b")]
+        open_pairs = bounds
+        for wave in (first, None):
+            reach = open_pairs.where(F.col("bound") >= _least(best, n_pairs) - slack)
+            now = materialize(reach.orderBy(*order).limit(wave) if wave else reach, "block-pairs")
+            count = now.count()
+            if not count:
+                break
+            multiplied += count
+            found = _similarities(blocks, now, n_pairs)
+            best = _best(best.unionByName(found), n_pairs, "best-pairs")
+            open_pairs = reach.join(now.select("block_a", "block_b"), ["block_a", "block_b"], "left_anti")
+    return best, blocks.numbers, multiplied
 
 
 def similar_entities(vectors: DataFrame, n_pairs: int = SIMILAR_PAIRS) -> DataFrame:
     """The ``n_pairs`` most similar pairs, similarity rounded to two places."""
-    pairs, numbers = entity_similarities(vectors)
-    best = pairs.orderBy(F.desc(rank_key(F.col("similarity"))), "no_a", "no_b").limit(n_pairs)
+    best, numbers, _ = best_pairs(vectors, n_pairs)
     # n_pairs rows at most
     return (
         numbers.select(F.col("entity").alias("entity_b"), F.col("no").alias("no_b"))

@@ -91,3 +91,59 @@ def test_hot_entity_and_hot_term_pairs_match_brute_force(spark):
     worst = max(abs(expected[names[r["no_a"]], names[r["no_b"]]] - r["similarity"]) for r in got)
     assert worst < 1e-12
     assert all(names[r["no_a"]] < names[r["no_b"]] for r in got)
+
+
+def unit_rows(matrix):
+    import numpy as np
+
+    matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    n, terms = matrix.shape
+    rows = [
+        (f"e{i:04d}", f"t{j}", float(matrix[i, j]))
+        for i in range(n) for j in range(terms) if matrix[i, j]
+    ]
+    return matrix, rows
+
+
+@pytest.mark.parametrize("entries", [4_000_000, 500, 30])
+def test_best_pairs_by_bounds(spark, monkeypatch, entries):
+    """Topics in the order of names, a term in all entities: most pairs of blocks are left out."""
+    import numpy as np
+
+    monkeypatch.setattr(pairs, "BLOCK", 32)
+    monkeypatch.setattr(pairs, "ENTRIES_PER_BLOCK", entries)
+    monkeypatch.setattr(pairs, "FIRST_WAVE", 1)
+    rng = np.random.default_rng(entries)
+    n, topics = 300, 15
+    matrix = np.zeros((n, topics * 8 + 1))
+    for i in range(n):
+        topic = i * topics // n
+        matrix[i, topic * 8 : topic * 8 + 8] = rng.random(8)
+    matrix[:, -1] = 0.1
+    matrix[170] = rng.random(matrix.shape[1])  # an entity with all terms
+    matrix[250] = matrix[20]  # equal entities in far blocks
+    matrix[251] = matrix[20]
+    matrix, rows = unit_rows(matrix)
+    vectors = spark.createDataFrame(rows, "entity string, term string, weight double").repartition(3)
+    best, numbers, multiplied = pairs.best_pairs(vectors, 10)
+    found = sorted((-round(r["similarity"], 9), r["no_a"], r["no_b"]) for r in best.collect())
+    dots = matrix @ matrix.T
+    expected = sorted((-round(dots[i, j], 9), i, j) for i in range(n) for j in range(i + 1, n))[:10]
+    assert [f[1:] for f in found] == [e[1:] for e in expected]
+    assert [f[0] for f in found] == pytest.approx([e[0] for e in expected])
+    assert numbers.count() == n
+    if entries == 4_000_000:  # ten blocks of 32
+        assert multiplied < 40 < 55
+    if entries == 500:  # blocks of four
+        assert multiplied < 1500 < 75 * 76 // 2
+
+
+def test_products_are_dealt_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 2)
+    rows = [(f"e{i}", f"t{j}", 0.5) for i in range(7) for j in range(4)]
+    vectors = spark.createDataFrame(rows, "entity string, term string, weight double")
+    found, _ = pairs.entity_similarities(vectors)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "(term#" not in "".join(line for line in plan.splitlines() if "Join" in line)
+    assert found.count() == 21 and found.where("abs(similarity - 1) < 1e-9").count() == 21
+    assert pairs.similar_entities(vectors.limit(0)).count() == 0
