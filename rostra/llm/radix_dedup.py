@@ -9,9 +9,12 @@ A round shuffles one digit per text of the groups still open, counted on the map
 group of copies of any size is therefore one row per task. The rows of a group meet its
 name by a join whose other side has one row per group (AQE can split a hot group there).
 
-Defined cases: null texts count as empty; empty texts are equal to each other. A null id
-is never the smallest. Rows that repeat an id with an equal text are one document, given
-once, and count in ``group_size`` as rows. An id with several texts is one document each.
+Defined cases: null texts count as empty; empty texts are equal to each other; very long
+texts take more rounds of wider digits. A null id is never the smallest: where a group has
+no id at all, its rows cannot be told apart and all count as kept in the list, while
+``drop_exact_copies`` lets one of them stay. Rows that repeat an id with an equal text are
+listed each, and one stays. An id with several texts is one document each. An empty table
+gives no row; other columns may have any name and pass through.
 """
 
 from __future__ import annotations
@@ -19,11 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import forget, small, temporary, whole_text, written
+from rostra.llm.common import forget, temporary, whole_text, written
 
 FIRST_DIGIT = 64
 GROWTH = 8
 LARGEST_DIGIT = 1 << 20
+PREFILTER_BYTES = 32 << 20
+# Columns that no table of documents has.
+_ID, _SHA, _MARK = "\u2020id", "\u2020sha", "\u2020mark"
+MEMBER = ["id", "sha", "keep_id", "group_size"]
 
 
 def normalise(text: Column) -> Column:
@@ -38,43 +45,54 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def _open(active: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows that can belong to a group of several, by a hash of their digit.
+
+    Sixteen bytes a group go to the tasks while they fit; the exact join follows either way,
+    and beyond that size it takes all rows.
+    """
+    mark = F.xxhash64("gid", "digit")
+    if groups.count() * 16 > PREFILTER_BYTES:
+        return active
+    marks = groups.select(mark.alias("_mark")).distinct()
+    marked = active.withColumn("_mark", mark)
+    return marked.join(F.broadcast(marks), "_mark", "left_semi").drop("_mark")
+
+
 def duplicate_members(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", first_digit: int = FIRST_DIGIT
 ) -> DataFrame:
     """(id, sha, keep_id, group_size) of every row whose text another row has too.
 
-    ``sha`` only says which row is meant where ids repeat.
+    ``sha`` only says which row is meant where ids repeat. Rows that are alone in their group
+    leave before any join carries their text; the text that is left to compare is stored once
+    a round, and the round before is deleted.
     """
     active = _keyed(docs, doc_id, text).withColumn("gid", F.lit(0).cast("long"))
-    width, ended, more = first_digit, [], True
-    while more:
-        digit = F.substring("rest", 1, width)
+    width, ended, before = first_digit, [], None
+    while True:
+        digits = active.withColumn("digit", F.substring("rest", 1, width))
         groups = written(
-            active.groupBy("gid", digit.alias("digit"))
+            digits.groupBy("gid", "digit")
             .agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
             .filter("group_size > 1")
             .withColumn("next", F.monotonically_increasing_id()),
             "radix-groups",
         )
-        split = written(
-            active.withColumn("digit", digit)
-            .join(small(groups), ["gid", "digit"])
-            .select(
-                "id",
-                "sha",
-                "keep_id",
-                "group_size",
-                F.col("next").alias("gid"),
-                (F.length("digit") < width).alias("ended"),
-                F.expr(f"substring(rest, {width + 1})").alias("rest"),
-            ),
-            "radix-split",
-        )
         more = not groups.filter(F.length("digit") == width).isEmpty()
+        found = _open(digits, groups).join(groups.hint("merge"), ["gid", "digit"])
+        over = F.length("digit") < width
+        ended.append(written(found.filter(over).select(*MEMBER), "radix-ended"))
+        if more:
+            rest = F.expr(f"substring(rest, {width + 1})").alias("rest")
+            split = found.filter(~over).select("id", "sha", F.col("next").alias("gid"), rest)
+            active = written(split, "radix-split")
         forget(groups)
-        ended.append(split.filter("ended").select("id", "sha", "keep_id", "group_size"))
-        active = split.filter("NOT ended").select("id", "sha", "gid", "rest")
-        width = min(width * GROWTH, LARGEST_DIGIT)
+        if before is not None:
+            forget(before)
+        if not more:
+            break
+        before, width = active, min(width * GROWTH, LARGEST_DIGIT)
     members = ended[0]
     for part in ended[1:]:
         members = members.unionByName(part)
@@ -82,20 +100,16 @@ def duplicate_members(
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document with the one of its equals that stays.
+    """Every row with the one of its equals that stays.
 
     doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text in UTF-8).
     """
-    none = F.lit(None)
-    every = _keyed(docs, doc_id, text).select(
-        "id", "sha", none.cast("long").alias("keep_id"), none.cast("long").alias("group_size")
-    )
-    rows = every.unionByName(duplicate_members(docs, doc_id, text))
-    one = rows.groupBy("id", "sha").agg(
+    every = _keyed(docs, doc_id, text).select("id", "sha")
+    groups = duplicate_members(docs, doc_id, text).groupBy("sha").agg(
         F.max("group_size").alias("group_size"), F.max("keep_id").alias("keep_id")
     )
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
-    return one.select(
+    return every.join(groups.hint("merge"), "sha", "left").select(
         F.col("id").alias("doc_id"),
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -112,16 +126,23 @@ def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     same = members.groupBy("id", "sha").count().filter("count > 1").select("id", "sha")
     body = F.sha2(normalise(whole_text(text)), 256)
 
-    def anti(rows: DataFrame, gone: DataFrame, how: str) -> DataFrame:
-        gone = small(gone.withColumnsRenamed({"id": "_gone_id", "sha": "_gone_sha"}))
-        on = rows[doc_id].eqNullSafe(gone["_gone_id"]) & (body == gone["_gone_sha"])
-        return rows.join(gone, on, how)
-
-    kept = anti(docs, out, "left_anti")
+    def exactly(rows: DataFrame, listed: DataFrame, how: str) -> DataFrame:
+        listed = listed.withColumnsRenamed({"id": _ID, "sha": _SHA})
+        on = rows[doc_id].eqNullSafe(listed[_ID]) & (body == listed[_SHA])
+        return rows.join(listed.hint("merge"), on, how)
+
+    def without(rows: DataFrame, listed: DataFrame) -> DataFrame:
+        """Rows that are not listed; those with another hash never meet the exact join."""
+        if listed.count() * 16 > PREFILTER_BYTES:
+            return exactly(rows, listed, "left_anti")
+        marks = listed.select(F.xxhash64("id", "sha").alias(_MARK)).distinct()
+        on = F.xxhash64(rows[doc_id], body) == marks[_MARK]
+        clear = rows.join(F.broadcast(marks), on, "left_anti")
+        return clear.unionByName(exactly(rows.join(F.broadcast(marks), on, "left_semi"), listed, "left_anti"))
+
+    kept = without(docs, out)
     if same.isEmpty():
         return kept
-    # Rows that repeat an id and its text: one of them stays.
-    once = anti(kept, same, "left_semi").withColumn("_sha", body)
-    return anti(kept, same, "left_anti").unionByName(
-        once.dropDuplicates([doc_id, "_sha"]).drop("_sha")
-    )
+    # Rows that repeat an id and its text, or have none: one of them stays.
+    once = exactly(kept, same, "left_semi").withColumn(_SHA, body)
+    return without(kept, same).unionByName(once.dropDuplicates([doc_id, _SHA]).drop(_SHA))
