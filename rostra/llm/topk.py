@@ -14,7 +14,9 @@ Queries go to the tasks in batches of ``QUERY_BYTES``, in as many passes as ther
 Defined cases: null vectors and those with null or non-finite components take no part, nor
 do empty ones; vectors are compared with those of their length; a query's candidates are all
 rows with another id; equal scores rank by the smaller id; a null id takes no part; rows
-that repeat an id and a vector count once.
+that repeat an id and a vector count once; vectors of any length are read whole; an empty
+table, of queries or of candidates, gives no row; only ``vec_id`` and ``embedding`` are read,
+so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ SCALE = 256
 SEGMENT = 4096
 QUERY_BYTES = 8 << 20
 QUERIES_AT_ONCE = 256
-# Parts of the lists that are read before bounds are compared.
-DEPTHS = (0.25, 0.6)
+# Steps in which the lists are read; bounds are compared after each.
+STEPS = 16
 
 
 def integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -75,38 +77,47 @@ class Segment:
 
     def candidates(
         self, queries: np.ndarray, own_ids: np.ndarray, k: int, least: np.ndarray
-    ) -> list[np.ndarray | None]:
-        """Per query the rows that may be among the k best; None: bounds leave too many.
+    ) -> tuple[list[np.ndarray], np.ndarray]:
+        """Per query the rows that may be among the k best, and the part of the lists read.
 
         ``least`` is a score that k others have already. All queries read their lists in the
-        same steps, so the bounds of a step are products of two matrices: components read
-        count as they are, others as the list's worst value or as the last value read.
+        same steps, so what a step adds is a product of two matrices: ``seen`` holds the sums
+        over the components read; unread ones count as the list's worst value or as the last
+        value read. A query is done when few rows can still qualify, or when its lists are at
+        their end; rows that qualify for no query any more are not looked at again.
         """
         n = len(self.ids)
-        rises, falls = np.minimum(queries, 0), np.maximum(queries, 0)
-        found: list[np.ndarray | None] = [None] * len(queries)
-        todo = np.arange(len(queries))
-        for depth in DEPTHS:
-            upto = int(n * depth)
-            if not upto or not len(todo):
-                continue
-            top, bottom = self.rank >= n - upto, self.rank < upto
-            low = falls[todo] @ np.where(top, self.real, self.sorted[0]).T
-            low += rises[todo] @ np.where(bottom, self.real, self.sorted[-1]).T
-            high = falls[todo] @ np.where(top, self.real, self.sorted[n - upto]).T
-            high += rises[todo] @ np.where(bottom, self.real, self.sorted[upto - 1]).T
-            own = self.ids[None, :] == own_ids[todo, None]
+        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
+        depths = np.ones(len(queries))
+        todo, rows = np.arange(len(queries)), np.arange(n)
+        bound, seen, read = least.copy(), np.zeros((len(queries), n)), 0
+        for step in range(1, STEPS + 1):
+            upto = -(-n * step // STEPS)
+            falls, rises = np.maximum(queries[todo], 0), np.minimum(queries[todo], 0)
+            real, rank = self.real[rows], self.rank[rows]
+            top, bottom = rank >= n - upto, rank < upto
+            seen += falls @ np.where(top & (rank < n - read), real, 0).T
+            seen += rises @ np.where(bottom & (rank >= read), real, 0).T
+            low = seen + falls @ np.where(top, 0, self.sorted[0]).T
+            low += rises @ np.where(bottom, 0, self.sorted[-1]).T
+            high = seen + falls @ np.where(top, 0, self.sorted[n - upto]).T
+            high += rises @ np.where(bottom, 0, self.sorted[upto - 1]).T
+            own = self.ids[None, rows] == own_ids[todo, None]
             low[own], high[own] = -np.inf, -np.inf
-            bound = least[todo]
-            if n > k:
-                bound = np.maximum(bound, np.partition(low, n - k, axis=1)[:, n - k])
-            close = high >= (bound - 1e-6 * (1 + np.abs(bound)))[:, None]
-            close &= ~own
-            few = close.sum(1) <= max(4 * k, n // 32)
-            for at in np.flatnonzero(few):
-                found[todo[at]] = np.flatnonzero(close[at])
-            todo = todo[~few]
-        return found
+            if len(rows) >= k:
+                kth = np.partition(low, len(rows) - k, axis=1)[:, len(rows) - k]
+                bound[todo] = np.maximum(bound[todo], kth)
+            slack = 1e-6 * (1 + np.abs(np.where(np.isfinite(bound[todo]), bound[todo], 0)))
+            close = (high >= (bound[todo] - slack)[:, None]) & ~own
+            done = (close.sum(1) <= 4 * k) | (upto == n)
+            for at in np.flatnonzero(done):
+                found[todo[at]], depths[todo[at]] = rows[close[at]], upto / n
+            todo, read = todo[~done], upto
+            if not len(todo):
+                break
+            left = close[~done].any(0)
+            seen, rows = seen[~done][:, left], rows[left]
+        return found, depths
 
 
 def _search(queries: list[tuple[int, int, bytes]], k: int):
@@ -126,15 +137,9 @@ def _search(queries: list[tuple[int, int, bytes]], k: int):
                 queries = np.array([query for _, query in part])
                 known = [sorted(top[dims, begin + i]) for i in range(len(part))]
                 least = np.array([-t[k - 1][0] if len(t) >= k else -np.inf for t in known])
-                found = segment.candidates(queries.astype(float), own, k, least)
-                open_ = [i for i, rows in enumerate(found) if rows is None]
-                whole = dict(zip(open_, segment.scores(slice(None), queries[open_]).T))
+                found, _ = segment.candidates(queries.astype(float), own, k, least)
                 for i, rows in enumerate(found):
-                    if rows is None:
-                        rows, scores = np.flatnonzero(segment.ids != own[i]), whole[i]
-                        scores = scores[rows]
-                    else:
-                        scores = segment.scores(rows, queries[i])
+                    scores = segment.scores(rows, queries[i])
                     if len(rows) > k:  # ties with the k-th stay: ids decide
                         keep = scores >= np.partition(scores, -k)[-k]
                         rows, scores = rows[keep], scores[keep]

@@ -49,3 +49,29 @@ def test_several_passes_and_empty(spark, monkeypatch):
     assert {tuple(r) for r in found.collect()} == brute(rows)
     assert top_k(vectors.limit(0), vectors).count() == 0
     assert top_k(vectors.filter("vec_id % 50 = 0"), vectors.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("dims,spread", [(3, 0.05), (16, 0.3), (64, 1.0)])
+def test_bounds_close_without_whole_products(dims, spread):
+    """Nothing is computed for rows outside: the rows left open are few, and hold the best."""
+    rng = np.random.default_rng(dims)
+    centres = rng.normal(size=(20, dims))
+    vectors = np.floor(256 * (centres[np.arange(3000) % 20] + spread * rng.normal(size=(3000, dims)))).astype(np.int64)
+    ids = rng.permutation(3000).astype(np.int64)
+    segment = topk.Segment(ids, vectors)
+    queries, own = vectors[:60].astype(float), ids[:60]
+    found, depths = segment.candidates(queries, own, 5, np.full(60, -np.inf))
+    for i, rows in enumerate(found):
+        scores = segment.vectors @ queries[i].astype(np.int64)
+        scores[segment.ids == own[i]] = np.iinfo(np.int64).min
+        assert set(np.flatnonzero(scores > np.sort(scores)[-5])) <= set(rows.tolist())
+        assert len(rows) <= 20 and 5 <= len(rows)
+    assert depths.max() <= 1 and (depths.mean() < 0.7 or dims == 64)
+
+
+def test_clashing_columns(spark):
+    rows = [(i, [0.1 * i, -0.2], "x", 5, 1.0) for i in range(120)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>, vec string, dims int, score double")
+    vectors = integers(docs)
+    found = top_k(vectors.filter("vec_id % 50 = 0"), vectors)
+    assert {tuple(r) for r in found.collect()} == brute([r[:2] for r in rows])
