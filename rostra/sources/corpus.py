@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -80,47 +84,66 @@ def corpus_scan_quoted(spark: SparkSession, path: str, n_columns: int = 11) -> D
 def assign_doc_id(df: DataFrame) -> DataFrame:
     """Number the rows of a file scan from 0 in file order, densely.
 
-    Reads no row twice and sorts none: each split keeps its own row order, and only the
-    number of rows in the splits before it is added.
+    A first pass only counts the rows of every input split; the second adds to each row's
+    place in its split the rows of the splits before it. Nothing but counts is stored, and no row is
+    sorted or shuffled.
     """
     numbered = _number_lines(df).withColumnRenamed("_position", "doc_id")
     return numbered.select("doc_id", *df.columns)
 
 
+def _in_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their place in their split, however a task's splits were put together."""
+    split, seen = None, 0
+    for batch in batches:
+        place = np.zeros(batch.num_rows, np.int64)
+        if batch.num_rows:
+            files = batch.column("_file").dictionary_encode().indices.to_numpy()
+            blocks = batch.column("_block").to_numpy()
+            new = np.flatnonzero((np.diff(files) != 0) | (np.diff(blocks) != 0)) + 1
+            for first, end in zip([0, *new], [*new, batch.num_rows]):
+                own = (batch.column("_file")[int(first)].as_py(), int(blocks[first]))
+                seen = seen if own == split else 0
+                place[first:end] = np.arange(seen, seen + end - first)
+                split, seen = own, seen + int(end - first)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(place)], names=[*batch.schema.names, "_in_split"]
+        )
+
+
 def _number_lines(df: DataFrame) -> DataFrame:
-    """Add ``_position`` (over all files), ``_line`` (within the file) and ``_file_no`` (from 1)."""
-    rows = materialize(
-        df.select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-        ),
-        "lines",
+    """Add ``_position`` (over all files), ``_line`` (within the file) and ``_file_no`` (from 1).
+
+    A split that the second pass cuts where the first did not has no offset and ends the
+    job: numbers are right or missing, never wrong.
+    """
+    tagged = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
     )
     # One row per input split, whatever the number of lines.
-    splits = rows.groupBy("_file", "_block").agg(
-        F.min("_row").alias("_first"), F.count("*").alias("_n")
-    )
+    splits = materialize(tagged.groupBy("_file", "_block").agg(F.count("*").alias("_n")), "splits")
     by_file = Window.partitionBy("_file").orderBy("_block")
     overall = Window.orderBy("_file", "_block")
     earlier = (Window.unboundedPreceding, -1)
     offsets = splits.select(
         "_file",
         "_block",
-        "_first",
         F.coalesce(F.sum("_n").over(overall.rowsBetween(*earlier)), F.lit(0)).alias("_before"),
         F.coalesce(F.sum("_n").over(by_file.rowsBetween(*earlier)), F.lit(0)).alias("_in_file"),
         F.dense_rank().over(Window.orderBy("_file")).cast("long").alias("_file_no"),
     )
     if fits_broadcast(offsets):
         offsets = F.broadcast(offsets)
-    in_split = F.col("_row") - F.col("_first")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tagged.schema.fields)
+    rows = tagged.mapInArrow(_in_split, f"{kinds}, _in_split long")
+    known = F.when(F.col("_before").isNull(), F.raise_error(F.lit("the input changed while it was numbered")))
     return (
-        rows.join(offsets, ["_file", "_block"])
-        .withColumn("_position", F.col("_before") + in_split)
-        .withColumn("_line", F.col("_in_file") + in_split)
-        .drop("_file", "_block", "_row", "_first", "_before", "_in_file")
+        rows.join(offsets, ["_file", "_block"], "left")
+        .withColumn("_position", known.otherwise(F.col("_before") + F.col("_in_split")).cast("long"))
+        .withColumn("_line", F.col("_in_file") + F.col("_in_split"))
+        .drop("_file", "_block", "_in_split", "_before", "_in_file")
     )
 
 

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from rostra.runtime import materialize
 from rostra.sources import corpus as sources
 from rostra.sources import tables
 
@@ -35,6 +36,40 @@ def test_ids_over_many_splits(spark, tmp_path):
     assert [(r["doc_id"], r["speech"]) for r in rows] == [(i, f"speech {i}") for i in range(2000)]
 
 
+def test_only_counts_are_stored(spark, tmp_path, monkeypatch):
+    lines = [f"A,01/01/1990,P,speech {i}" for i in range(300)]
+    write(tmp_path, "a.csv", lines[:150] + ["", "   ", ""] + lines[150:])
+    stored = []
+    monkeypatch.setattr(
+        sources, "materialize", lambda df, name: stored.append(materialize(df, name)) or stored[-1]
+    )
+    scan = sources.corpus_scan(spark, str(tmp_path), 4).where("speech IS NOT NULL")
+    rows = sources.assign_doc_id(sources.corpus_scan(spark, str(tmp_path), 4))
+    found = [r["speech"] for r in rows.orderBy("doc_id").collect()]
+    assert [f for f in found if f and f.strip()] == [f"speech {i}" for i in range(300)]
+    assert [r["doc_id"] for r in rows.orderBy("doc_id").collect()] == list(range(len(found)))
+    assert [df.columns for df in stored] == [["_file", "_block", "_n"]] and scan.count() == 300
+
+
+def test_other_splits_in_the_second_pass(spark, tmp_path):
+    """Larger splits number alike; smaller ones end the job."""
+    write(tmp_path, "a.csv", [f"A,01/01/1990,P,speech {i}" for i in range(2000)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        rows = sources.assign_doc_id(sources.corpus_scan(spark, str(tmp_path), 4))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [r["doc_id"] for r in rows.orderBy("doc_id").collect()] == list(range(2000))
+        rows = sources.assign_doc_id(sources.corpus_scan(spark, str(tmp_path), 4))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+        try:
+            assert [r["doc_id"] for r in rows.orderBy("doc_id").collect()] == list(range(2000))
+        except Exception as error:
+            assert "changed while it was numbered" in str(error)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_quotes_are_kept_on_request(spark, tmp_path):
     write(tmp_path, "a.csv", ['A,01/01/1990,P,"one, two"', 'B,02/01/1990,"Q, R",three  '])
     write(tmp_path, "b.csv", ["C,03/01/1990,P,four"])
