@@ -21,7 +21,10 @@ from rostra.schemas import SCORE_THRESHOLD, SVD_COMPONENTS, SVD_KEPT
 
 OVERSAMPLES = 10
 POWER_ITERATIONS = 5
-DOCS_PER_BLOCK = 2_000
+DOCS_PER_BLOCK = 2_000  # at most; fewer where their terms would pass BLOCK_BYTES
+BLOCK_BYTES = 64 * 1024 * 1024  # basis rows of the distinct terms of a block
+SETTLED = 1e-4  # singular values that change less, against the greatest, end the iteration
+WIRE = np.float32  # numbers of the basis between steps; sums are taken in doubles
 _ENTRIES_PER_STEP = 16_384  # entries multiplied at a time: bounds the memory of a product
 _ROWS_PER_BUCKET = 100_000  # vectors summed in one task
 _BLOCKS_PER_SUM = 256  # rows of one term that a task sums, about
@@ -47,23 +50,25 @@ def _lists(matrix: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix).ravel()))
 
 
-def _unpack(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    """A column of packed doubles as a matrix, without copying the numbers one by one."""
+def _unpack(column: pa.ChunkedArray | pa.Array, width: int, kind: type = np.float64) -> np.ndarray:
+    """A column of packed numbers as a matrix of doubles, without a step per number."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    data = column.buffers()[2]
+    data, size = column.buffers()[2], np.dtype(kind).itemsize
     if not len(column) or data is None:
         return np.zeros((0, width))
     numbers = np.frombuffer(data, np.uint8)
-    start = column.offset * width * 8
-    return numbers[start : start + len(column) * width * 8].view(np.float64).reshape(-1, width)
+    start = column.offset * width * size
+    packed = numbers[start : start + len(column) * width * size].view(kind).reshape(-1, width)
+    return packed.astype(np.float64, copy=False)
 
 
-def _pack(matrix: np.ndarray) -> pa.Array:
+def _pack(matrix: np.ndarray, kind: type = np.float64) -> pa.Array:
     """Rows of a matrix as binary values: Spark moves each as one block of bytes."""
     rows, width = matrix.shape
-    offsets = pa.py_buffer(np.arange(0, (rows + 1) * width * 8, width * 8, dtype=np.int32))
-    data = pa.py_buffer(np.ascontiguousarray(matrix, np.float64))
+    size = np.dtype(kind).itemsize
+    offsets = pa.py_buffer(np.arange(0, (rows + 1) * width * size, width * size, dtype=np.int32))
+    data = pa.py_buffer(np.ascontiguousarray(matrix, kind))
     return pa.Array.from_buffers(pa.binary(), rows, [None, offsets, data])
 
 
@@ -117,7 +122,7 @@ def _start(term_ids: np.ndarray, width: int, seed: int) -> np.ndarray:
 def _basis_rows(terms: pa.Table, mix: np.ndarray | None, width: int, seed: int) -> np.ndarray:
     if mix is None:
         return _start(terms.column("term_id").to_numpy(), width, seed)
-    return _unpack(terms.column("vec"), mix.shape[0]) @ mix
+    return _unpack(terms.column("vec"), mix.shape[0], WIRE) @ mix
 
 
 def _gram_step(mix: np.ndarray | None, width: int, seed: int) -> Callable:
@@ -131,7 +136,7 @@ def _gram_step(mix: np.ndarray | None, width: int, seed: int) -> Callable:
         basis = _basis_rows(terms, mix, width, seed)
         image = _grouped_sums(row, docs.num_rows, column, weight, basis)
         back = _grouped_sums(column, len(term_ids), row, weight, image)
-        return pa.table({"term_id": term_ids, "vec": _pack(back)})
+        return pa.table({"term_id": term_ids, "vec": _pack(back, WIRE)})
 
     return step
 
@@ -139,15 +144,24 @@ def _gram_step(mix: np.ndarray | None, width: int, seed: int) -> Callable:
 _EMPTY_BASIS = pa.table({"term_id": pa.array([], pa.int64()), "vec": pa.array([], pa.binary())})
 
 
-def _sum_step(width: int) -> Callable:
-    """Sum the rows of each term within a bucket of terms."""
+def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal ids added up."""
+    order = np.argsort(ids, kind="stable")
+    ids, first = np.unique(ids[order], return_index=True)
+    return ids, np.add.reduceat(rows[order], first, axis=0) if len(ids) else rows
 
-    def step(parts: pa.Table) -> pa.Table:
-        ids = parts.column("term_id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids, first = np.unique(ids[order], return_index=True)
-        sums = np.add.reduceat(_unpack(parts.column("vec"), width)[order], first, axis=0)
-        return pa.table({"term_id": ids, "vec": _pack(sums)})
+
+def _sum_step(width: int, kind: type = WIRE) -> Callable:
+    """Sum the rows of each term within a bucket of terms, batch by batch."""
+
+    def step(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
+        ids, sums = np.zeros(0, np.int64), np.zeros((0, width))
+        for batch in batches:
+            part = _summed(batch.column("term_id").to_numpy(), _unpack(batch.column("vec"), width, kind))
+            ids, sums = _summed(np.concatenate([ids, part[0]]), np.concatenate([sums, part[1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(ids), _pack(sums, kind)], names=["term_id", "vec"])
 
     return step
 
@@ -166,21 +180,21 @@ def _project_step(mix: np.ndarray) -> Callable:
     return step
 
 
-def _small_gram(vectors: DataFrame, width: int) -> np.ndarray:
+def _small_gram(vectors: DataFrame, width: int, kind: type) -> np.ndarray:
     """``V'V`` of a tall table of vectors: every task sends one ``width x width`` matrix."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            block = _unpack(batch.column("vec"), width)
+            block = _unpack(batch.column("vec"), width, kind)
             total += block.T @ block
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(width), pa.int64()), _pack(total)], names=["term_id", "vec"]
         )
 
     parts = vectors.select("vec").mapInArrow(partial, _BASIS)
-    sums = parts.groupBy("term_id").applyInArrow(_sum_step(width), _BASIS).orderBy("term_id")
-    return np.array([np.frombuffer(row["vec"]) for row in sums.collect()])
+    sums = parts.groupBy("term_id").applyInArrow(_sum_step(width, np.float64), _BASIS)
+    return np.array([np.frombuffer(row["vec"]) for row in sums.orderBy("term_id").collect()])
 
 
 _BASIS = "term_id long, vec binary"
@@ -191,19 +205,49 @@ def _vector_sum(vec: Column, width: int) -> Column:
     return F.array(*[F.sum(F.get(vec, F.lit(j))) for j in range(width)])
 
 
-def _whiten(gram: np.ndarray) -> np.ndarray:
-    """``M`` such that ``Z M`` has orthonormal columns; directions without weight drop out."""
+def _whiten(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``M`` such that ``Z M`` has orthonormal columns, and the singular values of ``Z``.
+
+    Directions without weight drop out.
+    """
     values, vectors = np.linalg.eigh(gram)
     keep = values > values.max() * _RANK_TOLERANCE
-    return vectors[:, keep] / np.sqrt(values[keep])
+    return vectors[:, keep] / np.sqrt(values[keep]), np.sqrt(values[keep])[::-1]
 
 
-def _unpacked(df: DataFrame, mix: np.ndarray, key: str, name: str) -> DataFrame:
+def _has_settled(now: np.ndarray, before: np.ndarray | None, n: int) -> bool:
+    """Whether the first ``n`` singular values of X changed little; those of X'X are given."""
+    if before is None or len(now) != len(before):
+        return False
+    now, before = np.sqrt(now[:n]), np.sqrt(before[:n])
+    return bool(np.abs(now - before).max() <= SETTLED * now[0])
+
+
+def _needed_terms(docs: DataFrame, n_docs: int, width: int, docs_per_block: int):
+    """Documents with their block, the distinct ``(block, term_id)``, and the number of blocks.
+
+    Blocks are cut until the basis rows of the terms of each stay within ``BLOCK_BYTES``.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    n_blocks = max(-(-n_docs // docs_per_block), cores)
+    most = max(BLOCK_BYTES // (width * np.dtype(WIRE).itemsize), 1)
+    while True:
+        block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block")
+        placed = docs.select(block, "doc_id", "entries")
+        terms = placed.select("block", F.explode("entries.term_id").alias("term_id")).distinct()
+        needed = materialize(terms, "needed")
+        largest = needed.groupBy("block").count().agg(F.max("count")).first()[0] or 0
+        if largest <= most or n_blocks >= n_docs:
+            return placed, needed, n_blocks
+        n_blocks = min(n_blocks * -(-largest // most), n_docs)
+
+
+def _unpacked(df: DataFrame, mix: np.ndarray, key: str, name: str, kind: type) -> DataFrame:
     """``(key, name)``: the packed vectors times a small matrix, as arrays."""
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            product = _unpack(batch.column("vec"), mix.shape[0]) @ mix
+            product = _unpack(batch.column("vec"), mix.shape[0], kind) @ mix
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), _lists(product)], names=[key, name]
             )
@@ -221,7 +265,7 @@ def _signs(basis: DataFrame, mix: np.ndarray) -> np.ndarray:
         for batch in batches:
             if batch.num_rows:
                 ids = batch.column("term_id").to_numpy()
-                entries = _unpack(batch.column("vec"), mix.shape[0]) @ mix
+                entries = _unpack(batch.column("vec"), mix.shape[0], WIRE) @ mix
                 sizes = np.round(np.abs(entries), 9)
                 at = np.lexsort((np.broadcast_to(ids[:, None], sizes.shape), -sizes), axis=0)[0]
                 dims = np.arange(len(at))
@@ -258,7 +302,8 @@ def lsa_fit(
     The basis (terms x columns) stays a table. Documents are cut into blocks; each block
     meets the basis rows of its own terms only and sends back one summed row per term, so
     the shuffle grows with the distinct terms of the blocks, not with the postings times the
-    columns. The driver sees matrices of columns x columns. Every product is written to the
+    columns. Blocks are cut by the memory their terms need, and the iteration ends early when
+    the singular values rest. The driver sees matrices of columns x columns. Every product is written to the
     shared folder. ``vocab`` holds ``term, df, idf``. Documents of ``doc_ids`` that have no
     term get a zero vector.
     """
@@ -266,19 +311,13 @@ def lsa_fit(
     cores = postings.sparkSession.sparkContext.defaultParallelism
     numbered = materialize(with_term_id(vocab.where(F.col("df") >= min_df)), "terms")
     rows = materialize(tfidf_rows(postings, numbered, "term_id"), "tfidf")
-    # Enough blocks for all cores, and none above docs_per_block documents on average.
-    n_blocks = max(-(-rows.count() // docs_per_block), cores)
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).alias("block")
-    docs = rows.select(block, "doc_id", "entries")
-    needed = materialize(
-        docs.select("block", F.explode("entries.term_id").alias("term_id")).distinct(), "needed"
-    )
+    docs, needed, n_blocks = _needed_terms(rows, rows.count(), width, docs_per_block)
     n_buckets = max(-(-needed.count() // _ROWS_PER_BUCKET), cores)
-    bucket = F.pmod(F.xxhash64("term_id"), F.lit(n_buckets))
+    bucket = F.pmod(F.xxhash64("term_id"), F.lit(n_buckets)).alias("bucket")
     salts = -(-n_blocks // _BLOCKS_PER_SUM)
-    salt = F.pmod(F.xxhash64("vec"), F.lit(salts))
+    salt = F.pmod(F.xxhash64("vec"), F.lit(salts)).alias("salt")
 
-    basis, mix = None, None
+    basis, mix, values = None, None, None
     for step in range(iterations + 1):
         back = _per_block(docs, needed, basis).applyInArrow(_gram_step(mix, width, seed), _BASIS)
         rank = width if mix is None else mix.shape[1]
@@ -286,7 +325,10 @@ def lsa_fit(
             back = back.groupBy(bucket, salt).applyInArrow(_sum_step(rank), _BASIS)
         summed = back.groupBy(bucket).applyInArrow(_sum_step(rank), _BASIS)
         basis = materialize(summed, f"basis-{step}")
-        mix = _whiten(_small_gram(basis, rank))
+        before = values if step > 1 else None  # the first basis is not orthonormal yet
+        mix, values = _whiten(_small_gram(basis, rank, WIRE))
+        if _has_settled(values, before, n_components):
+            break
 
     image = materialize(
         _per_block(docs, needed, basis).applyInArrow(
@@ -294,13 +336,13 @@ def lsa_fit(
         ),
         "image",
     )
-    values, rotation = np.linalg.eigh(_small_gram(image, mix.shape[1]))
+    values, rotation = np.linalg.eigh(_small_gram(image, mix.shape[1], np.float64))
     best = np.argsort(values)[::-1][: min(n_components, len(values))]
     rotation = rotation[:, best]
     rotation = rotation * _signs(basis, mix @ rotation)
-    terms = _unpacked(basis, mix @ rotation, "term_id", "comp")
+    terms = _unpacked(basis, mix @ rotation, "term_id", "comp", WIRE)
     kept = min(kept, len(best))
-    vectors = _unpacked(image, rotation[:, :kept], "doc_id", "vec")
+    vectors = _unpacked(image, rotation[:, :kept], "doc_id", "vec", np.float64)
     if doc_ids is not None:
         zeros = F.array_repeat(F.lit(0.0), kept)
         vectors = doc_ids.select("doc_id").join(vectors, "doc_id", "left").select(
@@ -316,8 +358,8 @@ def lsa_fit(
 
 def _per_block(docs: DataFrame, needed: DataFrame, basis: DataFrame | None):
     """Each block of documents together with the basis rows of its terms."""
-    # Hashing the small side saves sorting the vectors; a term has a row per block at most.
-    rows = needed if basis is None else needed.hint("shuffle_hash").join(basis, "term_id")
+    # A term has one basis row and a row per block at most.
+    rows = needed if basis is None else needed.join(basis, "term_id")
     return docs.groupBy("block").cogroup(rows.groupBy("block"))
 
 

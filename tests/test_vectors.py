@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostra.operators import clusters, index, lsa
+from rostra.runtime import materialize
 
 
 @pytest.fixture(scope="module")
@@ -162,3 +163,33 @@ def test_a_term_of_many_blocks_is_summed_in_parts(model_input, monkeypatch):
     monkeypatch.setattr(lsa, "_BLOCKS_PER_SUM", 3)
     parts = lsa.lsa_fit(postings, vocab, **few)
     assert parts.singular_values == pytest.approx(whole.singular_values)
+
+
+def test_blocks_are_cut_by_the_memory_of_their_terms(model_input, monkeypatch):
+    """A term in every document, over many blocks: the same values as with few blocks."""
+    texts, postings, vocab = model_input
+    every = texts.select("doc_id", F.lit("everywhere").alias("term"), F.lit(1).cast("long").alias("tf"))
+    more = postings.select("doc_id", "term", "tf").unionByName(every).cache()
+    words = index.with_idf(index.doc_freq(more), F.lit(301)).cache()
+    few = dict(n_components=4, kept=3, iterations=3)
+    whole = lsa.lsa_fit(more, words, **few)
+    made = []
+    needed_terms = lsa._needed_terms
+    monkeypatch.setattr(lsa, "_needed_terms", lambda *a: made.append(needed_terms(*a)) or made[-1])
+    monkeypatch.setattr(lsa, "BLOCK_BYTES", 14 * 4 * 60)  # sixty terms of fourteen columns
+    cut = lsa.lsa_fit(more, words, **few)
+    _, needed, n_blocks = made[0]
+    assert n_blocks > 20 and needed.groupBy("block").count().agg(F.max("count")).first()[0] <= 60
+    assert needed.where(needed.term_id.isin([r[0] for r in cut.terms.where("term = 'everywhere'").select("term_id").collect()])).count() > 20
+    assert cut.singular_values == pytest.approx(whole.singular_values, rel=1e-4)
+
+
+def test_the_iteration_ends_when_values_rest(spark, monkeypatch):
+    rows = [(i, f"t{i % 4}", 1) for i in range(80)] + [(i, "common", 2) for i in range(80)]
+    postings = spark.createDataFrame(rows, "doc_id long, term string, tf long")
+    vocab = index.with_idf(index.doc_freq(postings), F.lit(80))
+    names = []
+    monkeypatch.setattr(lsa, "materialize", lambda df, name: names.append(name) or materialize(df, name))
+    model = lsa.lsa_fit(postings, vocab, n_components=3, kept=3, iterations=30)
+    steps = [n for n in names if n.startswith("basis-")]
+    assert 2 < len(steps) < 8 and len(model.singular_values) == 3
