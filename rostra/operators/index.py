@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rostra.functions.scores import idf_smooth
+from rostra.functions.scores import idf_smooth, int_truncate, tf_log
 from rostra.functions.text import Preprocess, let, term_counts
 from rostra.runtime import dense_row_number, join_vocabulary, materialize
 from rostra.schemas import SPEECH
@@ -88,6 +88,13 @@ def inverted_catalog(
     return placed.select("term", "df", "block", "postings")
 
 
+def block_maxima(sliced: DataFrame) -> DataFrame:
+    """``(term, doc_slice, top)``: the most that one occurrence of a query term adds to the
+    score of any document of the slice, before the idf."""
+    part = tf_log(F.col("tf")) / int_truncate(F.col("norm"))
+    return sliced.groupBy("term", "doc_slice").agg(F.max(part).alias("top"))
+
+
 def catalog_text(postings: Column) -> Column:
     """``doc1,tf1,doc2,tf2,...`` of one catalog row."""
     return F.array_join(

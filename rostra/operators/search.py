@@ -14,6 +14,8 @@ from rostra.schemas import DATE, MEMBER, PAGE_SIZE, SCORE_THRESHOLD, SPEECH
 from rostra.sources.tables import DOC_BUCKETS, TERM_BUCKETS, doc_bucket, in_buckets_of, term_bucket
 
 HIT = ["query_id", "doc_id"]
+# Slices of the greatest bounds that a page scores before it compares bounds.
+FIRST_SLICES = 2
 # Postings of one term that a task joins.
 POSTINGS_PER_TASK = 1_000_000
 
@@ -153,6 +155,72 @@ def page(hits: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
     return ranked.where(F.col("rank") > (number - 1) * size)
 
 
+def _scored_slices(weighted: DataFrame, chosen: DataFrame, sliced: DataFrame) -> DataFrame:
+    """Scores of the documents of some ``(query_id, doc_slice)``; other folders are not read."""
+    folders = [r[0] for r in chosen.select("doc_slice").distinct().collect()]  # slices at most
+    asked = weighted.join(chosen.select("query_id", "doc_slice"), "query_id")
+    asked = F.broadcast(asked) if fits_broadcast(asked) else asked
+    matches = sliced.where(F.col("doc_slice").isin(folders)).join(asked, ["doc_slice", "term"])
+    part = F.col("qtf") * tf_log(F.col("tf")) * F.col("idf")
+    return matches.groupBy(*HIT).agg(
+        (F.sum(part) / int_truncate(F.first("norm"))).alias("score"),
+        F.min("first_pos").alias("first_pos"),
+    )
+
+
+def slice_bounds(weighted: DataFrame, maxima: DataFrame) -> DataFrame:
+    """``(query_id, doc_slice, bound)``: no document of the slice scores more."""
+    asked = F.broadcast(weighted) if fits_broadcast(weighted) else weighted
+    part = F.col("qtf") * F.col("idf") * F.col("top")
+    return maxima.join(asked, "term").groupBy("query_id", "doc_slice").agg(F.sum(part).alias("bound"))
+
+
+def page_by_bounds(
+    terms: DataFrame,
+    sliced: DataFrame,
+    maxima: DataFrame,
+    vocab: DataFrame,
+    number: int = 1,
+    size: int = PAGE_SIZE,
+    total: Column | None = None,
+    threshold: float = SCORE_THRESHOLD,
+    first: int = FIRST_SLICES,
+) -> tuple[DataFrame, DataFrame]:
+    """Page ``number`` of every query without scoring every document that matches.
+
+    Documents stand in slices, and ``maxima`` bound the score in each. The slices of the
+    greatest bounds are scored first; then only those whose bound still reaches the last
+    place of the page as it stands. Returns the page as ``page`` does, and
+    ``(query_id, n_slices, n_scored)``.
+    """
+    total = count_of(vocab) if total is None else total
+    asked = F.broadcast(terms) if fits_broadcast(terms) else terms
+    known = vocab.select("term", "df").join(asked, "term")
+    weighted = materialize(known.withColumn("idf", idf_search(total, F.col("df"))).drop("df"), "weighted")
+    slack = F.lit(1 + 1e-9)  # sums in another order
+    bounds = slice_bounds(weighted, maxima).where(F.col("bound") * slack > threshold)
+    order = Window.partitionBy("query_id").orderBy(F.desc("bound"), "doc_slice")
+    bounds = materialize(bounds.withColumn("place", F.row_number().over(order)), "slice-bounds")
+    last = number * size
+
+    def best(scored: DataFrame, name: str) -> DataFrame:
+        return materialize(rank_search(scored.where(F.col("score") > threshold), last), name)
+
+    top = best(_scored_slices(weighted, bounds.where(F.col("place") <= first), sliced), "first-slices")
+    reached = top.where(F.col("rank") == last).select("query_id", F.col("score").alias("least"))
+    rest = bounds.where(F.col("place") > first).join(reached, "query_id", "left")
+    open_slices = F.col("least").isNull() | (F.col("bound") * slack >= F.col("least") - 1e-9)
+    rest = materialize(rest.where(open_slices).select("query_id", "doc_slice"), "open-slices")
+    if not rest.isEmpty():
+        more = _scored_slices(weighted, rest, sliced).where(F.col("score") > threshold)
+        top = best(top.drop("rank").unionByName(more), "page")
+    late = rest.groupBy("query_id").agg(F.count("*").alias("late"))
+    counts = bounds.groupBy("query_id").agg(F.count("*").alias("n_slices")).join(late, "query_id", "left")
+    scored = F.least("n_slices", F.lit(first)) + F.coalesce("late", F.lit(0))
+    read = counts.select("query_id", "n_slices", scored.cast("long").alias("n_scored"))
+    return top.where(F.col("rank") > (number - 1) * size), read
+
+
 def result_count(hits: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
     """Hits and pages per query; a query without hits has no row."""
     counted = hits.groupBy("query_id").agg(F.count("*").alias("n_results"))

@@ -15,8 +15,10 @@ from rostra.sources.corpus import processed
 from rostra.sources.tables import (
     bucket_count,
     slice_count,
+    slice_parts,
     write_keyed,
     write_keywords,
+    write_sliced_postings,
     write_table,
     write_term_postings,
 )
@@ -95,6 +97,13 @@ def build_index(
     return tables
 
 
+def build_slices(tables: Tables, n_docs: int) -> None:
+    """Postings by document slice and the bounds of every slice, for pages of results."""
+    postings = tables.postings.select("doc_id", "norm", "term", "tf")
+    write_sliced_postings(postings, tables.path("sliced_postings"), slice_parts(n_docs))
+    write_keyed(index.block_maxima(tables.read("sliced_postings")), tables.path("block_maxima"), "term", "doc_slice")
+
+
 def build_all(
     corpus: DataFrame,
     pre: Preprocess,

@@ -500,6 +500,11 @@ def oracle() -> dict[str, str]:
           WHERE r.rank <= 20"""),
         "rank_search": _search(_RANKED),
         "page": _search(f"{_RANKED} WHERE rank BETWEEN 11 AND 20"),
+        "page_by_bounds": _search(f"{_RANKED} WHERE rank <= 10"),
+        "slice_bounds": _search(
+            "SELECT query_id, count(*)::BIGINT AS n_hits, 0::BIGINT AS n_over FROM hits GROUP BY query_id",
+            threshold=0.0,
+        ),
         "top_pairs": _with(_SPEECHES, _INDEX, _GROUPS, _VECTORS, _PAIRS, """
           SELECT entity_a, entity_b, round(similarity, 2) AS similarity_rounded FROM best
           ORDER BY round(similarity, 9) DESC, entity_a, entity_b LIMIT 5"""),

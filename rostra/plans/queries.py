@@ -13,7 +13,7 @@ from rostra.functions import scores, text
 from rostra.functions.text import Preprocess
 from rostra.operators import catalog, clusters, groups, index, lsa, pairs, search, summarize
 from rostra.plans import views
-from rostra.plans.build import Tables, build_all, build_index, table_sizes
+from rostra.plans.build import Tables, build_all, build_index, build_slices, table_sizes
 from rostra.runtime import fits_broadcast, materialize, scratch_path, ship_package
 from rostra.schemas import (
     CLUSTERS_DEFAULT,
@@ -644,6 +644,47 @@ def page(spark, sf_dir):
     return search.page(_hits(spark, sf_dir), 2).select("query_id", "rank", "doc_id", "score")
 
 
+def _sliced(spark, sf_dir) -> Tables:
+    def make() -> Tables:
+        built = stored_index(spark, sf_dir)
+        build_slices(built, built.stats.first()["n_docs"])
+        return built
+
+    return _once("slices", spark, sf_dir, make)
+
+
+def _page_by_bounds(spark, sf_dir, number):
+    built = _sliced(spark, sf_dir)
+    terms = search.query_terms(views.query_batch(spark, sf_dir), PRE)
+    return search.page_by_bounds(
+        terms, built.read("sliced_postings"), built.read("block_maxima"), built.vocab, number
+    )
+
+
+@_query
+def page_by_bounds(spark, sf_dir):
+    """The first page of every query from the slices that can reach it."""
+    found, _ = _page_by_bounds(spark, sf_dir, 1)
+    return found.select("query_id", "rank", "doc_id", "score")
+
+
+@_query
+def slice_bounds(spark, sf_dir):
+    """Bounds hold: queries with a document above the bound of its slice, and slices left out."""
+    built = _sliced(spark, sf_dir)
+    terms = search.query_terms(views.query_batch(spark, sf_dir), PRE)
+    known = built.vocab.select("term", "df").join(terms, "term")
+    total = built.stats.select("n_terms").scalar()
+    weighted = known.withColumn("idf", scores.idf_search(total, F.col("df"))).drop("df")
+    bounds = search.slice_bounds(weighted, built.read("block_maxima"))
+    places = built.read("sliced_postings").select("doc_id", "doc_slice").distinct()
+    hits = _hits(spark, sf_dir, threshold=0.0).join(places, "doc_id").join(bounds, ["query_id", "doc_slice"], "left")
+    over = hits.where(F.col("bound").isNull() | (F.col("score") > F.col("bound") + 1e-9))
+    return hits.groupBy("query_id").agg(F.count("*").alias("n_hits")).join(
+        over.groupBy("query_id").agg(F.count("*").alias("n_over")), "query_id", "left"
+    ).fillna(0)
+
+
 def _member_vectors(spark, sf_dir):
     def make():
         counts = groups.group_term_counts(stored_group_base(spark, sf_dir), "member")

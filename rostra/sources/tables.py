@@ -11,6 +11,8 @@ DOC_BUCKETS = 64  # folders of a document store, unless it is written with anoth
 LISTED_IDS = 1_000  # ids that a filter names one by one
 _POSTINGS_PER_BUCKET = 5_000_000
 _DOCS_PER_BUCKET = 250_000
+_DOCS_PER_CLASS = 1_000_000
+_CLASSES_PER_OCTAVE = 8
 _DOCS_PER_SLICE = 50_000_000
 
 
@@ -75,6 +77,35 @@ def write_term_postings(postings: DataFrame, path: str, buckets: int, slices: in
     )
 
 
+def slice_parts(n_docs: int) -> int:
+    """Parts of a class of lengths, so that slices stay moderate."""
+    return max(1, n_docs // _DOCS_PER_CLASS)
+
+
+def doc_slice(norm: Column, doc_id: Column, parts: int) -> Column:
+    """The slice of a document: documents of similar length, a class cut into ``parts``.
+
+    Short documents score high and long ones low, so slices by length have tight bounds.
+    """
+    length_class = F.floor(_CLASSES_PER_OCTAVE * F.log2(F.greatest(norm, F.lit(1.0))))
+    return (length_class * parts + F.pmod(F.xxhash64(doc_id), F.lit(parts))).cast("int")
+
+
+def write_sliced_postings(postings: DataFrame, path: str, parts: int) -> None:
+    """Postings by document slice, ordered by term: a search reads the slices it needs.
+
+    The range split cuts a large slice into files of disjoint terms.
+    """
+    placed = postings.withColumn("doc_slice", doc_slice(F.col("norm"), F.col("doc_id"), parts))
+    (
+        placed.repartitionByRange("doc_slice", "term", "doc_id")
+        .sortWithinPartitions("doc_slice", "term", "doc_id")
+        .write.mode("overwrite")
+        .partitionBy("doc_slice")
+        .parquet(path)
+    )
+
+
 def doc_bucket(doc_id: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(buckets)).cast("int")
 

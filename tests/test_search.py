@@ -128,3 +128,37 @@ def test_a_fetch_opens_few_files(spark, tmp_path, monkeypatch):
             if len(ids) < 10:
                 assert files_read(search.fetch_documents(ranked, stored, 40)) <= len(ids) * 2
     assert len(stored.inputFiles()) >= 40
+
+
+def test_pages_by_bounds(spark, plain, tmp_path):
+    """Equal to the head of the whole ranking, with most slices left out."""
+    import random
+
+    from rostra.plans.build import build_index, build_slices
+    from rostra.schemas import DATE, MEMBER, PARTY, SPEECH
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(600):
+        text = " ".join(rng.choices(words, range(60, 0, -1), k=rng.choice([3, 8, 30, 120, 400])))
+        rows.append((i, "m", "01/01/1990", "p", text if i % 50 else None))
+    rows += [(i, "m", "01/01/1990", "p", "w1 w2 w2") for i in range(600, 640)]  # ties over the page's end
+    corpus = spark.createDataFrame(rows, f"doc_id long, {MEMBER} string, {DATE} string, {PARTY} string, {SPEECH} string")
+    tables = build_index(corpus, plain, str(tmp_path / "index"))
+    build_slices(tables, 640)
+    texts = ["w1 w2 w2", "w59", "w0 w0 w3 w58", "unknown", "", "w5 w6 w7 w8 w9"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "query_id long, text string")
+    terms = search.query_terms(asked, plain)
+    hits = search.search_hits(terms, tables.postings, tables.vocab)
+    sliced, maxima = tables.read("sliced_postings"), tables.read("block_maxima")
+    for number in (1, 3):
+        expected = [(r["query_id"], r["rank"], r["doc_id"]) for r in search.page(hits, number).collect()]
+        found, read = search.page_by_bounds(terms, sliced, maxima, tables.vocab, number)
+        assert sorted((r["query_id"], r["rank"], r["doc_id"]) for r in found.collect()) == sorted(expected)
+    found, read = search.page_by_bounds(terms, sliced, maxima, tables.vocab, 1)
+    counts = {r["query_id"]: (r["n_slices"], r["n_scored"]) for r in read.collect()}
+    assert set(counts) == {0, 1, 2, 5}, counts
+    assert all(scored <= slices for slices, scored in counts.values()), counts
+    assert sum(scored for _, scored in counts.values()) < 0.9 * sum(slices for slices, _ in counts.values()), counts
+    assert search.page_by_bounds(terms.limit(0), sliced, maxima, tables.vocab)[0].count() == 0
