@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -18,6 +18,7 @@ from rostra.operators.index import tfidf_rows, with_term_id
 from rostra.operators.search import drop_last_hit, query_terms
 from rostra.runtime import fits_broadcast, materialize, rank_within
 from rostra.schemas import SCORE_THRESHOLD, SVD_COMPONENTS, SVD_KEPT
+from rostra.sources.tables import write_keyed, write_table
 
 OVERSAMPLES = 10
 POWER_ITERATIONS = 5
@@ -109,6 +110,25 @@ class Lsa:
     kept: int
 
 
+def write_lsa(model: Lsa, root: str) -> None:
+    """Store a model below ``root``: documents and terms by key, singular values by place."""
+    write_keyed(model.docs, f"{root}/lsa_docs", "doc_id")
+    write_keyed(model.terms, f"{root}/lsa_terms", "term")
+    values = list(enumerate(model.singular_values))
+    spark = model.docs.sparkSession
+    write_table(spark.createDataFrame(values, "place int, value double").coalesce(1), f"{root}/lsa_values")
+
+
+def read_lsa(spark: SparkSession, root: str) -> Lsa:
+    """A model as ``write_lsa`` stored it."""
+    values = spark.read.parquet(f"{root}/lsa_values").orderBy("place").collect()  # one per component
+    docs = spark.read.parquet(f"{root}/lsa_docs")
+    kept = docs.select(F.size("vec")).first()
+    return Lsa(
+        docs, spark.read.parquet(f"{root}/lsa_terms"), [r["value"] for r in values], kept[0] if kept else 0
+    )
+
+
 def _start(term_ids: np.ndarray, width: int, seed: int) -> np.ndarray:
     """Reproducible uniform numbers in [-1, 1) from term number, column and seed."""
     x = term_ids.astype(np.uint64)[:, None] * np.uint64(width) + np.arange(width, dtype=np.uint64)

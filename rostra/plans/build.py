@@ -16,8 +16,10 @@ from rostra.sources.tables import (
     bucket_count,
     slice_count,
     slice_parts,
+    write_clusters,
     write_keyed,
     write_keywords,
+    write_pairs,
     write_sliced_postings,
     write_table,
     write_term_postings,
@@ -135,13 +137,12 @@ def build_all(
     members = groups.group_vectors(groups.group_term_counts(base, "member"), tables.vocab)
     write_table(members, tables.path("member_vectors"))
     similar = pairs.similar_entities(tables.read("member_vectors"))
-    write_table(similar, tables.path("pairs"))
+    write_pairs(similar, tables.path("pairs"))
 
     model = lsa.lsa_fit(tables.postings, tables.vocab, doc_ids=corpus, **svd)
-    write_table(model.docs, tables.path("lsa_docs"))
-    write_table(model.terms, tables.path("lsa_terms"))
+    lsa.write_lsa(model, tables.root)
     clustered = clusters.kmeans_fit_predict(tables.read("lsa_docs"), k, starts)
-    write_table(clustered, tables.path("clusters"))
+    write_clusters(clustered, tables.path("clusters"))
     described = clusters.cluster_terms(tables.read("clusters"), tables.read("lsa_terms"))
     write_table(described, tables.path("cluster_terms"))
 

@@ -305,7 +305,7 @@ running AS (
 WITH_YEAR = (
     "keyword_sink", "point_lookup", "entity_year_filter", "period_dispatch", "group_term_counts",
     "group_by_member", "group_by_party", "group_by_member_year", "group_by_party_year",
-    "group_by_year", "all_groupings", "zero_pad_keywords", "keywords", "entity_profile",
+    "group_by_year", "all_groupings", "zero_pad_keywords", "keywords", "entity_profile", "party_profile",
 )
 
 
@@ -514,6 +514,10 @@ def oracle() -> dict[str, str]:
           SELECT query_id, doc_id, rank, round(score, 6) AS score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id
                         ORDER BY round(score, 9) DESC, doc_id)::BIGINT AS rank FROM cosines)"""),
+        "party_profile": _keyword_rows(
+            "(grouping = 'party' AND rank <= 10) OR grouping = 'party_year'",
+            "entity, year, rank, term",
+        ),
         "entity_profile": _keyword_rows(
             "(grouping = 'member' AND rank <= 10) OR grouping = 'member_year'",
             "entity, year, rank, term",
@@ -535,6 +539,10 @@ def oracle() -> dict[str, str]:
         "similar_entities": _with(_SPEECHES, _INDEX, _GROUPS, _VECTORS, _PAIRS, """
           SELECT entity_a, entity_b, round(similarity, 6) AS similarity,
                  round(similarity, 2) AS similarity_rounded FROM best"""),
+        "lsa_sink": _latent("""
+          SELECT doc_id, (generate_subscripts(vec, 1) - 1)::BIGINT AS dim,
+                 round(unnest(vec), 6) AS value FROM doc_vecs"""),
+        "cluster_sink": "SELECT vec_id AS doc_id, label::BIGINT AS cluster FROM embeddings",
         "similar_roles": _with("""
           speeches AS (SELECT (conv_id, turn) AS doc_id, role AS member_name,
                               NULL::VARCHAR AS political_party, NULL::VARCHAR AS sitting_date,
@@ -604,6 +612,7 @@ def oracle() -> dict[str, str]:
           SELECT cluster, dim_rank, term_rank, dim, term
           FROM dims JOIN terms_per_dim USING (dim)"""),
     }
+    sql["pair_sink"] = sql["similar_entities"]
     for name in ("member", "party", "member_year", "party_year", "year"):
         sql[f"group_by_{name}"] = _group(name)
     for name in WITH_YEAR:

@@ -722,6 +722,11 @@ def entity_profile(spark, sf_dir):
     return catalog.entity_profile(stored_keywords(spark, sf_dir), "member")
 
 
+@_query
+def party_profile(spark, sf_dir):
+    return catalog.entity_profile(stored_keywords(spark, sf_dir), "party")
+
+
 # --- Composite operators --------------------------------------------------------------------
 
 
@@ -777,6 +782,31 @@ def similar_entities(spark, sf_dir):
     return pairs.similar_entities(_member_vectors(spark, sf_dir))
 
 
+@_query
+def pair_sink(spark, sf_dir):
+    """The similar pairs as stored and read again."""
+    path = scratch_path(spark, "pairs")
+    tables.write_pairs(pairs.similar_entities(_member_vectors(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@_query
+def lsa_sink(spark, sf_dir):
+    """Vectors of a stored model of given components, read again."""
+    root = scratch_path(spark, "lsa")
+    lsa.write_lsa(_given_lsa(spark, sf_dir), root)
+    docs = lsa.read_lsa(spark, root).docs
+    return docs.select("doc_id", F.posexplode("vec").alias("dim", "value"))
+
+
+@_query
+def cluster_sink(spark, sf_dir):
+    """Labels as stored by cluster and read again."""
+    path = scratch_path(spark, "clusters")
+    tables.write_clusters(views.doc_vectors(spark, sf_dir), path)
+    return spark.read.parquet(path).select("doc_id", "cluster")
+
+
 @_query
 def similar_roles(spark, sf_dir):
     """Similarity of the speaker roles of a second corpus."""

@@ -46,6 +46,16 @@ def write_keywords(keywords: DataFrame, path: str) -> None:
     )
 
 
+def write_pairs(pairs: DataFrame, path: str) -> None:
+    """Similar pairs, ordered by their first entity."""
+    write_keyed(pairs, path, "entity_a", "entity_b")
+
+
+def write_clusters(clustered: DataFrame, path: str) -> None:
+    """Labelled vectors, ordered by cluster: a cluster of any size spreads over several files."""
+    write_keyed(clustered, path, "cluster", "doc_id")
+
+
 def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
