@@ -8,7 +8,7 @@ noted. Every phrase is counted for one full cycle from its own start, so lengths
 and counts are exact. The scans end when no noted phrase can open a longer one any more.
 
 Words are 64-bit keys of (language, word); that no two words share one is checked over the
-whole vocabulary, and a new seed is taken if any do. Phrases are tuples of keys, counted in
+whole vocabulary by a second hash, and a new seed is taken if any do. Phrases are tuples of keys, counted in
 the tasks before any shuffle. The noted phrases go to the tasks as sorted arrays while they fit
 ``NOTED_BYTES``; beyond that as Bloom filters of that size, and a join on the counts settles
 exactly what was active. What never reaches a share of the threshold in any shard (the
@@ -41,19 +41,20 @@ from rostra.llm.common import (
 )
 from rostra.llm.spelling import BLOCK_WORDS, PART_BLOCKS, Filter, _build, _in_parts, blocks_for
 
-SHARDS = 4
+SHARDS = 2
 THRESHOLD = 30
 MOST_WORDS = 4
 REPORTED = 2000
 CONTAINED = (100, 80)  # dropped if 100 * f(longer) >= 80 * a
 SCALE = 2_000_000
 NOTED_BYTES = 64 << 20
+LISTED = 800_000  # phrases that a join broadcasts: 32 MB of keys
 BATCH_BYTES = 4 << 20
 WORDS_PER_COUNT = 2 << 20  # word places counted at a time
 WORDS = ["w1", "w2", "w3", "w4"]
 COUNTS = "w1 long, w2 long, w3 long, w4 long, n long"
 # Word keys repeat: a large dictionary keeps a place at about two bytes.
-DICTIONARY = {"parquet.dictionary.page.size": str(16 << 20), "compression": "zstd"}
+DICTIONARY = {"parquet.dictionary.page.size": str(16 << 20)}
 _BREAK = 0  # the key of the end of a piece
 _SPACES = bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" " + b"\n" * 9)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -85,13 +86,17 @@ def _marked(texts: pa.Array) -> pa.ListArray:
 
 
 def _keyed(seed: int):
-    """Per text its word keys with breaks; per batch (lang, word, key, n) of its words."""
+    """Per text its word keys with breaks; per batch (lang, word, key, mark, n) of its words.
+
+    ``mark`` is a second hash of language and word.
+    """
 
     def run(batches: Batches) -> Batches:
         import xxhash
 
-        def hashes(values: list[str]) -> np.ndarray:
-            found = [xxhash.xxh64_intdigest(v.encode("utf-8", "surrogatepass"), seed) for v in values]
+        def hashes(values: list[str], turn: int = 0) -> np.ndarray:
+            own = 2 * seed + turn
+            found = [xxhash.xxh64_intdigest(v.encode("utf-8", "surrogatepass"), own) for v in values]
             return np.array(found, np.uint64)
 
         for batch in by_bytes(batches, "text", BATCH_BYTES):
@@ -117,10 +122,13 @@ def _keyed(seed: int):
             real = keep & ~is_break
             pair = lang[real].astype(np.int64) * len(words) + codes[real]
             pairs, first, n = np.unique(pair, return_index=True, return_counts=True)
+            own_lang, own_word = pairs // max(len(words), 1), pairs % max(len(words), 1)
+            marks = _joined(hashes(langs.dictionary.to_pylist(), 1)[own_lang], hashes(words, 1)[own_word])
             yield _row(
-                lang=langs.dictionary.take(pa.array(pairs // max(len(words), 1))),
-                word=coded.dictionary.take(pa.array(pairs % max(len(words), 1))),
+                lang=langs.dictionary.take(pa.array(own_lang)),
+                word=coded.dictionary.take(pa.array(own_word)),
                 key=pa.array(keys[real][first].view(np.int64)),
+                mark=pa.array(marks.view(np.int64)),
                 n=pa.array(n.astype(np.int64)),
             )
 
@@ -128,7 +136,8 @@ def _keyed(seed: int):
 
 
 _KEYED = {
-    "lang": pa.string(), "word": pa.string(), "key": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64()),
+    "lang": pa.string(), "word": pa.string(), "key": pa.int64(), "mark": pa.int64(), "n": pa.int64(),
+    "keys": pa.list_(pa.int64()),
 }
 
 
@@ -266,6 +275,8 @@ class _Scan:
         self.spark: SparkSession = docs.sparkSession
         self.keyed: list[DataFrame] = []
         self.counts: list[DataFrame | None] = []
+        self.marks: list[DataFrame] = []  # w1, n and the least and greatest mark
+        self.rich: list[DataFrame | None] = []  # the counts that reach a share of the threshold
         self.noted: DataFrame | None = None  # w1 .. w4, stop
         self.arrays: dict[int, list] = {}  # per length: keys and stops, while they fit
         self.many = {size: 0 for size in range(1, MOST_WORDS + 1)}
@@ -278,7 +289,7 @@ class _Scan:
                 shard = F.pmod(F.xxhash64("text"), F.lit(self.shards)) == step
                 keyed = map_batches(
                     self.docs.filter(shard), _keyed(self.seed),
-                    "lang string, word string, key long, n long, keys array<long>",
+                    "lang string, word string, key long, mark long, n long, keys array<long>",
                 )
                 self.keyed.append(written(keyed, "phrases-keyed", **DICTIONARY))
             self.counts.append(self._count(step))
@@ -291,36 +302,48 @@ class _Scan:
         found = None
         if step < self.shards:
             zero = F.lit(0).cast("long")
-            found = shard.filter("word IS NOT NULL").select(
-                F.col("key").alias("w1"), *(zero.alias(w) for w in WORDS[1:]), "n"
-            )
+            words = shard.filter("word IS NOT NULL").groupBy(F.col("key").alias("w1"))
+            words = words.agg(F.sum("n").alias("n"), F.min("mark").alias("a"), F.max("mark").alias("b"))
+            self.marks.append(written(words, "phrases-words", **DICTIONARY))
+            found = self.marks[-1].select("w1", *(zero.alias(w) for w in WORDS[1:]), "n")
         if self.many[1]:
             after = step - self.shards
             shared, exact = self._shared()
             run = _counted(shared, after if exact else -1)
             phrases = map_batches(shard.filter("keys IS NOT NULL").select("keys"), run, COUNTS)
+            # dealt out as they come: a task's rows are added up already, and hardly repeat
+            phrases = _added(phrases.repartition(*WORDS))
             if not exact:
-                phrases = self._settled(_added(phrases), after)
-            found = phrases if found is None else found.unionByName(phrases)
-        return None if found is None else written(_added(found), "phrases-counts", **DICTIONARY)
+                phrases = self._settled(phrases, after)
+            counts = written(phrases, "phrases-counts", **DICTIONARY)
+            shared.destroy()
+            found = counts if found is None else found.unionByName(counts)
+        return found
 
     def _note(self, step: int) -> None:
-        """Note the phrases that have reached the threshold at the stop after this step."""
+        """Note the phrases that have reached the threshold at the stop after this step.
+
+        A sum of n parts reaches the threshold only if one part reaches its n-th share; what
+        a phrase has in the other parts is then below that share. So few phrases are hopeful,
+        and only theirs are added up.
+        """
+        share = -(-self.threshold // self.shards)
+        now = self.counts[-1]
+        self.rich.append(None if now is None else written(now.filter(F.col("n") >= share), "phrases-rich"))
         recent = [c for c in self.counts[-self.shards :] if c is not None]
-        seen = recent[0]
-        for part in recent[1:]:
-            seen = seen.unionByName(part)
-        # A sum of n parts reaches the threshold only if one part reaches its n-th share.
-        share = -(-self.threshold // len(recent))
-        hopeful = seen.filter(F.col("n") >= share).select(WORDS).distinct()
+        hopeful = _added(_union(self.rich[-self.shards :]), F.count("*").alias("parts"))
+        most = F.col("n") + (len(recent) - F.col("parts")) * (share - 1)
+        hopeful = hopeful.filter(most >= self.threshold).select(WORDS)
         if self.noted is not None:
-            hopeful = hopeful.join(small(self.noted.select(WORDS)), WORDS, "left_anti")
+            hopeful = hopeful.join(self._listed(), WORDS, "left_anti")
         hopeful = written(hopeful, "phrases-hopeful")
-        reached = _added(seen.join(small(hopeful), WORDS, "left_semi"))
-        new = written(
-            reached.filter(F.col("n") >= self.threshold).select(*WORDS, F.lit(step + 1).alias("stop")),
-            "phrases-noted",
-        )
+        many = hopeful.count()
+        if not many:
+            return
+        listed = F.broadcast(hopeful) if many <= LISTED else hopeful
+        reached = _added(_union(recent).join(listed, WORDS, "left_semi"))
+        reached = reached.filter(F.col("n") >= self.threshold)
+        new = written(reached.select(*WORDS, F.lit(step + 1).alias("stop")), "phrases-noted")
         forget(hopeful)
         sizes = {r["size"]: r["n"] for r in new.groupBy(_size().alias("size")).agg(F.count("*").alias("n")).collect()}
         if not sizes:
@@ -331,11 +354,18 @@ class _Scan:
         if any(size < MOST_WORDS for size in sizes):
             self.last_stop = step + 1
         if self._fit():
-            for size in sizes:
-                if size < MOST_WORDS:
-                    rows = new.filter(_size() == size).select(WORDS).toArrow()
-                    keys = _phrase_keys(rows, size)
-                    self.arrays.setdefault(size, []).append((keys, np.full(len(keys), step + 1)))
+            self._keep(new.filter(_size() < MOST_WORDS).select(WORDS).toArrow(), step + 1)
+
+    def _keep(self, rows: pa.Table, stop: int) -> None:
+        size = sum((rows.column(w).to_numpy() != 0).astype(np.int32) for w in WORDS)
+        for s in np.unique(size).tolist():
+            keys = _phrase_keys(rows.filter(pa.array(size == s)), s)
+            self.arrays.setdefault(s, []).append((keys, np.full(len(keys), stop, np.int16)))
+
+    def _listed(self) -> DataFrame:
+        """The noted phrases, to be broadcast while they are few."""
+        noted = self.noted.select(WORDS)
+        return F.broadcast(noted) if sum(self.many.values()) <= LISTED else noted
 
     def _fit(self) -> bool:
         return 10 * sum(n for size, n in self.many.items() if size < MOST_WORDS) <= NOTED_BYTES
@@ -388,32 +418,32 @@ class _Scan:
         return found.filter(active).select(*WORDS, "n")
 
     def clash(self) -> bool:
-        """Whether two different words share a key."""
-        words = self.words().groupBy("key", "lang", "word").count()
-        return not words.groupBy("key").count().filter("count > 1").isEmpty()
+        """Whether two different words share a key: their marks then differ."""
+        marks = _union(self.marks).groupBy("w1").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+        return not marks.filter("a <> b").isEmpty()
 
     def words(self) -> DataFrame:
         """(lang, word, key, n), once per batch of texts."""
-        found = self.keyed[0]
-        for part in self.keyed[1:]:
-            found = found.unionByName(part)
-        return found.filter("word IS NOT NULL").select("lang", "word", "key", "n")
+        return _union(self.keyed).filter("word IS NOT NULL").select("lang", "word", "key", "n")
 
     def totals(self) -> DataFrame:
         """(w, f): the noted phrases and words as arrays of keys, with their exact counts."""
-        found = None
-        for part in [c for c in self.counts if c is not None]:
-            found = part if found is None else found.unionByName(part)
-        if self.noted is None:
-            found = found.limit(0)
-        else:
-            found = found.join(small(self.noted.select(WORDS)), WORDS, "left_semi")
+        found = _union(self.counts)
+        found = found.limit(0) if self.noted is None else found.join(self._listed(), WORDS, "left_semi")
         words = F.filter(F.array(*WORDS), lambda w: w != 0)
         return _added(found).select(words.alias("w"), F.col("n").alias("f"))
 
 
-def _added(counts: DataFrame) -> DataFrame:
-    return counts.groupBy(*WORDS).agg(F.sum("n").alias("n"))
+def _union(parts: list[DataFrame | None]) -> DataFrame:
+    known = [p for p in parts if p is not None]
+    found = known[0]
+    for part in known[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def _added(counts: DataFrame, *more: Column) -> DataFrame:
+    return counts.groupBy(*WORDS).agg(F.sum("n").alias("n"), *more)
 
 
 def _scored(totals: DataFrame) -> DataFrame:
@@ -468,7 +498,8 @@ def collocations(
 def _report(scan: _Scan, reported: int) -> DataFrame:
     totals = written(scan.totals(), "phrases-totals")
     phrases = _without_contained(_scored(totals), totals)
-    single = totals.filter(F.size("w") == 1).select(F.col("w")[0].alias("key"))
+    phrases = written(phrases, "phrases-scored")
+    single = phrases.select(F.explode("w").alias("key")).distinct()
     names = scan.words().join(small(single), "key", "left_semi").select("key", "lang", "word").distinct()
     names = written(names, "phrases-names")
     placed = phrases.select("*", F.posexplode("w").alias("place", "key")).join(small(names), "key")
