@@ -1,19 +1,24 @@
 """Toxicity by a learned lexicon, Levenshtein automata and context windows.
 
 The lexicon is learned from labelled rows: words and word beginnings that toxic rows hold
-far more often than others. It forms a trie. Levenshtein automata of all its words at once
-are intersected with that trie: a state is a set of (trie node, edits so far), and the
-states reached are kept, so that an ordinary word leaves the automaton after a few letters.
-A misspelling counts less than the word itself, and not at all where clean rows hold it.
-Each hit is weighed by its context: in quotation marks or after a reporting word it is a
-quotation and counts little; other hits within the window make it count more.
+far more often than others. It forms a trie, in which whole words stay beside the beginnings
+that cover them. Levenshtein automata of all its entries at once are intersected with that
+trie: a state is a set of (trie node, edits so far, letter that came too early), an edit
+inserts, deletes, replaces or swaps letters, and a bounded number of the states reached are
+kept, so that an ordinary word leaves the automaton after a few letters.
+A misspelling counts less than the word itself, and not at all where clean training rows
+hold it. Each hit is weighed by its context: in quotation marks or after a reporting word it
+is a quotation and counts little; other hits within the window make it count more.
 
 A logistic model over what hits a text has gives the score. The lexicon and the model are
 fitted on at most ``TRAINING_ROWS`` labelled rows of each class, those of least hash; every
 whole text is scored. Each worker gets the lexicon (at most ``LEXICON_SIZE`` entries).
 
 Defined cases: null and empty texts have no hit and get the score of such texts; without
-labelled rows of both classes every score is 0; rows that repeat an id are scored each.
+labelled rows of both classes every score is 0; rows that repeat an id are scored each, and
+so are rows without an id; very long texts, words and quotations are read whole, in time
+that grows with their length; of equally near entries the smaller one counts; an empty table
+gives no row; other columns may have any name and pass ``keep_clean`` as they are.
 """
 
 from __future__ import annotations
@@ -31,7 +36,6 @@ from rostra.llm.common import Batches, by_bytes, forget, held_out, map_batches,
 
 TRAINING_ROWS = 10_000
 LEXICON_SIZE = 2_000
-EXCEPTIONS = 20_000
 # Letters of the word beginnings that may become entries.
 SHORTEST, LONGEST = 3, 8
 LEAST_ROWS = 3
@@ -41,8 +45,14 @@ LEAST_DEVIATIONS = 3.2
 WINDOW = 6
 QUOTED = 0.25
 MISSPELLED = 0.7
+# Toxic rows for each clean one, from which on misspellings of an entry count.
+CLEAR = 8
 COMPANY = 0.25
-REMEMBERED = 500_000
+REMEMBERED = 200_000  # words, and states of the automaton, that a task keeps
+SPILLED = 100_000  # counted words that a task holds before it passes them on
+BATCH_BYTES = 1 << 20
+# Columns that no table of documents has.
+_BODY, _SCORE = "\u2020body", "\u2020score"
 COUNTS = "entry string, clean long, toxic long"
 # Words that announce somebody else's words, and quotation marks.
 REPORTING = frozenset(
@@ -50,13 +60,25 @@ REPORTING = frozenset(
     "sagte schrieb wort zitat dit écrit mot citation dijo escribió palabra cita".split()
 )
 QUOTES = re.compile(
-    r"[\"“”„«»](?:[^\"“”„«»\n]{1,300})[\"“”„«»]|(?<!\w)'[^'\n]{1,300}'(?!\w)|^>.*$", re.M
+    r"[\"“”„«»](?:[^\"“”„«»\n]++)[\"“”„«»]|(?<!\w)'[^'\n]++'(?!\w)|^>.*$", re.M
 )
 WORD = re.compile(r"\w+(?:[@$*]+\w+)*")
 
 
-def edits_allowed(word: str) -> int:
-    return 0 if len(word) < 5 else 1 if len(word) < 9 else 2
+def edits_allowed(entry: str) -> int:
+    """Edits of an entry, swaps among them; a beginning needs a letter more than a word."""
+    if entry.endswith("*"):
+        return 0 if len(entry) < 6 else 1
+    return 0 if len(entry) < 4 else 1 if len(entry) < 9 else 2
+
+
+def _without(word: str, most: int) -> list[str]:
+    """The word without up to so many of its letters."""
+    found = last = [word]
+    for _ in range(most):
+        last = list({w[:i] + w[i + 1 :] for w in last for i in range(len(w))})
+        found = found + last
+    return found
 
 
 @dataclass
@@ -68,72 +90,127 @@ class Lexicon:
     toxic_rows: int
     exceptions: frozenset[str] = frozenset()
     children: list[dict[str, int]] = field(default_factory=list)
-    ends: list[str | None] = field(default_factory=list)
+    words: dict[int, str] = field(default_factory=dict)
+    begins: dict[int, str] = field(default_factory=dict)
     allowed: list[int] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        self.children, self.ends, self.allowed = [{}], [None], [0]
-        for entry in self.entries:
-            word, node = entry.removesuffix("*"), 0
-            edits = 0 if entry.endswith("*") else edits_allowed(word)
+        self.children, self.allowed = [{}], [0]
+        # clear terms only: what clean rows begin with as well has no misspellings of its own
+        self.edits = {
+            entry: edits_allowed(entry) if toxic >= CLEAR * (clean + 0.5) else 0
+            for entry, (clean, toxic) in self.entries.items()
+        }
+        for entry, edits in self.edits.items():
+            node = 0
             self.allowed[0] = max(self.allowed[0], edits)
-            for letter in word:
+            for letter in entry.removesuffix("*"):
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
-                    self.ends.append(None)
                     self.allowed.append(0)
                 node = self.children[node][letter]
                 self.allowed[node] = max(self.allowed[node], edits)
-            if self.ends[node] is None or entry.endswith("*"):
-                self.ends[node] = entry
+            (self.begins if entry.endswith("*") else self.words)[node] = entry
         self.letters = set().union(*self.children)
+        self._list_remains()
         self._steps: dict[tuple[frozenset, str], frozenset] = {}
-        self._start = self._closed({(0, 0)})
-
-    def _closed(self, states: set[tuple[int, int]]) -> frozenset:
+        self._kept = 0
+        self._start = self._closed({(0, 0, "")})
+
+    def _list_remains(self) -> None:
+        """What is left of the entries without as many letters as they have edits.
+
+        A word within so many edits of an entry has such a remainder in common with it, so
+        words without one never enter the automata.
+        """
+        self.remains: list[set[str]] = [set(), set(), set()]
+        self.longest = [0, 0, 0]
+        self.begin_remains: dict[int, set[str]] = {}
+        for entry, edits in self.edits.items():
+            word = entry.removesuffix("*")
+            if entry.endswith("*"):
+                self.begin_remains.setdefault(len(word), set()).update(_without(word, edits))
+            else:
+                self.remains[edits].update(_without(word, edits))
+                self.longest[edits] = max(self.longest[edits], len(word) + edits)
+
+    def may_be_near(self, word: str) -> bool:
+        """False only for words that no automaton accepts."""
+        for edits, remains in enumerate(self.remains):
+            if len(word) <= self.longest[edits] and not remains.isdisjoint(_without(word, edits)):
+                return True
+        for length, remains in self.begin_remains.items():
+            for n in (length - 1, length, length + 1):
+                if n <= len(word) and not remains.isdisjoint(_without(word[:n], 1)):
+                    return True
+        return False
+
+    def _closed(self, states: set[tuple[int, int, str]]) -> frozenset:
         """With the states that skip letters of the lexicon's word."""
-        todo = list(states)
+        todo = [s for s in states if not s[2]]
         while todo:
-            node, edits = todo.pop()
+            node, edits, _ = todo.pop()
             for child in self.children[node].values():
-                if edits < self.allowed[child] and (child, edits + 1) not in states:
-                    states.add((child, edits + 1))
-                    todo.append((child, edits + 1))
+                after = (child, edits + 1, "")
+                if edits < self.allowed[child] and after not in states:
+                    states.add(after)
+                    todo.append(after)
         return frozenset(states)
 
     def _step(self, states: frozenset, letter: str) -> frozenset:
-        after: set[tuple[int, int]] = set()
-        for node, edits in states:
+        after: set[tuple[int, int, str]] = set()
+        for node, edits, early in states:
+            if early:  # the letter read before stands behind this one in the word
+                child = self.children[node].get(letter)
+                end = self.children[child].get(early) if child is not None else None
+                if end is not None and edits <= self.allowed[end]:
+                    after.add((end, edits, ""))
+                continue
             for other, child in self.children[node].items():
                 if other == letter:
-                    after.add((child, edits))
+                    after.add((child, edits, ""))
                 elif edits < self.allowed[child]:
-                    after.add((child, edits + 1))
+                    after.add((child, edits + 1, ""))
+                    if letter in self.children[child]:
+                        after.add((node, edits + 1, letter))
             if edits < self.allowed[node]:
-                after.add((node, edits + 1))
+                after.add((node, edits + 1, ""))
         return self._closed(after)
 
+    def _after(self, states: frozenset, letter: str) -> frozenset:
+        key = (states, letter if letter in self.letters else "")
+        after = self._steps.get(key)
+        if after is None:
+            if self._kept > REMEMBERED:
+                self._steps.clear()
+                self._kept = 0
+            after = self._steps[key] = self._step(*key)
+            self._kept += 1 + len(after)
+        return after
+
     def near(self, word: str) -> tuple[str, int] | None:
-        """The entry within its allowed edits of the word, and how many it takes."""
+        """The entry within its allowed edits of the word, or of how it begins, and how many."""
+        if not self.may_be_near(word):
+            return None
         states = self._start
+        found: list[tuple[int, str]] = []
         for letter in word:
-            key = (states, letter if letter in self.letters else "")
-            after = self._steps.get(key)
-            if after is None:
-                after = self._steps[key] = self._step(*key)
-            if not after:
-                return None
-            states = after
-        found = [
-            (edits, self.ends[node])
-            for node, edits in states
-            if self.ends[node]
-            and not self.ends[node].endswith("*")
-            and edits <= edits_allowed(self.ends[node])
-        ]
+            states = self._after(states, letter)
+            if not states:
+                break
+            if self.begins:
+                found += self._reached(states, self.begins)
+        found += self._reached(states, self.words)
         return min(found)[::-1] if found else None
 
+    def _reached(self, states: frozenset, ends: dict[int, str]) -> list[tuple[int, str]]:
+        return [
+            (edits, ends[node])
+            for node, edits, early in states
+            if not early and node in ends and edits <= self.edits[ends[node]]
+        ]
+
     def match(self, word: str) -> tuple[str, float] | None:
         """The entry a word stands for, and how much of its weight: exact, begun or misspelled."""
         if word in self.entries:
@@ -143,8 +220,8 @@ class Lexicon:
             node = self.children[node].get(letter, -1)
             if node < 0:
                 break
-            if (self.ends[node] or "").endswith("*"):
-                return self.ends[node], 1.0
+            if node in self.begins:
+                return self.begins[node], 1.0
         if word in self.exceptions or len(word) < 4:
             return None
         found = self.near(word)
@@ -171,6 +248,7 @@ class Reader:
     def _learn(self, words: set[str]) -> None:
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
+            self.hits.clear()
         fresh = words - self.seen
         self.seen |= fresh
         for word in fresh:
@@ -241,22 +319,28 @@ def _beginnings(text: str) -> set[str]:
 
 
 def _count(batches: Batches) -> Batches:
-    """Rows of each class that hold a word or beginning, summed in the task."""
+    """Rows of each class that hold a word or beginning, summed in the task part by part."""
     clean, toxic = Counter(), Counter()
-    for batch in batches:
+    for batch in by_bytes(batches, "text", BATCH_BYTES):
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             (toxic if label else clean).update(_beginnings(text))
+            if len(clean) + len(toxic) > SPILLED:
+                yield _counts(clean, toxic)
+                clean.clear()
+                toxic.clear()
+    yield _counts(clean, toxic)
+
+
+def _counts(clean: Counter, toxic: Counter) -> pa.RecordBatch:
     names = list(clean.keys() | toxic.keys())
-    for begin in range(0, len(names), 50_000):
-        part = names[begin : begin + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(part, pa.string()),
-                pa.array([clean[w] for w in part], pa.int64()),
-                pa.array([toxic[w] for w in part], pa.int64()),
-            ],
-            ["entry", "clean", "toxic"],
-        )
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(names, pa.string()),
+            pa.array([clean[w] for w in names], pa.int64()),
+            pa.array([toxic[w] for w in names], pa.int64()),
+        ],
+        ["entry", "clean", "toxic"],
+    )
 
 
 def _misspelled(lexicon: Lexicon):
@@ -274,7 +358,7 @@ def _features(lexicon: Lexicon):
 
     def run(batches: Batches) -> Batches:
         reader = Reader(lexicon)
-        for batch in batches:
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
             labels = batch.column("toxic")
             rows = [
                 reader.features(t, y)
@@ -342,9 +426,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     near = map_batches(
         counts.filter("clean > 0 AND entry NOT LIKE '%*'"), _misspelled(lexicon), COUNTS
     )
-    lexicon.exceptions = frozenset(
-        r["entry"] for r in near.orderBy(F.desc("clean"), "entry").limit(EXCEPTIONS).collect()
-    )
+    # words of at most ``rows`` clean texts: bounded like the training rows
+    lexicon.exceptions = frozenset(r["entry"] for r in near.select("entry").collect())
     run, schema = _features(lexicon)
     data = np.array(map_batches(train, run, schema).collect(), float)
     # The classes were chosen apart: give each the weight it has among all labels.
@@ -360,8 +443,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
 
 
 def _fewest(found: list) -> dict[str, tuple[int, int]]:
-    """The most specific entries: no beginning that one longer entry covers nearly as well,
-    and no entry that a kept beginning covers about as well."""
+    """The most specific beginnings: none that one longer entry covers nearly as well, and none
+    that a shorter one covers about as well. Whole words all stay, for their own edits."""
     rows = {r["entry"]: r for r in found}
 
     def beginnings(entry: str) -> list[str]:
@@ -375,9 +458,11 @@ def _fewest(found: list) -> dict[str, tuple[int, int]]:
     kept = {}
     for row in sorted(found, key=lambda r: (len(r["entry"]), r["entry"])):
         entry = row["entry"]
-        if longer[entry] >= 0.95 * row["toxic"]:
-            continue
-        if all(rows[s]["odds"] + 0.7 < row["odds"] for s in beginnings(entry) if s in kept):
+        if not entry.endswith("*"):
+            kept[entry] = (row["clean"], row["toxic"])
+        elif longer[entry] < 0.95 * row["toxic"] and all(
+            rows[s]["odds"] + 0.7 < row["odds"] for s in beginnings(entry) if s in kept
+        ):
             kept[entry] = (row["clean"], row["toxic"])
     return kept
 
@@ -385,25 +470,25 @@ def _fewest(found: list) -> dict[str, tuple[int, int]]:
 def _scored(model: Model | None):
     def run(batches: Batches) -> Batches:
         reader = Reader(model.lexicon) if model else None
-        for batch in by_bytes(batches, "_body"):
+        for batch in by_bytes(batches, _BODY, BATCH_BYTES):
             if model:
-                rows = [reader.features(t) for t in batch.column("_body").to_pylist()]
+                rows = [reader.features(t) for t in batch.column(_BODY).to_pylist()]
                 score = model.scores(np.array(rows, float).reshape(-1, 6))
             else:
                 score = np.zeros(batch.num_rows)
-            names = [n for n in batch.schema.names if n != "_body"]
+            names = [n for n in batch.schema.names if n != _BODY]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(score)], [*names, "_score"]
+                [*(batch.column(n) for n in names), pa.array(score)], [*names, _SCORE]
             )
 
     return run
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``_score``; all columns pass through as they are."""
+    """``docs`` with the score in a column of its own; all columns pass through as they are."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    schema = ", ".join([*fields, "_score double"])
-    return map_batches(docs.withColumn("_body", whole_text(text)), _scored(model), schema)
+    schema = ", ".join([*fields, f"`{_SCORE}` double"])
+    return map_batches(docs.withColumn(_BODY, whole_text(text)), _scored(model), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -412,12 +497,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs.select("doc_id", "text"), model).select(
         "doc_id",
         held_out().alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        F.col(_SCORE).alias("score"),
+        (F.col(_SCORE) >= 0.5).cast("int").alias("predicted"),
     )
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted as toxic."""
     model = learn(docs, labels)
-    return score(docs, model).filter("_score < 0.5").drop("_score")
+    return score(docs, model).filter(F.col(_SCORE) < 0.5).drop(_SCORE)
