@@ -1,20 +1,27 @@
 """Personal data: patterns, and words that reveal it by co-occurrence.
 
 Base spans come from four patterns. Information-theoretic sanitisation then asks of every
-word near them how much it tells about the value beside it. Over the whole corpus, with N
-documents, n(t) of them with word t, n(e) with value e and n(t, e) with t within ``WINDOW``
-words of e, the word discloses log2(n(t, e) N / (n(t) n(e))) bits about e. A word goes if it
-discloses ``LEAST_BITS`` bits, if documents with it have the value beside it with a
-probability of ``LEAST_SHARE``, and if it does so in ``LEAST_CONTEXTS`` different contexts
-(verbatim copies of a text are one context). It is generalised to the kind of data where it
-reveals several values, and removed where it reveals one.
+word near them how much it tells about what stands beside it. Protected entities are the
+values and the classes they belong to: the local part and the domain of an address, the
+issuer's digits of a card, the prefix of a phone number, the network of an ip. Over the
+whole corpus, with N documents, n(t) of them with word t, n(e) with entity e and n(t, e) with
+t within ``WINDOW`` words of e, the word discloses log2(n(t, e) N / (n(t) n(e))) bits about
+e. The entity itself holds log2(N / n(e)) bits, so frequent ones are protected like rare
+ones. A word goes if it discloses ``LEAST_PART`` of those bits, if documents with it have the
+entity beside it with a probability of ``LEAST_SHARE``, and if it does so in
+``LEAST_CONTEXTS`` different contexts (verbatim copies of a text are one context). It is
+removed where it reveals one value, and generalised to the kind of data where it reveals
+several values or a class.
 
 Pairs are counted per task before they are shuffled, and pairs exist only within windows
 around values. Word lists go to the tasks in parts of ``PART_BYTES``, in several passes if
 they are longer.
 
 Defined cases: null and empty texts have no span; rows are treated one by one, so repeated
-ids and null ids give a row each; without words to remove the spans are the base spans.
+ids and null ids give a row each; without words to remove the spans are the base spans; very
+long texts, digit runs and words are read whole, in time that grows with their length; an
+empty table gives no row; only ``doc_id`` and ``text`` are read, so other columns may have
+any name.
 """
 
 from __future__ import annotations
@@ -32,16 +39,18 @@ from pyspark.sql import functions as F
 from rostra.llm.common import Batches, by_bytes, forget, map_batches, small, whole_text, written
 
 KINDS = ("email", "ip", "card", "phone")
+CLASS_DIGITS = {"card": 6, "phone": 5}  # leading digits: the issuer, the area
 WINDOW = 6
-LEAST_BITS = 6.0
+LEAST_PART = 0.8
 LEAST_SHARE = 0.5
-LEAST_CONTEXTS = 3
+LEAST_CONTEXTS = 2
 LEAST_LETTERS = 3
 PART_BYTES = 16 << 20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A run of digits is read once: it is no start in its own middle, and gives nothing back.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -98,6 +107,19 @@ def value_of(text: str, span: Span) -> str:
     return f"{kind}:{raw.lower() if kind == 'email' else raw if kind == 'ip' else re.sub(r'[^0-9]', '', raw)}"
 
 
+def entities_of(text: str, span: Span) -> list[str]:
+    """The value of a span and the classes it belongs to, each as kind and value."""
+    value = value_of(text, span)
+    kind, _, raw = value.partition(":")
+    if kind == "email":
+        local, _, domain = raw.partition("@")
+        return [value, f"email/local:{local}", f"email/domain:{domain}"]
+    if kind == "ip":
+        return [value, f"ip/network:{raw.rpartition('.')[0]}"]
+    digits = CLASS_DIGITS[kind]
+    return [value, f"{kind}/class:{raw[:digits]}"]
+
+
 def _free_words(text: str, base: list[Span]) -> list[tuple[str, int, int]]:
     """Lower-case words outside of base spans, with their places."""
     found, k = [], 0
@@ -127,7 +149,8 @@ def _near(batches: Batches) -> Batches:
                 around = [w[0] for w in words[max(0, at - WINDOW) : at + WINDOW]]
                 terms = {w for w in around if len(w) >= LEAST_LETTERS and not w.isdigit()}
                 context = xxhash.xxh3_64_intdigest(" ".join(around)) >> 1
-                values.setdefault(value_of(text, span), {}).update(dict.fromkeys(terms, context))
+                for entity in entities_of(text, span):
+                    values.setdefault(entity, {}).update(dict.fromkeys(terms, context))
                 any_value |= terms
             for value, terms in values.items():
                 counts[value, None, 0] += 1
@@ -173,7 +196,7 @@ def _parts(terms: DataFrame) -> list[DataFrame]:
 
 def revealing_terms(
     docs: DataFrame,
-    least_bits: float = LEAST_BITS,
+    least_part: float = LEAST_PART,
     least_share: float = LEAST_SHARE,
     least_contexts: int = LEAST_CONTEXTS,
 ) -> DataFrame:
@@ -204,16 +227,18 @@ def revealing_terms(
             counts = counts.unionByName(map_batches(texts, _holders(listed), "term string, n_term long"))
     counts = counts.groupBy("term").agg(F.sum("n_term").alias("n_term"))
     bits = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_value")))
-    several = F.countDistinct("value") > 1
+    own = F.log2(F.lit(float(total)) / F.col("n_value"))  # 0 for what stands in all documents
+    is_class = F.split_part("value", F.lit(":"), F.lit(1)).contains("/")
+    kind = F.regexp_extract(F.min("value"), "^[a-z]+", 0)
+    one_value = F.countDistinct(F.when(~is_class, F.col("value"))) == 1
     found = (
         pairs.join(counts, "term")
         .withColumn("bits", bits)
-        .filter((F.col("bits") >= least_bits) & (F.col("n_both") >= least_share * F.col("n_term")))
+        .filter((own > 0) & (F.col("bits") >= least_part * own - 1e-9))
+        .filter(F.col("n_both") >= least_share * F.col("n_term"))
         .groupBy("term")
         .agg(
-            F.when(several, F.concat(F.lit("["), F.split_part(F.min("value"), F.lit(":"), F.lit(1)), F.lit("]")))
-            .otherwise(F.lit(""))
-            .alias("action"),
+            F.when(one_value, F.lit("")).otherwise(F.concat(F.lit("["), kind, F.lit("]"))).alias("action"),
             F.max("bits").alias("bits"),
         )
     )

@@ -1,6 +1,9 @@
 import hashlib
+import math
 import random
 import re
+import time
+from collections import Counter
 
 import pytest
 
@@ -51,7 +54,7 @@ def docs_of(spark):
 
 def test_terms_and_texts(spark):
     docs = docs_of(spark)
-    listed = revealing_terms(docs, least_bits=4.0)
+    listed = revealing_terms(docs)
     terms = {r.term: r.action for r in listed.collect()}
     assert terms == {"zorro": "", "mail": "", "desk": "[email]"}
     found = sanitise(docs, listed).collect()
@@ -68,10 +71,72 @@ def test_terms_and_texts(spark):
             assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
 
 
+def plain_terms(texts):
+    """Words and their actions, counted document by document."""
+    n_term, n_entity, n_both, contexts = Counter(), Counter(), Counter(), {}
+    for text in texts:
+        n_term.update(set(re.findall(r"\w+", text.lower())))
+        base, near = plain(text), {}
+        free = [m for m in re.finditer(r"\w+", text) if all(m.end() <= a or m.start() >= b for _, a, b in base)]
+        for kind, a, b in base:
+            raw = text[a:b].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", text[a:b])
+            names = [f"{kind}:{raw}"]
+            if kind == "email":
+                names += ["local:" + raw.split("@")[0], "domain:" + raw.split("@")[1]]
+            elif kind == "ip":
+                names.append("net:" + raw.rsplit(".", 1)[0])
+            else:
+                names.append(f"class-{kind}:" + raw[: {"card": 6, "phone": 5}[kind]])
+            before = [m[0].lower() for m in free if m.start() < a][-6:]
+            after = [m[0].lower() for m in free if m.start() >= a][:6]
+            for name in names:
+                for w in {*before, *after}:
+                    if len(w) >= 3 and not w.isdigit():
+                        near.setdefault(name, {})[w] = (*before, *after)
+                near.setdefault(name, {})
+        for name, words in near.items():
+            n_entity[name] += 1
+            for w, context in words.items():
+                n_both[name, w] += 1
+                contexts.setdefault((name, w), set()).add(context)
+    found = {}
+    for (e, w), both in n_both.items():
+        own = math.log2(len(texts) / n_entity[e])
+        bits = math.log2(both * len(texts) / (n_term[w] * n_entity[e]))
+        if own > 0 and bits >= 0.8 * own - 1e-9 and both >= 0.5 * n_term[w] and len(contexts[e, w]) >= 2:
+            found.setdefault(w, set()).add(e)
+    full = {w: {e for e in es if e.split(":")[0] in disclosure.KINDS} for w, es in found.items()}
+    return {w: "" if len(full[w]) == 1 else "[]" for w in found}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_terms_against_plain_counts(spark, seed):
+    rng = random.Random(seed)
+    people = [("ann", "ann@a.com"), ("bob", "bob@b.org"), ("cy", "+49 30 1234567"), ("dee", "4111 1111 1111 1111"), ("eve", "10.0.0.7"), ("fay", "fay@a.com")]
+    texts = ["", "contact ann"]
+    for _ in range(250):
+        words = rng.choices([f"w{i}" for i in range(80)] + ["contact", "mail"], k=rng.randint(3, 25))
+        if rng.random() < 0.4:
+            name, value = rng.choice(people[: rng.choice([1, 6])])
+            words.insert(rng.randrange(len(words)), f"{rng.choice(['nick' + name, 'the', name * 2])} {value}")
+        texts.append(" ".join(words))
+    texts += [texts[5]] * 4
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.term: re.sub("[a-z]", "", r.action) for r in revealing_terms(docs.repartition(3)).collect()}
+    assert found == plain_terms(texts) and len(found) > 2
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "." * 1_000_000, "1." * 500_000, "a" * 1_000_000, "@" * 1_000_000, "a@" * 500_000, "+1 " * 300_000, "4 " * 500_000, "a.b" * 300_000])
+def test_very_long_runs(text):
+    begin = time.time()
+    base_spans(text)
+    assert time.time() - begin < 5
+
+
 def test_long_word_lists_give_the_same(spark, monkeypatch):
     docs = docs_of(spark)
     key = lambda r: (str(r.doc_id), r.spans, r.text)
-    listed = revealing_terms(docs, least_bits=4.0)
+    listed = revealing_terms(docs)
     expected = sorted(map(key, sanitise(docs, listed).collect()))
     monkeypatch.setattr(disclosure, "PART_BYTES", 70)
     assert sorted(map(key, sanitise(docs, listed).collect())) == expected
