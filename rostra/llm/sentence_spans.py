@@ -31,7 +31,8 @@ from rostra.llm.common import Batches, by_bytes, map_batches, small, whole_text,
 LEAST_WORDS = 12  # of two or more sentences
 ALONE_WORDS = 40  # of one sentence
 BROADCAST_BYTES = 8 << 20  # of repeated hashes; more are joined by a shuffle
-_BREAK = re.compile(r"[.!?]+\s+|\n+")
+# A run of stops is read once: it is no start in its own middle, and gives nothing back.
+_BREAK = re.compile(r"(?<![.!?])[.!?]++\s+|\n+")
 
 
 def sentences(text: str) -> list[str]:

@@ -109,3 +109,13 @@ def test_spans_are_of_two_sentences():
                 if n[a] and n[b - 1] and several and len(inner) < 2:
                     expected.add((a, b))
         assert {(a, b) for _, a, b in spans(parts, 12, 14)} == expected
+
+
+@pytest.mark.parametrize("text", ["." * 1_000_000, "a." * 500_000, "!? " * 300_000, "word " * 200_000, "\n" * 1_000_000, "7" * 1_000_000])
+def test_very_long_runs(text):
+    import time
+
+    begin = time.time()
+    parts = sentences(text)
+    assert "".join(parts) == text
+    assert time.time() - begin < 5
