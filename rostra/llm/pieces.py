@@ -240,7 +240,7 @@ def words(text: str) -> list[str]:
 
 class Sampler:
     def __init__(self, model: str, seed: int, temperature: float):
-        self.vocabulary, self.seed = Vocabulary(model, temperature), seed
+        self.vocabulary, self.seed = _vocabulary(model, temperature), seed
 
     def sample(self, keys: list[int | None], texts: list[str]) -> list[np.ndarray]:
         """The ids of the pieces drawn for each text."""
@@ -286,6 +286,17 @@ class Sampler:
         return self.vocabulary.decode(ids.tolist())
 
 
+# One table of pieces per worker process: it is the same for all tasks.
+_vocabularies: dict[tuple[str, float], Vocabulary] = {}
+
+
+def _vocabulary(model: str, temperature: float) -> Vocabulary:
+    if (model, temperature) not in _vocabularies:
+        _vocabularies.clear()
+        _vocabularies[model, temperature] = Vocabulary(model, temperature)
+    return _vocabularies[model, temperature]
+
+
 def _encode(model: str, seed: int, temperature: float):
     def run(batches: Batches) -> Batches:
         sampler = Sampler(model, seed, temperature)
@@ -309,7 +320,7 @@ def _encode(model: str, seed: int, temperature: float):
 
 def _decode(model: str):
     def run(batches: Batches) -> Batches:
-        vocabulary = Vocabulary(model, 1.0)
+        vocabulary = _vocabulary(model, 1.0)
         for batch in batches:
             texts = [vocabulary.decode(ids or []) for ids in batch.column("ids").to_pylist()]
             names = [n for n in batch.schema.names if n != "ids"]

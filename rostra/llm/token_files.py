@@ -128,9 +128,20 @@ class SpacedEncoder:
         return ids, np.diff(upto[last], prepend=0)
 
 
+# One encoder per worker process: a later task finds the pieces of earlier ones.
+_encoders: dict[tuple[str, int], SpacedEncoder] = {}
+
+
+def _encoder(vocabulary: str, end_id: int) -> SpacedEncoder:
+    if (vocabulary, end_id) not in _encoders:
+        _encoders.clear()
+        _encoders[vocabulary, end_id] = SpacedEncoder(vocabulary, end_id)
+    return _encoders[vocabulary, end_id]
+
+
 def _encode(vocabulary: str, end_id: int):
     def run(batches: Batches) -> Batches:
-        encoder, place = SpacedEncoder(vocabulary, end_id), 0
+        encoder, place = _encoder(vocabulary, end_id), 0
         for batch in by_bytes(batches, "text"):
             ids, totals = encoder.encode(batch.column("text"))
             offsets = np.concatenate([[0], np.cumsum(totals)])
