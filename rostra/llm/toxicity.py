@@ -48,7 +48,7 @@ MISSPELLED = 0.7
 # Toxic rows for each clean one, from which on misspellings of an entry count.
 CLEAR = 8
 COMPANY = 0.25
-REMEMBERED = 200_000  # words, and states of the automaton, that a task keeps
+REMEMBERED = 500_000  # words, and states of the automaton, that a task keeps
 SPILLED = 100_000  # counted words that a task holds before it passes them on
 BATCH_BYTES = 1 << 20
 # Columns that no table of documents has.
@@ -72,13 +72,9 @@ def edits_allowed(entry: str) -> int:
     return 0 if len(entry) < 4 else 1 if len(entry) < 9 else 2
 
 
-def _without(word: str, most: int) -> list[str]:
-    """The word without up to so many of its letters."""
-    found = last = [word]
-    for _ in range(most):
-        last = list({w[:i] + w[i + 1 :] for w in last for i in range(len(w))})
-        found = found + last
-    return found
+def _without_one(word: str) -> list[str]:
+    """The word without each of its letters in turn."""
+    return [word[:i] + word[i + 1 :] for i in range(len(word))]
 
 
 @dataclass
@@ -102,6 +98,8 @@ class Lexicon:
             for entry, (clean, toxic) in self.entries.items()
         }
         for entry, edits in self.edits.items():
+            if not edits:  # found as it is, or as a beginning, without an automaton
+                continue
             node = 0
             self.allowed[0] = max(self.allowed[0], edits)
             for letter in entry.removesuffix("*"):
@@ -115,36 +113,58 @@ class Lexicon:
         self.letters = set().union(*self.children)
         self._list_remains()
         self._steps: dict[tuple[frozenset, str], frozenset] = {}
+        self._ends: dict[frozenset, tuple[list, list]] = {}
         self._kept = 0
         self._start = self._closed({(0, 0, "")})
 
     def _list_remains(self) -> None:
-        """What is left of the entries without as many letters as they have edits.
+        """What must be left of an entry in any word that is near it.
 
-        A word within so many edits of an entry has such a remainder in common with it, so
-        words without one never enter the automata.
+        A word one edit away has a remainder without one letter in common with the entry. Of
+        an entry cut into one part more than it has edits, with a letter between parts so
+        that a swap breaks one only, some part stands whole in the word, shifted by its edits at most.
         """
-        self.remains: list[set[str]] = [set(), set(), set()]
-        self.longest = [0, 0, 0]
-        self.begin_remains: dict[int, set[str]] = {}
+        self.once: set[str] = set()
+        self.longest = 0
+        self.parts: dict[tuple[bool, int, int], set[tuple[int, str]]] = {}
         for entry, edits in self.edits.items():
-            word = entry.removesuffix("*")
-            if entry.endswith("*"):
-                self.begin_remains.setdefault(len(word), set()).update(_without(word, edits))
-            else:
-                self.remains[edits].update(_without(word, edits))
-                self.longest[edits] = max(self.longest[edits], len(word) + edits)
+            word, begins = entry.removesuffix("*"), entry.endswith("*")
+            if not edits:
+                continue
+            if edits < 2 and not begins:
+                self.once.update(_without_one(word), [word])
+                self.longest = max(self.longest, len(word) + edits)
+                continue
+            size, more = divmod(len(word) - edits, edits + 1)
+            at = 0
+            for part in range(edits + 1):
+                end = at + size + (part < more)
+                self.parts.setdefault((begins, len(word), edits), set()).add((at, word[at:end]))
+                at = end + 1
+        self.furthest = max((size + edits for _, size, edits in self.parts), default=0) + 1
+        self._probes: dict[int, list[tuple[int, int, set[str]]]] = {}
+
+    def _probes_of(self, length: int) -> list[tuple[int, int, set[str]]]:
+        """Places of a word of some length, and the parts that may stand there."""
+        found: dict[tuple[int, int], set[str]] = {}
+        for (begins, size, edits), parts in self.parts.items():
+            if length < size - edits or (length > size + edits and not begins):
+                continue
+            for at, part in parts:
+                for start in range(max(at - edits, 0), at + edits + 1) if at else (0,):
+                    found.setdefault((start, start + len(part)), set()).add(part)
+        return [(start, end, parts) for (start, end), parts in found.items()]
 
     def may_be_near(self, word: str) -> bool:
         """False only for words that no automaton accepts."""
-        for edits, remains in enumerate(self.remains):
-            if len(word) <= self.longest[edits] and not remains.isdisjoint(_without(word, edits)):
+        if len(word) <= self.longest:
+            if word in self.once or not self.once.isdisjoint(_without_one(word)):
                 return True
-        for length, remains in self.begin_remains.items():
-            for n in (length - 1, length, length + 1):
-                if n <= len(word) and not remains.isdisjoint(_without(word[:n], 1)):
-                    return True
-        return False
+        length = min(len(word), self.furthest)  # beyond it only beginnings matter
+        probes = self._probes.get(length)
+        if probes is None:
+            probes = self._probes[length] = self._probes_of(length)
+        return any(word[start:end] in parts for start, end, parts in probes)
 
     def _closed(self, states: set[tuple[int, int, str]]) -> frozenset:
         """With the states that skip letters of the lexicon's word."""
@@ -184,6 +204,7 @@ class Lexicon:
         if after is None:
             if self._kept > REMEMBERED:
                 self._steps.clear()
+                self._ends.clear()
                 self._kept = 0
             after = self._steps[key] = self._step(*key)
             self._kept += 1 + len(after)
@@ -199,29 +220,31 @@ class Lexicon:
             states = self._after(states, letter)
             if not states:
                 break
-            if self.begins:
-                found += self._reached(states, self.begins)
-        found += self._reached(states, self.words)
+            found += self._reached(states)[0]
+        found += self._reached(states)[1]
         return min(found)[::-1] if found else None
 
-    def _reached(self, states: frozenset, ends: dict[int, str]) -> list[tuple[int, str]]:
-        return [
-            (edits, ends[node])
-            for node, edits, early in states
-            if not early and node in ends and edits <= self.edits[ends[node]]
-        ]
+    def _reached(self, states: frozenset) -> tuple[list, list]:
+        """Beginnings and words whose ends are among the states, with their edits."""
+        known = self._ends.get(states)
+        if known is None:
+            known = self._ends[states] = tuple(
+                [
+                    (edits, ends[node])
+                    for node, edits, early in states
+                    if not early and node in ends and edits <= self.edits[ends[node]]
+                ]
+                for ends in (self.begins, self.words)
+            )
+        return known
 
     def match(self, word: str) -> tuple[str, float] | None:
         """The entry a word stands for, and how much of its weight: exact, begun or misspelled."""
         if word in self.entries:
             return word, 1.0
-        node = 0
-        for letter in word:
-            node = self.children[node].get(letter, -1)
-            if node < 0:
-                break
-            if node in self.begins:
-                return self.begins[node], 1.0
+        for n in range(SHORTEST, min(len(word), LONGEST) + 1):
+            if word[:n] + "*" in self.entries:
+                return word[:n] + "*", 1.0
         if word in self.exceptions or len(word) < 4:
             return None
         found = self.near(word)
