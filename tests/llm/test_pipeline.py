@@ -34,5 +34,5 @@ def test_queries_are_registered():
     from __spark_entry__ import oracle_sql, queries
 
     names = [n for n in queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
     assert {"op4_topk", "op6_exact_dedup"} <= set(oracle_sql())
