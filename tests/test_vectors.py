@@ -193,3 +193,29 @@ def test_the_iteration_ends_when_values_rest(spark, monkeypatch):
     model = lsa.lsa_fit(postings, vocab, n_components=3, kept=3, iterations=30)
     steps = [n for n in names if n.startswith("basis-")]
     assert 2 < len(steps) < 8 and len(model.singular_values) == 3
+
+
+def test_single_terms_are_merged(spark):
+    """Terms of one document stand in one column of their length; their components come back."""
+    rows = [(i, f"t{i % 5}", 1 + i % 3) for i in range(40)]
+    rows += [(i, f"own{i}-{j}", j) for i in range(0, 40, 2) for j in (1, 2, 2)[: i % 4 + 1]]
+    rows = sorted(set(rows))
+    postings = spark.createDataFrame(rows, "doc_id long, term string, tf long").cache()
+    vocab = index.with_idf(index.doc_freq(postings), F.lit(40)).cache()
+    merged, members = lsa._merged(index.tfidf_rows(postings, index.with_term_id(vocab), "term_id", "df"))
+    assert members.count() == vocab.where("df = 1").count() > 20
+    assert merged.agg(F.sum(F.size("term_ids"))).first()[0] == 40 + 20
+    model = lsa.lsa_fit(postings, vocab, n_components=6, kept=6, iterations=12)
+    terms = sorted(r["term"] for r in vocab.collect())
+    matrix = np.zeros((40, len(terms)))
+    for r in index.tfidf_docs(postings, vocab).collect():
+        matrix[r["doc_id"], terms.index(r["term"])] = r["weight"]
+    comps = {r["term"]: r["comp"] for r in model.terms.collect()}
+    components = np.array([comps[t] for t in terms])
+    assert np.abs(components.T @ components - np.eye(6)).max() < 1e-8
+    assert model.singular_values == pytest.approx(list(np.linalg.svd(matrix)[1][:6]), rel=1e-3)
+    docs = {r["doc_id"]: r["vec"] for r in model.docs.collect()}
+    assert np.abs(matrix @ components - np.array([docs[i] for i in range(40)])).max() < 1e-8
+    wrong = vocab.withColumn("df", F.lit(1).cast("long"))  # of another corpus: nothing may be merged
+    kept, none = lsa._merged(index.tfidf_rows(postings, index.with_term_id(wrong), "term_id", "df"))
+    assert none is None and kept.agg(F.sum(F.size("term_ids"))).first()[0] == len(rows)
