@@ -195,6 +195,37 @@ def test_the_iteration_ends_when_values_rest(spark, monkeypatch):
     assert 2 < len(steps) < 8 and len(model.singular_values) == 3
 
 
+def test_documents_meet_one_vector_per_term(spark, model_input):
+    """Products of given vectors: terms without or with two vectors, missing numbers."""
+    texts, postings, vocab = model_input
+    numbered = materialize(index.with_term_id(vocab), "numbered")
+    made = numbered.select("term_id", F.array(F.col("term_id") * 0.5, F.lit(-1.0), F.lit(9.0)).alias("comp"))
+    none = F.lit(None).cast("double")
+    terms = made.where("term_id > 1").unionByName(made.where("term_id = 7")).unionByName(
+        numbered.where("term_id = 1").select("term_id", F.array(none, none).alias("comp"))
+    )
+    only = spark.createDataFrame([(900, 1.0, "w000", 3), (901, 1.0, "w001", 1)], "doc_id long, norm double, term string, tf long")
+    more = postings.unionByName(only.select(*postings.columns))
+    weights = index.tfidf_docs(more, numbered)
+    plain = weights.join(numbered.select("term", "term_id"), "term").join(terms, "term_id").groupBy("doc_id").agg(
+        *[F.sum(F.col("weight") * F.get("comp", F.lit(j))).alias(f"c{j}") for j in range(2)]
+    )
+    expected = {r["doc_id"]: [r["c0"], r["c1"]] for r in plain.collect()}
+    found = {r["doc_id"]: r["vec"] for r in lsa.project(more, numbered, terms, 2, docs_per_block=20).collect()}
+    assert found.keys() == expected.keys() and 900 not in found and found[901] == [None, None]
+    for doc, vec in expected.items():
+        assert found[doc] == (vec if None in vec else pytest.approx(vec, abs=1e-9))
+
+
+def test_project_shuffles_vectors_by_block(model_input):
+    """No vector reaches the aggregate of every posting."""
+    _, postings, vocab = model_input
+    numbered = materialize(index.with_term_id(vocab), "numbered")
+    terms = numbered.select("term_id", F.array(F.lit(1.0), F.lit(2.0)).alias("comp"))
+    plan = lsa.project(postings, numbered, terms, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Aggregate" not in plan
+
+
 def test_single_terms_are_merged(spark):
     """Terms of one document stand in one column of their length; their components come back."""
     rows = [(i, f"t{i % 5}", 1 + i % 3) for i in range(40)]
