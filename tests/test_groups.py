@@ -147,3 +147,17 @@ def test_products_are_dealt_by_blocks(spark, monkeypatch):
     assert "(term#" not in "".join(line for line in plan.splitlines() if "Join" in line)
     assert found.count() == 21 and found.where("abs(similarity - 1) < 1e-9").count() == 21
     assert pairs.similar_entities(vectors.limit(0)).count() == 0
+
+
+def test_groupings_shuffle_the_base_once(spark, corpus, plain):
+    """Counts of all groupings are summed, and meet the vocabulary, where the rows of a term are."""
+    base = groups.group_base(corpus, plain).localCheckpoint()
+    vocab = spark.createDataFrame([("tax", 1.0), ("school", 2.0)], "term string, idf double")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = groups._weighted(groups.all_groupings(base), vocab)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("Exchange hashpartitioning(") == 2 and "Expand" not in plan and "SortMergeJoin" not in plan
