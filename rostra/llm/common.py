@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -21,10 +22,29 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker that waits for a task would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def _giving_back(fn: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow`` with this package shipped to the workers."""
+    """``mapInArrow`` with this package shipped to the workers, which keep no freed memory."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_giving_back(fn), schema)
 
 
 def by_bytes(batches: Batches, column: str, limit: int = 8 << 20) -> Batches:

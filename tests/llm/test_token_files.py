@@ -63,3 +63,22 @@ def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     write_tokens(docs, str(tmp_path / "none"), files=2)
     assert token_digest(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_tasks_give_freed_memory_back(spark, tmp_path, monkeypatch):
+    """A worker waits for its next task without the memory of its last one."""
+    from rostra.llm import common
+
+    given = str(tmp_path / "given")
+    real = common.give_back
+
+    def noted():
+        real()
+        open(given, "a").write("x")
+
+    monkeypatch.setattr(common, "give_back", noted)
+    run = common._giving_back(lambda batches: (b for b in batches))
+    batch = pa.record_batch({"x": [1]})
+    assert list(run(iter([batch]))) == [batch] and Path(given).read_text() == "x"
+    docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
+    assert common.map_batches(docs, lambda b: b, "doc_id long, text string").count() == 1
