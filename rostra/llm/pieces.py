@@ -31,6 +31,7 @@ from rostra.llm.common import Batches, by_bytes, map_batches, whole_text
 
 SPACE = "▁"
 LITERAL = "\udc00"  # no text holds it: stands for a real U+2581
+BATCH_BYTES = 1 << 19  # of text, whose lattices are in memory together
 SEED = 1
 TEMPERATURE = 0.5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -300,7 +301,7 @@ def _vocabulary(model: str, temperature: float) -> Vocabulary:
 def _encode(model: str, seed: int, temperature: float):
     def run(batches: Batches) -> Batches:
         sampler = Sampler(model, seed, temperature)
-        for batch in by_bytes(batches, "_text", 1 << 20):
+        for batch in by_bytes(batches, "_text", BATCH_BYTES):
             texts = batch.column("_text").to_pylist()
             found = sampler.sample(batch.column("_key").to_pylist(), texts)
             offsets = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())

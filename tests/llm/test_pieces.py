@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from rostra.llm.pieces import SPACE, Sampler, decode, encode, words
@@ -73,3 +74,22 @@ def test_same_row_same_pieces(spark):
 def test_long_rows_keep_memory_small(sampler):
     ids = sampler.sample([1], [" ".join(["word"] * 200_000)])[0]
     assert isinstance(ids, np.ndarray) and len(ids) >= 200_000
+
+
+def test_lattices_hold_half_a_megabyte_of_text(monkeypatch):
+    """All words of a batch are filtered together, so a batch bounds the memory of a worker."""
+    from rostra.llm import pieces
+
+    sizes = []
+
+    class Noting(Sampler):
+        def sample(self, keys, texts):
+            sizes.append(sum(map(len, texts)))
+            return super().sample(keys, texts)
+
+    monkeypatch.setattr(pieces, "Sampler", Noting)
+    texts = [f"word{i} " * 1000 for i in range(200)]
+    batch = pa.record_batch({"doc_id": range(200), "_key": range(200), "_text": texts})
+    found = pa.Table.from_batches(pieces._encode(MODEL, 1, 1.0)(iter([batch])))
+    assert found.num_rows == 200 and all(found.column("lossless").to_pylist())
+    assert max(sizes) < 600_000
