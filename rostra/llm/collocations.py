@@ -275,7 +275,7 @@ class _Scan:
         self.spark: SparkSession = docs.sparkSession
         self.keyed: list[DataFrame] = []
         self.counts: list[DataFrame | None] = []
-        self.marks: list[DataFrame] = []  # w1, n and the least and greatest mark
+        self.marks: list[DataFrame] = []  # w1, lang, word, n and the least and greatest mark
         self.rich: list[DataFrame | None] = []  # the counts that reach a share of the threshold
         self.noted: DataFrame | None = None  # w1 .. w4, stop
         self.arrays: dict[int, list] = {}  # per length: keys and stops, while they fit
@@ -302,7 +302,7 @@ class _Scan:
         found = None
         if step < self.shards:
             zero = F.lit(0).cast("long")
-            words = shard.filter("word IS NOT NULL").groupBy(F.col("key").alias("w1"))
+            words = shard.filter("word IS NOT NULL").groupBy(F.col("key").alias("w1"), "lang", "word")
             words = words.agg(F.sum("n").alias("n"), F.min("mark").alias("a"), F.max("mark").alias("b"))
             self.marks.append(written(words, "phrases-words", **DICTIONARY))
             found = self.marks[-1].select("w1", *(zero.alias(w) for w in WORDS[1:]), "n")
@@ -423,8 +423,8 @@ class _Scan:
         return not marks.filter("a <> b").isEmpty()
 
     def words(self) -> DataFrame:
-        """(lang, word, key, n), once per batch of texts."""
-        return _union(self.keyed).filter("word IS NOT NULL").select("lang", "word", "key", "n")
+        """(lang, word, key, n), once per shard: batches of texts are added up."""
+        return _union(self.marks).select("lang", "word", F.col("w1").alias("key"), "n")
 
     def totals(self) -> DataFrame:
         """(w, f): the noted phrases and words as arrays of keys, with their exact counts."""

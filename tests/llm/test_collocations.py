@@ -94,3 +94,15 @@ def test_long_texts_and_empty(spark):
     assert {tuple(r) for r in mine(docs, 1).collect()} == brute(rows, 30, 2000)
     assert mine(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert mine(spark.createDataFrame([("en", None), (None, " . ")], "lang string, text string")).count() == 0
+
+
+def test_words_come_once_per_shard_however_many_batches(spark):
+    """Else the rows that spell phrases grow with the batches times the words."""
+    rows = [("en", f"new york city hall w{i % 7}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(20)
+    scan = collocations._Scan(docs, 0, 2, 30)
+    scan.run()
+    words = scan.words().collect()
+    assert len(words) <= 2 * 11
+    assert sum(r["n"] for r in words) == 1000
+    assert {(r["lang"], r["word"]) for r in words} == {("en", w) for t in rows for w in t[1].split()}
