@@ -162,3 +162,17 @@ def test_pages_by_bounds(spark, plain, tmp_path):
     assert all(scored <= slices for slices, scored in counts.values()), counts
     assert sum(scored for _, scored in counts.values()) < 0.9 * sum(slices for slices, _ in counts.values()), counts
     assert search.page_by_bounds(terms.limit(0), sliced, maxima, tables.vocab)[0].count() == 0
+
+
+def test_index_is_shuffled_by_term_only_for_queries_that_read_it(spark, corpus, plain, tmp_path):
+    from pathlib import Path
+
+    from rostra.plans.build import build_index, build_term_postings
+
+    tables = build_index(corpus, plain, str(tmp_path / "index"), by_term=False)
+    assert not Path(tables.path("term_postings")).exists()
+    assert tables.vocab.count() == 4 and tables.stats.count() == 1
+    build_term_postings(tables)
+    terms = ["doc_id", "norm", "term", "tf"]
+    by_term = sorted(map(tuple, tables.term_postings.select(terms).collect()))
+    assert by_term == sorted(map(tuple, tables.postings.select(terms).collect()))
