@@ -52,6 +52,24 @@ def _uniform(*parts: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)) * 2.0**-53
 
 
+_known_powers: list[np.ndarray] = [np.ones(0, np.uint64)] * 2
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the inverse of the base and of the base, from 1.
+
+    Those for the letters of one batch are kept.
+    """
+    found = _known_powers
+    if len(found[0]) < n:
+        exponents = np.arange(1, max(n, BATCH_BYTES) + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            found = [_INVERSE**exponents, _BASE**exponents]
+        if n <= BATCH_BYTES:
+            _known_powers[:] = found
+    return found[0][:n], found[1][:n]
+
+
 def _letters(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -105,14 +123,17 @@ class Vocabulary:
     @staticmethod
     def prefixes(letters: np.ndarray) -> np.ndarray:
         """Polynomial hashes of all beginnings, the empty one included."""
+        turns, back = _powers(len(letters))
         with np.errstate(over="ignore"):
             mixed = (letters.astype(np.uint64) + np.uint64(1)) * _MIX
             mixed ^= mixed >> np.uint64(29)
             # h(n) = sum of mixed[i] * base^(n - 1 - i), by way of the inverse of the base
-            turns = _INVERSE ** np.arange(1, len(letters) + 1, dtype=np.uint64)
-            sums = np.cumsum(mixed * turns, dtype=np.uint64)
-            sums *= _BASE ** np.arange(1, len(letters) + 1, dtype=np.uint64)
-        return np.concatenate([np.zeros(1, np.uint64), sums])
+            mixed *= turns
+            sums = np.empty(len(letters) + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(mixed, out=sums[1:])
+            sums[1:] *= back
+        return sums
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.texts[i] for i in ids]).decode("utf-8", "replace")
@@ -121,7 +142,8 @@ class Vocabulary:
 class Lattices:
     """The filtered lattices of some words, side by side.
 
-    Every letter is a node, for the place behind it. The edges of a node are the pieces that
+    Every letter is a node, for the place behind it; all first letters come first, then all
+    second ones, words in the order of their length. The edges of a node are the pieces that
     end there, with running totals of their shares; ``goes`` is the node an edge comes from,
     -1 at the word's begin. An edge numbered below -1 is a letter as bytes.
     """
@@ -130,41 +152,48 @@ class Lattices:
         letters = _letters("".join(words))
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
-        self.last = ends - 1  # the node behind each word
-        begin = np.repeat(ends - sizes, sizes)
-        room = np.repeat(ends, sizes) - np.arange(len(letters))
-        starts, lengths, pieces = self._edges(vocabulary, letters, room)
-        node = starts + lengths - 1
-        order = np.lexsort((starts, node))
-        starts, node, pieces = starts[order], node[order], pieces[order]
+        place = np.arange(len(letters)) - np.repeat(ends - sizes, sizes)
+        longest = int(sizes.max(initial=0))
+        # Words that have a letter at a place are the first ones in the order of length.
+        many_at = len(words) - np.cumsum(np.bincount(sizes, minlength=longest + 1))[:longest]
+        steps = np.concatenate([[0], np.cumsum(many_at)])
+        rank = np.empty(len(words), np.int64)
+        rank[np.argsort(-sizes, kind="stable")] = np.arange(len(words))
+        node = steps[place] + np.repeat(rank, sizes)  # of each letter
+        self.last = node[ends - 1] if len(words) else node  # the node behind each word
+        found = self._edges(vocabulary, letters, np.repeat(ends, sizes) - np.arange(len(letters)))
+        # Edges by node, those from farther back first.
+        count = np.zeros(len(letters), np.int64)
+        for starts, length, _ in found:
+            count[node[starts + length - 1]] += 1
+        upto = np.cumsum(count)
+        first, free = upto - count, upto - count
+        edges = int(count.sum())
+        pieces, goes = np.empty(edges, np.int64), np.empty(edges, np.int64)
+        for starts, length, piece in reversed(found):
+            to = node[starts + length - 1]
+            at = free[to]
+            free[to] = at + 1
+            pieces[at] = piece
+            goes[at] = np.where(place[starts] > 0, node[starts - 1], -1)
         weight = np.where(pieces >= 0, vocabulary.weight[pieces], vocabulary.weight_of_bytes)
-        first = np.searchsorted(node, np.arange(len(letters)))
-        count = np.diff(first, append=len(node))
-        before = starts > begin[starts]
-        self.goes = np.where(before, starts - 1, -1)
         # Forward filtering, in logarithms, all words one place further at a time.
-        place = np.arange(len(letters)) - begin
-        by_place = np.argsort(place, kind="stable")
-        steps = np.searchsorted(place[by_place], np.arange(int(place.max(initial=-1)) + 2))
-        alpha = np.zeros(len(letters))
-        reach = np.empty(len(node))
+        alpha = np.zeros(len(letters) + 1)  # the last one is that of a word's begin
+        share = np.empty(edges)
+        bounds = np.concatenate([[0], upto])
         for a, b in zip(steps, steps[1:]):
-            nodes = by_place[a:b]
-            many = count[nodes]
-            upto = np.cumsum(many)
-            edges = np.repeat(first[nodes] - upto + many, many) + np.arange(upto[-1])
-            came = self.goes[edges]
-            own = weight[edges] + np.where(came >= 0, alpha[came], 0.0)
-            cuts = upto - many
+            here, cuts, many = slice(bounds[a], bounds[b]), first[a:b] - bounds[a], count[a:b]
+            own = weight[here] + alpha[goes[here]]
             most = np.maximum.reduceat(own, cuts)
-            total = np.add.reduceat(np.exp(own - np.repeat(most, many)), cuts)
-            alpha[nodes] = most + np.log(total)
-            reach[edges] = own
-        share = np.cumsum(np.exp(reach - alpha[node]))
-        share -= np.concatenate([[0.0], share])[first[node]]
-        self.total = node + np.minimum(share, 1.0)
-        self.total[first + count - 1] = np.arange(len(letters)) + 1.0
-        self.piece, self.first = pieces, first
+            own = np.exp(own - np.repeat(most, many))
+            total = np.add.reduceat(own, cuts)
+            alpha[a:b] = most + np.log(total)
+            share[here] = own / np.repeat(total, many)
+        share = np.cumsum(share)
+        share += np.repeat(np.arange(len(letters)) - np.concatenate([[0.0], share])[first], count)
+        self.total = share
+        self.total[upto - 1] = np.arange(len(letters)) + 1.0
+        self.piece, self.goes, self.first = pieces, goes, first
 
     def draw(self, node: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         """An edge of each node, in proportion to the shares."""
@@ -190,10 +219,11 @@ class Lattices:
         return whole, np.repeat(owners, times)
 
     def _edges(self, vocabulary: Vocabulary, letters: np.ndarray, room: np.ndarray):
-        """Start, length and number of all pieces within the words."""
+        """Starts, length and numbers of all pieces within the words, by rising length."""
         prefix = vocabulary.prefixes(letters)
         active = np.arange(len(letters))
-        starts, lengths, pieces = [], [], []
+        edges: list[tuple[np.ndarray, int, np.ndarray]] = []
+        self.fallbacks: list[list[int]] = []
         for length in range(1, vocabulary.longest + 1):
             active = active[room[active] >= length]
             if not len(active):
@@ -201,26 +231,18 @@ class Lattices:
             with np.errstate(over="ignore"):
                 own = prefix[active + length] - prefix[active] * vocabulary.powers[length]
             found, piece = vocabulary.find(own)
+            good = piece >= 0
             if length == 1:
-                alone = np.flatnonzero(piece < 0)
+                alone = np.flatnonzero(~good)
                 kinds, which = np.unique(letters[active[alone]], return_inverse=True)
                 self.fallbacks = [
                     vocabulary.bytes[list((SPACE if chr(c) == LITERAL else chr(c)).encode())].tolist()
                     for c in kinds.tolist()
                 ]
-                starts.append(active[alone])
-                lengths.append(np.ones(len(alone), np.int64))
-                pieces.append(-2 - which)
-            good = piece >= 0
-            starts.append(active[good])
-            lengths.append(np.full(int(good.sum()), length))
-            pieces.append(piece[good])
+                edges.append((active[alone], 1, -2 - which))
+            edges.append((active[good], length, piece[good]))
             active = active[found]
-        if not starts:
-            none = np.zeros(0, np.int64)
-            self.fallbacks = []
-            return none, none, none
-        return tuple(np.concatenate(x).astype(np.int64) for x in (starts, lengths, pieces))
+        return edges
 
 
 def words(text: str) -> list[str]:

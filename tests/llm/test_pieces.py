@@ -6,7 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from rostra.llm.pieces import SPACE, Sampler, decode, encode, words
+from rostra.llm.pieces import SPACE, Lattices, Sampler, decode, encode, words
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -93,3 +93,23 @@ def test_lattices_hold_half_a_megabyte_of_text(monkeypatch):
     found = pa.Table.from_batches(pieces._encode(MODEL, 1, 1.0)(iter([batch])))
     assert found.num_rows == 200 and all(found.column("lossless").to_pylist())
     assert max(sizes) < 600_000
+
+
+def test_edges_lie_by_place(sampler):
+    """Filtering goes place by place over edges that lie side by side: nothing is sorted or gathered."""
+    cut = [SPACE + "a", "then", SPACE + "日x", "b"]
+    lattices = Lattices(sampler.vocabulary, cut)
+    firsts, sizes = len(cut), [len(w) for w in cut]
+    order = np.argsort(-np.array(sizes), kind="stable").tolist()
+    # the last node of a word: all first letters, then all second ones, longer words before
+    expected = []
+    for i, size in enumerate(sizes):
+        before = sum(sum(s > place for s in sizes) for place in range(size - 1))
+        expected.append(before + [w for w in order if sizes[w] >= size].index(i))
+    assert lattices.last.tolist() == expected
+    assert (lattices.goes[: lattices.first[firsts]] == -1).all()
+    weight = {t: float(np.exp(sampler.vocabulary.weight[i])) for t, i in sampler.vocabulary.ids.items()}
+    plain = segmentations("then", weight)
+    whole = sum(w for p, w in plain.items() if len(p) == 1) / sum(plain.values())
+    node = lattices.last[1]
+    assert abs(lattices.total[lattices.first[node]] - node - whole) < 1e-9
