@@ -250,3 +250,30 @@ def test_single_terms_are_merged(spark):
     wrong = vocab.withColumn("df", F.lit(1).cast("long"))  # of another corpus: nothing may be merged
     kept, none = lsa._merged(index.tfidf_rows(postings, index.with_term_id(wrong), "term_id", "df"))
     assert none is None and kept.agg(F.sum(F.size("term_ids"))).first()[0] == len(rows)
+
+
+def test_documents_of_the_fit_stay_in_their_blocks(spark):
+    """Neighbours share their terms, and no pass shuffles a document; an id may be null."""
+    n = 400
+    rows = []
+    for i in range(n):  # two languages in turns
+        own = [1000 * (i % 2) + j for j in range(30)]
+        # entries: term_id, df, weight
+        rows.append((None if i == 7 else i, [(t, n // 2, 0.1 + 0.8 * (t % 1000 == 0)) for t in own]))
+    entries = "array<struct<term_id long, df long, weight double>>"
+    split = spark.createDataFrame(rows, f"doc_id long, entries {entries}")
+    docs = split.select(
+        "doc_id",
+        F.col("entries.term_id").alias("term_ids"),
+        F.col("entries.weight").alias("weights"),
+        *lsa._alike("entries", n),
+    )
+    stored, needed, n_blocks = lsa._needed_terms(docs, n, 110, 100)
+    assert stored.count() == n and stored.where("doc_id IS NULL").count() == 1
+    sizes = [r["count"] for r in stored.groupBy("block").count().collect()]
+    assert n_blocks == len(sizes) == 4 and set(sizes) == {n // 4}
+    _, chance, _ = lsa._hashed_blocks(docs, n, 110, 100)
+    assert needed.count() == 4 * 30 and chance.count() == 4 * 60
+    pairs = lsa._per_block(stored, needed, None).applyInArrow(lambda d, t: t.slice(0, 0), "block int, term_id long")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, plan  # that of the terms
