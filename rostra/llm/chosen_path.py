@@ -54,6 +54,7 @@ SMALL_BUCKET = 128
 DENSE = 0.5
 MOST_LEVELS = 6
 BLOCK = 1024
+BATCH_BYTES = 1 << 20  # of text, whose sets are in memory together
 SLOTS = 64
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -114,7 +115,7 @@ def _signatures(words: int, similarity: float, runs: int):
     """What the first level needs of a text: digest, size, sketch and paths of its set."""
 
     def run(batches: Batches) -> Batches:
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
             digests, sizes, sketches, paths = [], [], [], []
             for text in batch.column("text").to_pylist():
                 own = elements(text, words)
@@ -149,7 +150,7 @@ def _with_sets(words: int):
     """(id, own) of rows (id, digest, text) whose text has the set of that digest."""
 
     def run(batches: Batches) -> Batches:
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", BATCH_BYTES):
             sets = [elements(t, words) for t in batch.column("text").to_pylist()]
             wanted = batch.column("digest").to_pylist()
             meant = [xxhash.xxh3_128_digest(s.tobytes()) == d for s, d in zip(sets, wanted)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -24,6 +25,7 @@ def whole_text(name: str = "text") -> Column:
 
 def give_back() -> None:
     """Hand freed memory back to the system: a worker that waits for a task would keep it."""
+    gc.collect()  # what only circles hold
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -91,3 +91,17 @@ def test_an_id_with_several_texts(spark):
     kept = {(r.doc_id, r.text) for r in keep_one(docs).collect()}
     always = {(1, near), (5, texts[0]), (7, texts[2]), (7, texts[3]), (8, "")}
     assert kept - always in ({(6, texts[1])}, {(6, texts[1] + " end")}) and always <= kept
+
+
+def test_a_worker_holds_the_sets_of_a_megabyte(monkeypatch):
+    import pyarrow as pa
+
+    from rostra.llm import chosen_path
+
+    run, _ = chosen_path._signatures(5, 0.8, 3)
+    texts = [f"word{i} and others {i} follow here " * 600 for i in range(200)]
+    batch = pa.record_batch({"doc_id": range(200), "text_key": range(200), "text": texts})
+    found = list(run(iter([batch])))
+    assert sum(b.num_rows for b in found) == 200
+    most = max(b.num_rows for b in found) * max(map(len, texts))
+    assert most < 1_200_000
