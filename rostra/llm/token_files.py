@@ -33,6 +33,11 @@ REMEMBERED = 1_000_000
 _INNER_SPACE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """What ``to_pylist`` gives, without a step per value in Python."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class SpacedEncoder:
     """Encodes texts piece by piece, each distinct piece once.
 
@@ -84,7 +89,9 @@ class SpacedEncoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces side by side: each begins at the one token that begins with a space."""
-        closed = [p for p in pieces if p and not p[-1].isspace()]
+        closed, rest = [], []
+        for piece in pieces:
+            (closed if piece and not piece[-1].isspace() else rest).append(piece)
         for begin in range(0, len(closed), 1000):
             group = closed[begin : begin + 1000]
             run = self.tokenizer.encode_batch_fast([" " + " ".join(group)], add_special_tokens=False)
@@ -92,24 +99,25 @@ class SpacedEncoder:
             first = np.flatnonzero(self.opens[ids])
             assert len(first) == len(group)
             self.known.update(zip(group, self._add(ids, np.diff(first, append=len(ids))).tolist()))
-        rest = [p for p in pieces if not p or p[-1].isspace()]
         self.known.update(zip(rest, self._whole([" " + p for p in rest]).tolist()))
 
     def _numbers(self, pieces: pa.Array) -> np.ndarray:
         """The entry of every piece."""
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        fresh = [p for p in distinct if p not in self.known]
+        distinct = _strings(coded.dictionary)
+        at = list(map(self.known.get, distinct))  # one look at the pieces that are known
+        fresh = [i for i, number in enumerate(at) if number is None]
         if fresh:
-            self._learn(fresh)
-        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        return at[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
+            self._learn([distinct[i] for i in fresh])
+            for i in fresh:
+                at[i] = self.known[distinct[i]]
+        return np.array(at, np.int64)[coded.indices.to_numpy()] if at else np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, each text's with the end id, and how many it has."""
         if self.entries > REMEMBERED or self.used > 16 * REMEMBERED:
             self._reset()
-        values = texts.to_pylist()
+        values = _strings(texts)
         whole = [
             bool(_INNER_SPACE.search(t)) or any(s in t for s in self.special) for t in values
         ]

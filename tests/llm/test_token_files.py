@@ -82,3 +82,28 @@ def test_tasks_give_freed_memory_back(spark, tmp_path, monkeypatch):
     assert list(run(iter([batch]))) == [batch] and Path(given).read_text() == "x"
     docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
     assert common.map_batches(docs, lambda b: b, "doc_id long, text string").count() == 1
+
+
+def test_a_known_piece_is_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return super().get(key)
+
+        def __contains__(self, key):
+            self.asked += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    encoder = SpacedEncoder(VOCABULARY, 2)
+    texts = pa.array(["alpha beta gamma beta", "", "gamma  delta "])
+    ids, sizes = encoder.encode(texts)
+    encoder.known = Counted(encoder.known)
+    again, same_sizes = encoder.encode(texts)
+    assert ids.tolist() == again.tolist() and sizes.tolist() == same_sizes.tolist()
+    assert encoder.known.asked == len({p for t in texts.to_pylist() for p in t.split(" ")})
