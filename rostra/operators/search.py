@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from rostra.functions.scores import idf_search, int_truncate, page_count, rank_key, tf_log
 from rostra.functions.text import Preprocess
 from rostra.operators.index import count_of
-from rostra.runtime import fits_broadcast, heavy_terms, materialize, rank_within
+from rostra.runtime import SPLIT_BYTES, fits_broadcast, heavy_terms, materialize, rank_within
 from rostra.schemas import DATE, MEMBER, PAGE_SIZE, SCORE_THRESHOLD, SPEECH
 from rostra.sources.tables import DOC_BUCKETS, TERM_BUCKETS, doc_bucket, in_buckets_of, term_bucket
 
@@ -204,7 +204,7 @@ def page_by_bounds(
     last = number * size
 
     def best(scored: DataFrame, name: str) -> DataFrame:
-        return materialize(rank_search(scored.where(F.col("score") > threshold), last), name)
+        return materialize(rank_search(scored.where(F.col("score") > threshold), last), name, SPLIT_BYTES)
 
     top = best(_scored_slices(weighted, bounds.where(F.col("place") <= first), sliced), "first-slices")
     reached = top.where(F.col("rank") == last).select("query_id", F.col("score").alias("least"))
